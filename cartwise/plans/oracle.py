@@ -316,8 +316,9 @@ FROM r_prior op JOIN r_products p ON op.product_id = p.product_id
 GROUP BY p.product_name ORDER BY buying_count DESC, p.product_name LIMIT 5""",
         "cyclical_hour": W + """
 SELECT order_id, user_id, order_hour_of_day,
-       round(sin(order_hour_of_day * (2 * pi() / 24)), 6) AS hour_sin,
-       round(cos(order_hour_of_day * (2 * pi() / 24)), 6) AS hour_cos
+       -- "+ 0.0" turns a rounded -0.0 into 0.0 (Spark's decimal rounding has no signed zero)
+       round(sin(order_hour_of_day * (2 * pi() / 24)), 6) + 0.0 AS hour_sin,
+       round(cos(order_hour_of_day * (2 * pi() / 24)), 6) + 0.0 AS hour_cos
 FROM r_orders""",
         "user_dept_share": W + """
 SELECT user_id, department_id, dept_lines,
