@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+import uuid
+
+from ..session import scratch_path
 
 # Upper bound (rows) for a side we are willing to ship to every executor.
 # A retail catalogue (tens of thousands of products) fits; anything keyed by
@@ -29,14 +31,18 @@ def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> Da
     return F.broadcast(df) if n <= max_rows else df
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the session's reliable checkpoint folder.
+def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
+    """Materialise ``df`` as Parquet in the session's shared checkpoint folder
+    and return a DataFrame reading it back.
 
     Used where later steps depend on values that must not change if a lost
     executor forces a recomputation (partition ids, generated positions).
+    A written table is columnar and compressed, much cheaper than an RDD
+    checkpoint of rows.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "lineage", f"{label}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def sequence_number(df: DataFrame, key: str, order_by: list[str], name: str,
@@ -58,8 +64,8 @@ def sequence_number(df: DataFrame, key: str, order_by: list[str], name: str,
         df.repartitionByRange(n, *sort_key)
         .sortWithinPartitions(*sort_key)
         .withColumn("_sq_part", F.spark_partition_id())
-        .withColumn("_sq_pos", F.monotonically_increasing_id())
-    )
+        .withColumn("_sq_pos", F.monotonically_increasing_id()),
+        label=f"seq-{name}")
     runs = (ranged.groupBy("_sq_part", key)
             .agg(F.min("_sq_pos").alias("_sq_first"), F.count(F.lit(1)).alias("_sq_len")))
     earlier = Window.partitionBy(key).orderBy("_sq_part").rowsBetween(Window.unboundedPreceding, -1)

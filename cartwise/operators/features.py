@@ -72,10 +72,13 @@ def user_features(orders: DataFrame, prior: DataFrame) -> DataFrame:
     general = user_order_stats(orders)
     basket = user_basket(orders, prior).select("user_id", "user_avg_basket_size")
     recent = user_recent_trend(orders)
+    values = ["user_total_orders", "user_avg_days_between", "user_avg_hour",
+              "user_avg_dow", "user_avg_basket_size", "user_recent_avg_days"]
     out = (general.join(basket, "user_id", "left").join(recent, "user_id", "left")
-           .select("user_id", "user_total_orders", "user_avg_days_between", "user_avg_hour",
-                   "user_avg_dow", "user_avg_basket_size", "user_recent_avg_days"))
-    return out.na.fill(0)
+           .select("user_id", *values))
+    # Fill the value columns only: rewriting user_id would drop its hash
+    # partitioning and force another shuffle before the next user_id join.
+    return out.na.fill(0, subset=values)
 
 
 def product_features(prior: DataFrame, products: DataFrame) -> DataFrame:
@@ -142,4 +145,4 @@ def user_trend_k(orders: DataFrame, ks: tuple[int, ...] = (3, 5, 10)) -> DataFra
     ranked = last_k_orders(orders, kmax)
     aggs = [F.avg(F.when(F.col("recent_rank") <= k, F.col("days_since_prior_order"))).alias(f"recent_avg_days_{k}")
             for k in ks]
-    return ranked.groupBy("user_id").agg(*aggs).na.fill(0)
+    return ranked.groupBy("user_id").agg(*aggs).na.fill(0, subset=[f"recent_avg_days_{k}" for k in ks])

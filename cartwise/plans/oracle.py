@@ -293,6 +293,14 @@ WHERE c_custkey NOT IN (SELECT user_id FROM scored WHERE user_id IS NOT NULL)"""
 SELECT user_id, rec_rank, product_id, product_name, round(probability, 4) AS probability,
        CAST(aisle_id AS INTEGER) AS aisle_id
 FROM ranked WHERE rec_rank <= round(user_avg_basket_size)""",
+        "stream_recommend": W + """
+SELECT c.c_custkey AS request_id, c.c_custkey AS user_id,
+       u.user_id IS NOT NULL AS has_history, coalesce(u.n_recommended, 0) AS count,
+       r.rec_rank, r.product_id, r.product_name, r.probability, r.aisle_id
+FROM customer c
+LEFT JOIN (SELECT user_id, CAST(sum(CASE WHEN probability > 0.22e0 THEN 1 ELSE 0 END) AS BIGINT) AS n_recommended
+           FROM scored GROUP BY user_id) u ON c.c_custkey = u.user_id
+LEFT JOIN rec_threshold r ON c.c_custkey = r.user_id""",
         "threshold_sweep": W.rstrip() + _sweep_sql() + "SELECT * FROM sweep",
         "best_threshold": W.rstrip() + _sweep_sql() + _best_sql() + "SELECT * FROM best",
         "report_default": W.rstrip() + _report_sql("0.5e0"),

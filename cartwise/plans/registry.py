@@ -218,6 +218,24 @@ def q_recommend_by_basket(spark, sf_dir):
     return R.recommend_by_basket(Ctx(spark, sf_dir).scored)
 
 
+def q_stream_recommend(spark, sf_dir):
+    """Every customer id as a request, answered by the streaming query."""
+    import uuid
+    from ..streaming import run_request_stream
+    c = Ctx(spark, sf_dir)
+    run = c.scratch("stream", uuid.uuid4().hex)
+    recs = R.recommend_threshold(c.scored)
+    recs.write.mode("overwrite").parquet(f"{run}/recommendations")
+    R.recommend_counts(c.scored).write.mode("overwrite").parquet(f"{run}/scored_users")
+    (read_source(spark, sf_dir, "customer")
+     .select(F.col("c_custkey").alias("request_id"), F.col("c_custkey").alias("user_id"))
+     .write.mode("overwrite").parquet(f"{run}/requests"))
+    q = run_request_stream(spark, f"{run}/requests", f"{run}/recommendations", f"{run}/scored_users",
+                           f"{run}/answers", f"{run}/checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{run}/answers")
+
+
 # ---- evaluation -----------------------------------------------------------------------
 
 def q_threshold_sweep(spark, sf_dir):
@@ -317,6 +335,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recommend_counts": q_recommend_counts,
     "users_without_history": q_users_without_history,
     "recommend_by_basket": q_recommend_by_basket,
+    "stream_recommend": q_stream_recommend,
     "threshold_sweep": q_threshold_sweep,
     "best_threshold": q_best_threshold,
     "report_default": q_report_default,
