@@ -58,7 +58,7 @@ def gbt_estimator(params: dict | None = None, seed: int = 42, max_bins: int = 32
     p = {**BASE_PARAMS, **(params or {})}
     est = GBTClassifier(featuresCol="features", labelCol="label", lossType="logistic",
                         maxBins=max_bins, seed=seed, validationIndicatorCol="is_validation",
-                        validationTol=0.01, cacheNodeIds=True, checkpointInterval=10)
+                        validationTol=1e-6, cacheNodeIds=True, checkpointInterval=10)
     return est.setParams(**p)
 
 
