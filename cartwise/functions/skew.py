@@ -31,6 +31,17 @@ def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> Da
     return F.broadcast(df) if n <= max_rows else df
 
 
+def broadcast_bounded(df: DataFrame, bound: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` when a cheaper table that bounds its row count is small.
+
+    For a result with at most one row per row of ``bound`` (e.g. product
+    features, at most one row per catalogue product), checking ``bound``
+    proves the size without computing ``df`` twice.
+    """
+    n = bound.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
 def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     """Materialise ``df`` as Parquet in the session's shared checkpoint folder
     and return a DataFrame reading it back.

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import FEATURES, validation_flag
-from ..functions.skew import sized_broadcast
+from ..functions.skew import broadcast_bounded, sized_broadcast
 
 ID_COLS = ["user_id", "product_id"]
 LABEL = "reordered"
@@ -35,17 +35,20 @@ def label_join(cands: DataFrame, label_lines: DataFrame) -> DataFrame:
 
 
 def train_master(orders: DataFrame, uxp: DataFrame, user_feats: DataFrame, prod_feats: DataFrame,
-                 label_lines: DataFrame, eval_set: str = "train") -> DataFrame:
+                 label_lines: DataFrame, eval_set: str = "train",
+                 catalogue: DataFrame | None = None) -> DataFrame:
     """Candidates ⟕ user features ⟕ product features ⟕ label lines, NULL -> 0.
 
     Left joins keep candidates whose user or product has no features (their
     features become 0).  Product features are catalogue-sized and broadcast
     behind a row-count check; user features share the candidates' user_id
-    partitioning.
+    partitioning.  ``catalogue`` (the products table) bounds the product
+    features' row count; without it the features themselves are counted.
     """
     c = candidates(orders, uxp, eval_set)
     c = c.join(user_feats, "user_id", "left")
-    c = c.join(sized_broadcast(prod_feats), "product_id", "left")
+    pf = broadcast_bounded(prod_feats, catalogue) if catalogue is not None else sized_broadcast(prod_feats)
+    c = c.join(pf, "product_id", "left")
     c = label_join(c, label_lines)
     c = c.withColumn("orders_since_last_bought",
                      (F.col("order_number") - F.col("uxp_last_order_number")).cast("int"))

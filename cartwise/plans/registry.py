@@ -54,7 +54,8 @@ class Ctx:
 
     @property
     def master(self):
-        return D.train_master(self.r.orders, self.uxp, self.user_feats, self.prod_feats, self.r.train)
+        return D.train_master(self.r.orders, self.uxp, self.user_feats, self.prod_feats, self.r.train,
+                              catalogue=self.r.products)
 
     @property
     def scored(self):
