@@ -5,7 +5,9 @@ Prints ONE JSON line:
 
 Each query runs to completion through the ``noop`` sink (the whole plan
 executes, nothing is collected).  ``ingest`` is the one-time derivation and
-write of the retail tables; the others read the written tables.
+write of the retail tables (reported, not in the total); the four feature
+tables are then written once (bucketed on user_id) and the downstream
+queries read them.
 """
 
 from __future__ import annotations
@@ -19,16 +21,19 @@ import time
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
-HEADLINE = ["uxp_features", "user_features", "product_features", "train_master",
-            "score_candidates", "threshold_sweep", "recommend_by_basket", "recommend_threshold",
-            "best_threshold", "eda_top_products"]
+# Written once per run (timed per table): uxp_features, user_features,
+# product_features, train_master.  Then queries that read those tables:
+DOWNSTREAM = ["score_candidates", "recommend_threshold", "recommend_by_basket", "recommend_nested",
+              "threshold_sweep", "best_threshold", "classification_report", "confusion", "log_loss",
+              "users_without_history", "eda_top_products"]
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     from cartwise.session import local_session
-    from cartwise.sources.tables import load_retail
+    from cartwise.sources.tables import _token, load_retail
+    from cartwise.sources.store import build_feature_store
     from cartwise.plans.registry import QUERIES
 
     spark = local_session(cpus, shuffle_partitions=max(8, 2 * int(cpus) if cpus.isdigit() else 16),
@@ -36,12 +41,16 @@ def main() -> None:
     times: dict[str, float] = {}
 
     t = time.time()
-    load_retail(spark, sf_dir)
+    retail = load_retail(spark, sf_dir)
     times["ingest"] = round(time.time() - t, 3)
 
-    for name in HEADLINE:
-        df = QUERIES[name](spark, sf_dir)
+    # the feature tables, written the way the queries' context builds them
+    build_feature_store(spark, retail, _token(sf_dir, "fs"), timings=times)
+
+    for name in DOWNSTREAM:
+        # timed from plan construction: size checks behind broadcasts run there
         t = time.time()
+        df = QUERIES[name](spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t, 3)
 

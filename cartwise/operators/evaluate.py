@@ -43,27 +43,44 @@ def _with_rates(df: DataFrame) -> DataFrame:
 def threshold_sweep(scored: DataFrame, grids: dict[str, list[int]] | None = None,
                     label: str = LABEL, prob: str = PROB) -> DataFrame:
     """M7: tp/fp/fn/tn, precision, recall and F1 of class 1 for every threshold
-    of every grid (thresholds are integer hundredths: no float drift)."""
+    of every grid (thresholds are integer hundredths: no float drift).
+
+    One pass over the scored rows: each row gets ``m`` = the largest k with
+    ``p > k/100`` (clamped to the grid span), the rows are counted per
+    (m, label) — a map-side combined aggregate with at most one row per grid
+    step — and the counts above each threshold are reverse cumulative sums
+    over that tiny histogram, computed in a single row with array functions.
+    """
     grids = grids or THRESHOLD_GRIDS
     ks = sorted({k for g in grids.values() for k in g})
-    y, p = F.col(label) == 1, F.col(prob)
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(F.when(y, 1).otherwise(0)).alias("pos")]
-    for k in ks:
-        above = p > F.lit(k / 100.0)
-        aggs.append(F.sum(F.when(above & y, 1).otherwise(0)).alias(f"tp_{k}"))
-        aggs.append(F.sum(F.when(above & ~y, 1).otherwise(0)).alias(f"fp_{k}"))
-    row = scored.agg(*aggs)
-    entries = []
-    for k in ks:
-        for name, members in grids.items():
-            if k in members:
-                entries.append(F.struct(F.lit(name).alias("grid"), F.lit(k).alias("k"),
-                                        F.col(f"tp_{k}").alias("tp"), F.col(f"fp_{k}").alias("fp")))
-    out = row.select("n", "pos", F.inline(F.array(*entries)))
-    out = out.select("grid", (F.col("k") / F.lit(100.0)).alias("threshold"),
-                     F.col("tp").cast("long").alias("tp"), F.col("fp").cast("long").alias("fp"),
-                     (F.col("pos") - F.col("tp")).cast("long").alias("fn"),
-                     (F.col("n") - F.col("pos") - F.col("fp")).cast("long").alias("tn"))
+    lo, hi = ks[0], ks[-1]
+    p = F.col(prob)
+    m0 = F.floor(p * F.lit(100.0)).cast("int")
+    # exact step: compare with the same doubles the thresholds use (k / 100.0)
+    m = (F.when(p > (m0 + 1) / F.lit(100.0), m0 + 1)
+         .when(p > m0 / F.lit(100.0), m0)
+         .otherwise(m0 - 1))
+    m = F.coalesce(F.least(F.greatest(m, F.lit(lo - 1)), F.lit(hi)), F.lit(lo - 1))  # NULL p: below all
+    y = F.col(label) == 1
+    hist = (scored.groupBy(m.alias("m"))
+            .agg(F.sum(F.when(y, 1).otherwise(0)).cast("long").alias("pos"),
+                 F.sum(F.when(y, 0).otherwise(1)).cast("long").alias("neg")))
+    one = hist.agg(F.collect_list(F.struct("m", "pos", "neg")).alias("h"),
+                   F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    steps = F.array(*[F.struct(F.lit(name).alias("grid"), F.lit(k).alias("k"))
+                      for name, members in grids.items() for k in members])
+
+    def above(e, field):
+        return F.aggregate(F.filter("h", lambda x: x["m"] >= e["k"]), F.lit(0).cast("long"),
+                           lambda acc, x: acc + x[field])
+
+    rows = one.select("P", "N", F.inline(F.transform(steps, lambda e: F.struct(
+        e["grid"].alias("grid"), e["k"].alias("k"), above(e, "pos").alias("tp"), above(e, "neg").alias("fp")))))
+    out = rows.select("grid", (F.col("k") / F.lit(100.0)).alias("threshold"),
+                      F.coalesce(F.col("tp"), F.lit(0)).cast("long").alias("tp"),
+                      F.coalesce(F.col("fp"), F.lit(0)).cast("long").alias("fp"),
+                      (F.coalesce(F.col("P"), F.lit(0)) - F.col("tp")).cast("long").alias("fn"),
+                      (F.coalesce(F.col("N"), F.lit(0)) - F.col("fp")).cast("long").alias("tn"))
     return _with_rates(out)
 
 

@@ -22,6 +22,7 @@ from ..operators import features as FT
 from ..operators import recommend as R
 from ..session import scratch_path
 from ..sources.derive import read_source
+from ..sources.store import build_feature_store
 from ..sources.tables import _token, load_retail, register_views
 
 # The user looked up by the single-user query (bound SQL parameter).
@@ -57,19 +58,31 @@ class Ctx:
         return D.train_master(self.r.orders, self.uxp, self.user_feats, self.prod_feats, self.r.train,
                               catalogue=self.r.products)
 
+    @property
+    def store(self):
+        """Feature tables written once per session (uxp and user features
+        bucketed on user_id); downstream queries read these."""
+        return build_feature_store(self.spark, self.r, _token(self.sf_dir, "fs"))
+
+    @property
+    def stored_master(self):
+        return self.store.train_master
+
     @property
     def scored(self):
-        frame = R.scoring_frame(self.uxp, self.user_feats, self.prod_feats, self.r.products)
+        s = self.store
+        frame = R.scoring_frame(s.uxp_features, s.user_features, s.product_features, self.r.products)
         return R.score_candidates(frame, R.standin_scorer)
 
     @property
     def val_scored(self):
-        return V.validation_scored(self.master, R.standin_scorer)
+        return V.validation_scored(self.stored_master, R.standin_scorer)
 
     def views(self):
+        s = self.store
         register_views(self.spark, self.r, {
-            "uxp_features": self.uxp, "user_features": self.user_feats,
-            "product_features": self.prod_feats})
+            "uxp_features": s.uxp_features, "user_features": s.user_features,
+            "product_features": s.product_features})
 
     def scratch(self, *parts):
         return scratch_path(self.spark, *parts, _token(self.sf_dir, "q"))
@@ -94,7 +107,7 @@ def q_master_csv_roundtrip(spark, sf_dir):
     from ..sources.files import read_master_csv, write_master_csv
     c = Ctx(spark, sf_dir)
     path = c.scratch("train_master_csv")
-    write_master_csv(c.master, path)
+    write_master_csv(c.stored_master, path)
     return read_master_csv(spark, path)
 
 
@@ -174,13 +187,13 @@ def q_train_master(spark, sf_dir):
 def q_feature_matrix(spark, sf_dir):
     from pyspark.ml.functions import vector_to_array
     from ..functions.columns import FEATURES
-    fm = D.feature_matrix(Ctx(spark, sf_dir).master)
+    fm = D.feature_matrix(Ctx(spark, sf_dir).stored_master)
     arr = vector_to_array(F.col("features"))
     return fm.select("user_id", "product_id", *[arr[i].alias(f) for i, f in enumerate(FEATURES)], "label")
 
 
 def q_split_counts(spark, sf_dir):
-    return D.split_counts(Ctx(spark, sf_dir).master)
+    return D.split_counts(Ctx(spark, sf_dir).stored_master)
 
 
 # ---- scoring and recommendation ---------------------------------------------------
@@ -290,26 +303,26 @@ def q_eda_list_tables(spark, sf_dir):
 
 def q_gbt_train(spark, sf_dir):
     from ..operators.model import gbt_train
-    return gbt_train(Ctx(spark, sf_dir).master, SMOKE_GBT).metrics
+    return gbt_train(Ctx(spark, sf_dir).stored_master, SMOKE_GBT).metrics
 
 
 def q_hyper_search(spark, sf_dir):
     from ..operators.model import hyper_search
-    return hyper_search(Ctx(spark, sf_dir).master, n_trials=SMOKE_SEARCH_TRIALS, overrides=SMOKE_SEARCH)
+    return hyper_search(Ctx(spark, sf_dir).stored_master, n_trials=SMOKE_SEARCH_TRIALS, overrides=SMOKE_SEARCH)
 
 
 def q_feature_importance(spark, sf_dir):
     from ..operators.model import feature_importance, fit_gbt
     c = Ctx(spark, sf_dir)
-    model = fit_gbt(c.master, SMOKE_GBT)
+    model = fit_gbt(c.stored_master, SMOKE_GBT)
     return feature_importance(spark, model, c.scratch("model_importance"))
 
 
 def q_model_roundtrip(spark, sf_dir):
     from ..operators.model import fit_gbt, model_roundtrip
     c = Ctx(spark, sf_dir)
-    model = fit_gbt(c.master, SMOKE_GBT)
-    return model_roundtrip(model, c.master, c.scratch("model_roundtrip"))
+    model = fit_gbt(c.stored_master, SMOKE_GBT)
+    return model_roundtrip(model, c.stored_master, c.scratch("model_roundtrip"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
