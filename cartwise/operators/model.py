@@ -22,30 +22,52 @@ from .dataset import feature_matrix, with_split
 from .evaluate import log_loss
 from .recommend import PROB, model_scorer
 
-# The notebook's first configuration (trees, rate, depth,
-# histogram bins stand for 'hist', patience is replaced by validationTol).
-BASE_PARAMS = {"maxIter": 1000, "stepSize": 0.05, "maxDepth": 6}
+# The notebook's first configuration, in the booster's terms.
+BASE_PARAMS = {"n_estimators": 1000, "learning_rate": 0.05, "max_depth": 6}
 # The tuned configuration found by the notebook's search.
 TUNED_PARAMS = {
-    "maxIter": 938,
-    "stepSize": 0.03743533184090101,
-    "maxDepth": 10,
-    "subsamplingRate": 0.6605204427574461,
-    "featureSubsetStrategy": "0.7019846992999667",
-    "minInfoGain": 1.54649974715052,
+    "n_estimators": 938,
+    "learning_rate": 0.03743533184090101,
+    "max_depth": 10,
+    "subsample": 0.6605204427574461,
+    "colsample_bytree": 0.7019846992999667,
+    "gamma": 1.54649974715052,
 }
-# The search space of the notebook's tuning (trees, rate, depth,
-# row and column sample rates, gamma).
+# The search space of the notebook's tuning.
 SEARCH_SPACE = {
-    "maxIter": (500, 1500),
-    "stepSize": (0.01, 0.1),
-    "maxDepth": (4, 10),
-    "subsamplingRate": (0.6, 1.0),
-    "featureSubsetStrategy": (0.6, 1.0),
-    "minInfoGain": (0.0, 5.0),
+    "n_estimators": (500, 1500),
+    "learning_rate": (0.01, 0.1),
+    "max_depth": (4, 10),
+    "subsample": (0.6, 1.0),
+    "colsample_bytree": (0.6, 1.0),
+    "gamma": (0.0, 5.0),
 }
 
 
+def spark_params(params: dict, n_train_rows: int | None = None) -> dict:
+    """Translate booster-style settings to ``GBTClassifier`` parameters.
+
+    ``gamma`` is a minimum loss reduction summed over the rows of a node;
+    Spark's ``minInfoGain`` is a per-row impurity reduction, so gamma is
+    divided by the number of training rows (the root node's size).  Spark
+    samples columns per node, not per tree.  Keys that already are Spark
+    parameter names pass through.
+    """
+    names = {"n_estimators": "maxIter", "learning_rate": "stepSize", "max_depth": "maxDepth",
+             "subsample": "subsamplingRate"}
+    out = {}
+    for k, v in params.items():
+        if k in names:
+            out[names[k]] = int(v) if names[k] in ("maxIter", "maxDepth") else float(v)
+        elif k == "colsample_bytree":
+            out["featureSubsetStrategy"] = repr(float(v)) if float(v) < 1.0 else "all"
+        elif k == "gamma":
+            out["minInfoGain"] = float(v) / max(1, n_train_rows or 1)
+        else:
+            out[k] = v
+    return out
+
+
 def training_frame(master: DataFrame) -> DataFrame:
     """Feature vectors, double label and the validation flag, cached for the
     iterative fit (trees read it once per boosting round)."""
@@ -53,19 +75,28 @@ def training_frame(master: DataFrame) -> DataFrame:
     return with_split(fm)
 
 
-def gbt_estimator(params: dict | None = None, seed: int = 42, max_bins: int = 32):
+def gbt_estimator(params: dict | None = None, seed: int = 42, max_bins: int = 32,
+                  n_train_rows: int | None = None):
     from pyspark.ml.classification import GBTClassifier
-    p = {**BASE_PARAMS, **(params or {})}
+    p = spark_params({**BASE_PARAMS, **(params or {})}, n_train_rows)
     est = GBTClassifier(featuresCol="features", labelCol="label", lossType="logistic",
                         maxBins=max_bins, seed=seed, validationIndicatorCol="is_validation",
                         validationTol=1e-6, cacheNodeIds=True, checkpointInterval=10)
     return est.setParams(**p)
 
 
+def _train_rows(master: DataFrame) -> int:
+    return with_split(master).where(~F.col("is_validation")).count()
+
+
 def fit_gbt(master: DataFrame, params: dict | None = None, seed: int = 42):
-    """M3/M4: fit on the training rows, early-stop on the validation rows."""
+    """M3/M4: fit on the training rows, early-stop on the validation rows.
+
+    ``params`` use the booster's names (``BASE_PARAMS`` / ``TUNED_PARAMS``)
+    or Spark's; booster names are translated by ``spark_params``."""
     data = training_frame(master)
-    return gbt_estimator(params, seed).fit(data)
+    n = _train_rows(master) if params and "gamma" in params else None
+    return gbt_estimator(params, seed, n_train_rows=n).fit(data)
 
 
 @dataclass
@@ -95,12 +126,12 @@ def draw_params(n_trials: int, seed: int = 42, space: dict = SEARCH_SPACE,
     out = []
     for _ in range(n_trials):
         p = {
-            "maxIter": rng.randint(*space["maxIter"]),
-            "stepSize": rng.uniform(*space["stepSize"]),
-            "maxDepth": rng.randint(*space["maxDepth"]),
-            "subsamplingRate": rng.uniform(*space["subsamplingRate"]),
-            "featureSubsetStrategy": repr(round(rng.uniform(*space["featureSubsetStrategy"]), 4)),
-            "minInfoGain": rng.uniform(*space["minInfoGain"]),
+            "n_estimators": rng.randint(*space["n_estimators"]),
+            "learning_rate": rng.uniform(*space["learning_rate"]),
+            "max_depth": rng.randint(*space["max_depth"]),
+            "subsample": rng.uniform(*space["subsample"]),
+            "colsample_bytree": rng.uniform(*space["colsample_bytree"]),
+            "gamma": rng.uniform(*space["gamma"]),
         }
         p.update(overrides or {})
         out.append(p)
@@ -115,20 +146,21 @@ def hyper_search(master: DataFrame, n_trials: int = 20, seed: int = 42,
     data = training_frame(master).persist()
     try:
         draws = draw_params(n_trials, seed, overrides=overrides)
+        n = _train_rows(master)
         est = gbt_estimator(seed=seed)
-        maps = [{est.getParam(k): v for k, v in d.items()} for d in draws]
+        maps = [{est.getParam(k): v for k, v in spark_params(d, n).items()} for d in draws]
         val = with_split(master).where(F.col("is_validation")).drop("is_validation")
         rows = []
         for idx, model in _fit_all(est, data, maps, parallelism):
             ll = log_loss(model_scorer(model)(val)).first()["log_loss"]
             d = draws[idx]
-            rows.append((idx, int(d["maxIter"]), float(d["stepSize"]), int(d["maxDepth"]),
-                         float(d["subsamplingRate"]), str(d["featureSubsetStrategy"]),
-                         float(d["minInfoGain"]), int(model.getNumTrees), float(ll)))
+            rows.append((idx, int(d["n_estimators"]), float(d["learning_rate"]), int(d["max_depth"]),
+                         float(d["subsample"]), float(d["colsample_bytree"]), float(d["gamma"]),
+                         int(model.getNumTrees), float(ll)))
     finally:
         data.unpersist()
-    schema = ("trial int, maxIter int, stepSize double, maxDepth int, subsamplingRate double, "
-              "featureSubsetStrategy string, minInfoGain double, n_trees int, log_loss double")
+    schema = ("trial int, n_estimators int, learning_rate double, max_depth int, subsample double, "
+              "colsample_bytree double, gamma double, n_trees int, log_loss double")
     return spark.createDataFrame(rows, schema)
 
 

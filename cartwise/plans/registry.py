@@ -29,9 +29,9 @@ from ..sources.tables import _token, load_retail, register_views
 ONE_USER = 42
 # Model settings for the registered (smoke-size) training queries; the
 # library defaults are the notebook's full configurations.
-SMOKE_GBT = {"maxIter": 20, "maxDepth": 5}
+SMOKE_GBT = {"n_estimators": 20, "max_depth": 5}
 SMOKE_SEARCH_TRIALS = 3
-SMOKE_SEARCH = {"maxIter": 10, "maxDepth": 4}
+SMOKE_SEARCH = {"n_estimators": 10, "max_depth": 4}
 
 
 class Ctx:

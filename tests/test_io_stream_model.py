@@ -76,7 +76,7 @@ def master_mid(spark):
 
 def test_gbt_fit_importance_and_roundtrip(spark, master_mid, tmp_dir):
     from cartwise.operators.model import feature_importance, fit_gbt, model_roundtrip
-    model = fit_gbt(master_mid, {"maxIter": 5, "maxDepth": 3})
+    model = fit_gbt(master_mid, {"n_estimators": 5, "max_depth": 3})
     imp = feature_importance(spark, model, os.path.join(tmp_dir, "m1"))
     rows = imp.collect()
     assert [r.feature for r in rows] == D.FEATURES or sorted(r.feature for r in rows) == sorted(D.FEATURES)
@@ -91,16 +91,25 @@ def test_gbt_fit_importance_and_roundtrip(spark, master_mid, tmp_dir):
 def test_more_boosting_rounds_lower_validation_log_loss(spark, master_mid):
     import math
     from cartwise.operators.model import gbt_train
-    few = gbt_train(master_mid, {"maxIter": 2, "maxDepth": 4, "stepSize": 0.3}).metrics.first()
-    more = gbt_train(master_mid, {"maxIter": 20, "maxDepth": 4, "stepSize": 0.3}).metrics.first()
+    few = gbt_train(master_mid, {"n_estimators": 2, "max_depth": 4, "learning_rate": 0.3}).metrics.first()
+    more = gbt_train(master_mid, {"n_estimators": 20, "max_depth": 4, "learning_rate": 0.3}).metrics.first()
     assert more.log_loss < few.log_loss < math.log(2)
-    assert few.n_trees <= 2 and 2 < more.n_trees <= 20  # early stopping never exceeds maxIter
+    assert few.n_trees <= 2 and 2 < more.n_trees <= 20  # early stopping never exceeds n_estimators
     assert more.n_rows == master_mid.where("(user_id * 31 + product_id * 17) % 10 < 2").count()
 
 
+def test_tuned_settings_translate_and_split(spark, master_mid):
+    from cartwise.operators.model import TUNED_PARAMS, fit_gbt, spark_params
+    p = spark_params(TUNED_PARAMS, 1000)
+    assert p["maxIter"] == 938 and p["maxDepth"] == 10 and p["minInfoGain"] == pytest.approx(1.54649974715052e-3)
+    model = fit_gbt(master_mid, {**TUNED_PARAMS, "n_estimators": 3})
+    assert model.getNumTrees >= 1
+    assert sum(t.numNodes for t in model.trees) > model.getNumTrees  # trees do split
+
+
 def test_hyper_search_ranks_trials(spark, master_mid):
     from cartwise.operators.model import hyper_search
-    out = hyper_search(master_mid, n_trials=2, overrides={"maxIter": 3, "maxDepth": 3}).collect()
+    out = hyper_search(master_mid, n_trials=2, overrides={"n_estimators": 3, "max_depth": 3}).collect()
     assert len(out) == 2 and all(r.log_loss > 0 for r in out)
 
 
