@@ -68,11 +68,12 @@ def sequence_number(df: DataFrame, key: str, order_by: list[str], name: str,
     per-(partition, key) run lengths — at most one row per partition for any
     key — give each run its starting offset.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_key = [key, *order_by]
+    # Without an explicit count AQE sizes the range shuffle by bytes; it only
+    # merges adjacent ranges, and partition ids are read after the exchange.
+    ranged = df.repartitionByRange(partitions, *sort_key) if partitions else df.repartitionByRange(*sort_key)
     ranged = cut_lineage(
-        df.repartitionByRange(n, *sort_key)
+        ranged
         .sortWithinPartitions(*sort_key)
         .withColumn("_sq_part", F.spark_partition_id())
         .withColumn("_sq_pos", F.monotonically_increasing_id()),
