@@ -164,6 +164,32 @@ def hyper_search(master: DataFrame, n_trials: int = 20, seed: int = 42,
     return spark.createDataFrame(rows, schema)
 
 
+def grid_search(master: DataFrame, grid: dict[str, list], seed: int = 42, parallelism: int = 2) -> DataFrame:
+    """Exhaustive search over a grid of booster-style settings
+    (``ParamGridBuilder``), each fit ranked by validation log-loss."""
+    from pyspark.ml.tuning import ParamGridBuilder
+    spark = master.sparkSession
+    n = _train_rows(master)
+    est = gbt_estimator(seed=seed)
+    builder = ParamGridBuilder()
+    for key, values in grid.items():
+        spark_values = [spark_params({key: v}, n) for v in values]
+        (name,) = spark_values[0].keys()
+        builder = builder.addGrid(est.getParam(name), [sv[name] for sv in spark_values])
+    maps = builder.build()
+    data = training_frame(master).persist()
+    val = with_split(master).where(F.col("is_validation")).drop("is_validation")
+    rows = []
+    try:
+        for idx, model in _fit_all(est, data, maps, parallelism):
+            ll = log_loss(model_scorer(model)(val)).first()["log_loss"]
+            setting = ", ".join(f"{p.name}={v}" for p, v in sorted(maps[idx].items(), key=lambda kv: kv[0].name))
+            rows.append((idx, setting, int(model.getNumTrees), float(ll)))
+    finally:
+        data.unpersist()
+    return spark.createDataFrame(rows, "trial int, setting string, n_trees int, log_loss double")
+
+
 def _fit_all(est, data, maps, parallelism):
     from multiprocessing.pool import ThreadPool
     it = est.fitMultiple(data, maps)

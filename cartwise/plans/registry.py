@@ -32,6 +32,7 @@ ONE_USER = 42
 SMOKE_GBT = {"n_estimators": 20, "max_depth": 5}
 SMOKE_SEARCH_TRIALS = 3
 SMOKE_SEARCH = {"n_estimators": 10, "max_depth": 4}
+SMOKE_GRID = {"n_estimators": [5], "max_depth": [3, 5], "learning_rate": [0.1, 0.3]}
 
 
 class Ctx:
@@ -311,6 +312,22 @@ def q_hyper_search(spark, sf_dir):
     return hyper_search(Ctx(spark, sf_dir).stored_master, n_trials=SMOKE_SEARCH_TRIALS, overrides=SMOKE_SEARCH)
 
 
+def q_grid_search(spark, sf_dir):
+    from ..operators.model import grid_search
+    return grid_search(Ctx(spark, sf_dir).stored_master, SMOKE_GRID)
+
+
+def q_recommend_gbt(spark, sf_dir):
+    """M15 with a fitted model: every user's candidates scored by the GBT,
+    then the serving-threshold list."""
+    from ..operators.model import fit_gbt
+    c = Ctx(spark, sf_dir)
+    model = fit_gbt(c.stored_master, SMOKE_GBT)
+    s = c.store
+    frame = R.scoring_frame(s.uxp_features, s.user_features, s.product_features, c.r.products)
+    return R.recommend_threshold(R.score_candidates(frame, R.model_scorer(model)))
+
+
 def q_feature_importance(spark, sf_dir):
     from ..operators.model import feature_importance, fit_gbt
     c = Ctx(spark, sf_dir)
@@ -365,6 +382,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_trend_k": q_user_trend_k,
     "gbt_train": q_gbt_train,
     "hyper_search": q_hyper_search,
+    "grid_search": q_grid_search,
+    "recommend_gbt": q_recommend_gbt,
     "feature_importance": q_feature_importance,
     "model_roundtrip": q_model_roundtrip,
 }

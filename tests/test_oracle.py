@@ -9,7 +9,7 @@ from oracle_compare import compare, duck
 
 QUERIES = entry.queries()
 ORACLE = entry.oracle_sql()
-MODEL = {"gbt_train", "hyper_search", "feature_importance", "model_roundtrip"}
+MODEL = {"gbt_train", "hyper_search", "grid_search", "feature_importance", "model_roundtrip", "recommend_gbt"}
 
 
 @pytest.fixture(scope="module")
