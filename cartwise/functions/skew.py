@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+import contextlib
 import uuid
 
 from ..session import scratch_path
@@ -42,6 +43,27 @@ def broadcast_bounded(df: DataFrame, bound: DataFrame, max_rows: int = DEFAULT_B
     return F.broadcast(df) if n <= max_rows else df
 
 
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def lineage_scope(spark):
+    """Collect the folders written by ``cut_lineage`` inside the block and
+    delete them when it ends.  Use it around work whose results are written
+    elsewhere before the block ends (nothing may still read the copies)."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield paths
+    finally:
+        _scopes.remove(paths)
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for p in paths:
+            hp = jvm.org.apache.hadoop.fs.Path(p)
+            hp.getFileSystem(conf).delete(hp, True)
+
+
 def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     """Materialise ``df`` as Parquet in the session's shared checkpoint folder
     and return a DataFrame reading it back.
@@ -53,6 +75,8 @@ def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, "lineage", f"{label}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
+    if _scopes:
+        _scopes[-1].append(path)
     return df.sparkSession.read.parquet(path)
 
 

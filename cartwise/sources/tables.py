@@ -15,6 +15,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.skew import lineage_scope
 from ..session import scratch_path
 from .derive import (PRODUCT_FOLD, RetailTables, derive_lines, derive_orders, derive_products,
                      derive_retail, read_source)
@@ -69,16 +70,18 @@ def load_retail(spark: SparkSession, sf_dir: str, fold: int | None = PRODUCT_FOL
     with _lock:
         if key not in _memo:
             base = scratch_path(spark, "retail", _token(sf_dir, fold))
-            _write_orders(derive_orders(read_source(spark, sf_dir, "orders")), base)
-            orders = spark.read.parquet(f"{base}/orders").select(*ORDER_COLS)
-            part = derive_products(read_source(spark, sf_dir, "part"), fold)
-            lines = (derive_lines(read_source(spark, sf_dir, "lineitem"), orders, fold)
-                     .where(F.col("eval_set").isin("prior", "train")))
-            _memo[key] = _write_rest(
-                spark, base, lines,
-                part.select("product_id", "product_name", "aisle_id", "department_id"),
-                part.select("aisle_id", F.col("p_brand").alias("aisle")).distinct(),
-                part.select("department_id", F.col("p_type").alias("department")).distinct())
+            # the numbering's intermediate copies are deleted once both tables are written
+            with lineage_scope(spark):
+                _write_orders(derive_orders(read_source(spark, sf_dir, "orders")), base)
+                orders = spark.read.parquet(f"{base}/orders").select(*ORDER_COLS)
+                part = derive_products(read_source(spark, sf_dir, "part"), fold)
+                lines = (derive_lines(read_source(spark, sf_dir, "lineitem"), orders, fold)
+                         .where(F.col("eval_set").isin("prior", "train")))
+                _memo[key] = _write_rest(
+                    spark, base, lines,
+                    part.select("product_id", "product_name", "aisle_id", "department_id"),
+                    part.select("aisle_id", F.col("p_brand").alias("aisle")).distinct(),
+                    part.select("department_id", F.col("p_type").alias("department")).distinct())
         return _memo[key]
 
 
