@@ -99,11 +99,15 @@ def best_threshold(sweep: DataFrame) -> DataFrame:
 
 def confusion_counts(scored: DataFrame, threshold: float | Column = SERVING_THRESHOLD,
                      label: str = LABEL, prob: str = PROB) -> DataFrame:
-    """tp, fp, fn, tn at one threshold (strict ``p > t``), one row."""
-    y, pred = F.col(label) == 1, F.col(prob) > _thr(threshold)
+    """tp, fp, fn, tn at one threshold (strict ``p > t``), one row.
+
+    The prediction is computed once as a column, so a threshold given as a
+    scalar subquery is planned (and run) once, not once per cell."""
+    flagged = scored.select((F.col(prob) > _thr(threshold)).alias("_pred"), (F.col(label) == 1).alias("_pos"))
+    y, pred = F.col("_pos"), F.col("_pred")
     s = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("long")
-    return scored.agg(s(pred & y).alias("tp"), s(pred & ~y).alias("fp"),
-                      s(~pred & y).alias("fn"), s(~pred & ~y).alias("tn"))
+    return flagged.agg(s(pred & y).alias("tp"), s(pred & ~y).alias("fp"),
+                       s(~pred & y).alias("fn"), s(~pred & ~y).alias("tn"))
 
 
 def confusion(scored: DataFrame, threshold: float | Column = SERVING_THRESHOLD, **kw) -> DataFrame:

@@ -115,8 +115,9 @@ def q_master_csv_roundtrip(spark, sf_dir):
 def q_table_counts(spark, sf_dir):
     from ..sources.files import table_counts
     c = Ctx(spark, sf_dir)
-    return table_counts({**c.r.as_dict(), "user_features": c.user_feats, "product_features": c.prod_feats,
-                         "uxp_features": c.uxp, "train_master": c.master})
+    s = c.store  # rows of the tables as written, like the counts printed after each write
+    return table_counts({**c.r.as_dict(), "user_features": s.user_features, "product_features": s.product_features,
+                         "uxp_features": s.uxp_features, "train_master": s.train_master})
 
 
 # ---- features -------------------------------------------------------------------

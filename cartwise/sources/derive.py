@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.skew import sequence_number, sized_broadcast
+from ..functions.skew import sequence_number
 
 # Department id by part type, other types -> 6.
 DEPARTMENT_OF_TYPE = {"ECONOMY": 1, "LARGE": 2, "MEDIUM": 3, "PROMO": 4, "SMALL": 5}
@@ -138,4 +138,4 @@ def derive_retail(spark: SparkSession, sf_dir: str, fold: int | None = PRODUCT_F
 
 
 __all__ = ["RetailTables", "derive_retail", "derive_orders", "derive_lines", "derive_products",
-           "read_source", "sized_broadcast"]
+           "read_source"]
