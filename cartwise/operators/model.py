@@ -161,7 +161,13 @@ def hyper_search(master: DataFrame, n_trials: int = 20, seed: int = 42,
         data.unpersist()
     schema = ("trial int, n_estimators int, learning_rate double, max_depth int, subsample double, "
               "colsample_bytree double, gamma double, n_trees int, log_loss double")
-    return spark.createDataFrame(rows, schema)
+    return _ranked_trials(spark.createDataFrame(rows, schema))
+
+
+def _ranked_trials(trials: DataFrame) -> DataFrame:
+    """Rank trials by validation log-loss (rank 1 = the study's best)."""
+    from pyspark.sql import Window
+    return trials.withColumn("rank", F.row_number().over(Window.orderBy("log_loss", "trial")))
 
 
 def grid_search(master: DataFrame, grid: dict[str, list], seed: int = 42, parallelism: int = 2) -> DataFrame:
@@ -187,7 +193,7 @@ def grid_search(master: DataFrame, grid: dict[str, list], seed: int = 42, parall
             rows.append((idx, setting, int(model.getNumTrees), float(ll)))
     finally:
         data.unpersist()
-    return spark.createDataFrame(rows, "trial int, setting string, n_trees int, log_loss double")
+    return _ranked_trials(spark.createDataFrame(rows, "trial int, setting string, n_trees int, log_loss double"))
 
 
 def _fit_all(est, data, maps, parallelism):
@@ -198,8 +204,11 @@ def _fit_all(est, data, maps, parallelism):
             yield idx, model
 
 
-def feature_importance(spark: SparkSession, model, path: str, features: list[str] = FEATURES) -> DataFrame:
-    """Impurity-based importance and split counts ("weight") per feature.
+def feature_importance(spark: SparkSession, model, path: str, features: list[str] = FEATURES,
+                       top: int | None = None) -> DataFrame:
+    """Impurity-based importance and split counts ("weight") per feature,
+    ranked by split count (``weight_rank``); ``top`` keeps the first N as the
+    notebook's plots do (10, then 15).
 
     Split counts come from the saved model's node table (one row per node),
     grouped by the split feature — a distributed read, not a tree walk.
@@ -212,8 +221,13 @@ def feature_importance(spark: SparkSession, model, path: str, features: list[str
     imp = model.featureImportances.toArray().tolist()
     names = spark.createDataFrame([(i, f, float(imp[i])) for i, f in enumerate(features)],
                                   "feature_index int, feature string, importance double")
-    return (names.join(splits, "feature_index", "left").na.fill(0, ["split_count"])
-            .select("feature", "importance", F.col("split_count").cast("long").alias("split_count")))
+    from pyspark.sql import Window
+    out = (names.join(splits, "feature_index", "left").na.fill(0, ["split_count"])
+           .select("feature", "importance", F.col("split_count").cast("long").alias("split_count")))
+    # 17 rows: a global rank is fine here
+    out = out.withColumn("weight_rank", F.row_number().over(
+        Window.orderBy(F.desc("split_count"), F.desc("importance"), F.asc("feature"))))
+    return out.where(F.col("weight_rank") <= top) if top else out
 
 
 def save_model(model, path: str) -> None:

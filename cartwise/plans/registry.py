@@ -333,7 +333,7 @@ def q_feature_importance(spark, sf_dir):
     from ..operators.model import feature_importance, fit_gbt
     c = Ctx(spark, sf_dir)
     model = fit_gbt(c.stored_master, SMOKE_GBT)
-    return feature_importance(spark, model, c.scratch("model_importance"))
+    return feature_importance(spark, model, c.scratch("model_importance"), top=15)
 
 
 def q_model_roundtrip(spark, sf_dir):
