@@ -163,19 +163,22 @@ FEATURE_COLS = ", ".join([
 
 
 def _sweep_sql() -> str:
-    members = []
-    for g, ks in THRESHOLD_GRIDS.items():
-        members += [f"('{g}', {k})" for k in ks]
+    """Sweep as explicit conditional sums, one column set per threshold
+    (a different method from the Spark side's histogram)."""
+    ks = sorted({k for g in THRESHOLD_GRIDS.values() for k in g})
+    sums = []
+    for k in ks:
+        t = f"(CAST({k} AS DOUBLE) / 100)"
+        sums += [f"CAST(sum(CASE WHEN probability > {t} AND reordered = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp_{k}",
+                 f"CAST(sum(CASE WHEN probability > {t} AND reordered <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS fp_{k}",
+                 f"CAST(sum(CASE WHEN probability <= {t} AND reordered = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fn_{k}",
+                 f"CAST(sum(CASE WHEN probability <= {t} AND reordered <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS tn_{k}"]
+    rows = [f"SELECT '{g}' AS grid, CAST({k} AS DOUBLE) / 100 AS threshold, tp_{k} AS tp, fp_{k} AS fp, "
+            f"fn_{k} AS fn, tn_{k} AS tn FROM agg"
+            for g, members in THRESHOLD_GRIDS.items() for k in members]
     return f"""
-, grid(grid, k) AS (VALUES {", ".join(members)})
-, counts AS (
-  SELECT g.grid, CAST(g.k AS DOUBLE) / 100 AS threshold,
-         CAST(sum(CASE WHEN v.probability > CAST(g.k AS DOUBLE) / 100 AND v.reordered = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
-         CAST(sum(CASE WHEN v.probability > CAST(g.k AS DOUBLE) / 100 AND v.reordered <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
-         CAST(sum(CASE WHEN v.probability <= CAST(g.k AS DOUBLE) / 100 AND v.reordered = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fn,
-         CAST(sum(CASE WHEN v.probability <= CAST(g.k AS DOUBLE) / 100 AND v.reordered <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS tn
-  FROM grid g, val_scored v
-  GROUP BY g.grid, g.k)
+, agg AS (SELECT {", ".join(sums)} FROM val_scored)
+, counts AS ({" UNION ALL ".join(rows)})
 , sweep AS (
   SELECT grid, threshold, tp, fp, fn, tn,
          CASE WHEN tp + fp = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fp) END AS precision,
