@@ -136,6 +136,21 @@ def user_dept_share(orders: DataFrame, prior: DataFrame, products: DataFrame) ->
     return per_dept.withColumn("dept_share", F.col("dept_lines") / total)
 
 
+def candidate_dept_share(candidates: DataFrame, share: DataFrame, products: DataFrame) -> DataFrame:
+    """D2 at candidate level: for each (user, product) candidate, the share of
+    the user's prior lines that fall in the product's department (0 when the
+    user never bought in it or the product is unknown).
+
+    Both joins are equi-joins on bounded or composite keys: the catalogue is
+    broadcast behind a size check, the share table joins on (user, department).
+    """
+    dept = sized_broadcast(products.select("product_id", "department_id"))
+    c = candidates.select("user_id", "product_id").join(dept, "product_id", "left")
+    return (c.join(share.select("user_id", "department_id", "dept_share"), ["user_id", "department_id"], "left")
+            .select("user_id", "product_id", "department_id",
+                    F.coalesce(F.col("dept_share"), F.lit(0.0)).alias("uxd_dept_share")))
+
+
 def user_trend_k(orders: DataFrame, ks: tuple[int, ...] = (3, 5, 10)) -> DataFrame:
     """D3: recent mean gap over the last k prior orders for several k.
 

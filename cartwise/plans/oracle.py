@@ -337,6 +337,16 @@ SELECT user_id, department_id, dept_lines,
 FROM (SELECT e.user_id, p.department_id, count(*) AS dept_lines
       FROM f_enriched e JOIN r_products p ON e.product_id = p.product_id
       GROUP BY e.user_id, p.department_id)""",
+        "candidate_dept_share": W + """
+SELECT m.user_id, m.product_id, p.department_id, coalesce(s.dept_share, 0.0) AS uxd_dept_share
+FROM train_master m
+LEFT JOIN r_products p ON m.product_id = p.product_id
+LEFT JOIN (SELECT user_id, department_id,
+                  CAST(dept_lines AS DOUBLE) / sum(dept_lines) OVER (PARTITION BY user_id) AS dept_share
+           FROM (SELECT e.user_id, p2.department_id, count(*) AS dept_lines
+                 FROM f_enriched e JOIN r_products p2 ON e.product_id = p2.product_id
+                 GROUP BY e.user_id, p2.department_id)) s
+  ON m.user_id = s.user_id AND p.department_id = s.department_id""",
         "user_trend_k": W + """
 SELECT user_id,
        coalesce(avg(CASE WHEN rk <= 3 THEN days_since_prior_order END), 0) AS recent_avg_days_3,

@@ -165,6 +165,12 @@ def q_user_dept_share(spark, sf_dir):
     return FT.user_dept_share(c.r.orders, c.r.prior, c.r.products)
 
 
+def q_candidate_dept_share(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    share = FT.user_dept_share(c.r.orders, c.r.prior, c.r.products)
+    return FT.candidate_dept_share(c.stored_master, share, c.r.products)
+
+
 def q_user_trend_k(spark, sf_dir):
     return FT.user_trend_k(Ctx(spark, sf_dir).r.orders)
 
@@ -380,6 +386,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "eda_list_tables": q_eda_list_tables,
     "cyclical_hour": q_cyclical_hour,
     "user_dept_share": q_user_dept_share,
+    "candidate_dept_share": q_candidate_dept_share,
     "user_trend_k": q_user_trend_k,
     "gbt_train": q_gbt_train,
     "hyper_search": q_hyper_search,
