@@ -22,14 +22,41 @@ from ..session import scratch_path
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
+# Tables that cannot change for the rest of the session (written once by the
+# loader or the feature store), keyed by (application, semantic plan hash).
+# Size checks against them are computed once per session.
+_stable: set[tuple] = set()
+_checked: dict[tuple, bool] = {}
+
+
+def _key(df: DataFrame) -> tuple:
+    return (df.sparkSession.sparkContext.applicationId, df.semanticHash())
+
+
+def mark_stable(df: DataFrame) -> DataFrame:
+    """Declare ``df`` unchanging for this session (a table written once)."""
+    _stable.add(_key(df))
+    return df
+
+
+def _fits(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
+    key = _key(df)
+    if key in _stable and (key, max_rows) in _checked:
+        return _checked[(key, max_rows)]
+    ok = df.limit(max_rows + 1).count() <= max_rows
+    if key in _stable:
+        _checked[(key, max_rows)] = ok
+    return ok
+
+
 def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows.  Beyond the bound the
     DataFrame is returned unchanged and the planner picks a shuffle join.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if _fits(df, max_rows) else df
 
 
 def broadcast_bounded(df: DataFrame, bound: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -39,8 +66,7 @@ def broadcast_bounded(df: DataFrame, bound: DataFrame, max_rows: int = DEFAULT_B
     features, at most one row per catalogue product), checking ``bound``
     proves the size without computing ``df`` twice.
     """
-    n = bound.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if _fits(bound, max_rows) else df
 
 
 _scopes: list[list[str]] = []

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import hour_angle, ratio
-from ..functions.skew import sized_broadcast, top_k_per_group
+from ..functions.skew import broadcast_bounded, sized_broadcast, top_k_per_group
 
 RECENT_ORDERS = 3
 
@@ -97,7 +97,8 @@ def product_features(prior: DataFrame, products: DataFrame) -> DataFrame:
                  .agg(F.count(F.lit(1)).alias("n_dup"),
                       F.max("aisle_id").alias("aisle_id"),
                       F.max("department_id").alias("department_id")))
-    return (per_product.join(sized_broadcast(catalogue), "product_id")
+    # the grouped catalogue has at most one row per catalogue row
+    return (per_product.join(broadcast_bounded(catalogue, products), "product_id")
             .select("product_id", "aisle_id", "department_id",
                     (F.col("n_lines") * F.col("n_dup")).alias("prod_total_orders"),
                     "prod_reorder_rate", "prod_avg_position"))
@@ -130,7 +131,7 @@ def user_dept_share(orders: DataFrame, prior: DataFrame, products: DataFrame) ->
     """
     from pyspark.sql import Window
     lines = enriched_prior(orders, prior).join(
-        sized_broadcast(products.select("product_id", "department_id")), "product_id")
+        broadcast_bounded(products.select("product_id", "department_id"), products), "product_id")
     per_dept = lines.groupBy("user_id", "department_id").agg(F.count(F.lit(1)).alias("dept_lines"))
     total = F.sum("dept_lines").over(Window.partitionBy("user_id"))
     return per_dept.withColumn("dept_share", F.col("dept_lines") / total)
@@ -144,7 +145,7 @@ def candidate_dept_share(candidates: DataFrame, share: DataFrame, products: Data
     Both joins are equi-joins on bounded or composite keys: the catalogue is
     broadcast behind a size check, the share table joins on (user, department).
     """
-    dept = sized_broadcast(products.select("product_id", "department_id"))
+    dept = broadcast_bounded(products.select("product_id", "department_id"), products)
     c = candidates.select("user_id", "product_id").join(dept, "product_id", "left")
     return (c.join(share.select("user_id", "department_id", "dept_share"), ["user_id", "department_id"], "left")
             .select("user_id", "product_id", "department_id",

@@ -15,7 +15,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.skew import lineage_scope
+from ..functions.skew import lineage_scope, mark_stable
 from ..session import scratch_path
 from .derive import (PRODUCT_FOLD, RetailTables, derive_lines, derive_orders, derive_products,
                      derive_retail, read_source)
@@ -54,7 +54,8 @@ def _write_rest(spark: SparkSession, base: str, lines: DataFrame, products: Data
         orders=spark.read.parquet(f"{base}/orders").select(*ORDER_COLS),
         prior=lines_back.where(F.col("eval_set") == "prior").select(*LINE_COLS),
         train=lines_back.where(F.col("eval_set") == "train").select(*LINE_COLS),
-        products=spark.read.parquet(f"{base}/products"),
+        # written once for this session: size checks against it are reused
+        products=mark_stable(spark.read.parquet(f"{base}/products")),
         aisles=spark.read.parquet(f"{base}/aisles"),
         departments=spark.read.parquet(f"{base}/departments"),
     )
