@@ -141,6 +141,34 @@ def sequence_number(df: DataFrame, key: str, order_by: list[str], name: str,
             .drop("_sq_part", "_sq_pos", "_sq_rpart", "_sq_rkey", "_sq_first", "_sq_before"))
 
 
+def has_hot_key(df: DataFrame, key: str, partitions: int | None = None) -> bool:
+    """True when one ``key`` holds more rows than an average shuffle partition.
+
+    One aggregate (per-key counts combined map-side, then max and total); only
+    two numbers reach the driver.
+    """
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stats = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+             .agg(F.max("_n").alias("biggest"), F.sum("_n").alias("total")).first())
+    if stats is None or stats["total"] is None:
+        return False
+    return stats["biggest"] > stats["total"] / n
+
+
+def adaptive_sequence_number(df: DataFrame, key: str, order_by: list[str], name: str) -> DataFrame:
+    """``sequence_number`` when some key is hot, else the plain window.
+
+    Without a hot key every ``key`` group is smaller than an average
+    partition, so ``row_number() OVER (PARTITION BY key)`` (one shuffle) is
+    safe; with one, the range-partitioned numbering spreads it over tasks.
+    Both give the same numbers.
+    """
+    if has_hot_key(df, key):
+        return sequence_number(df, key, order_by, name)
+    w = Window.partitionBy(key).orderBy(*order_by)
+    return df.withColumn(name, F.row_number().over(w).cast("int"))
+
+
 def top_k_per_group(df: DataFrame, key: str | list[str], order: list[Column], k: int,
                     rank_name: str = "rn") -> DataFrame:
     """Rows ranked ``1..k`` within each group.

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.skew import sequence_number
+from ..functions.skew import adaptive_sequence_number
 
 # Department id by part type, other types -> 6.
 DEPARTMENT_OF_TYPE = {"ECONOMY": 1, "LARGE": 2, "MEDIUM": 3, "PROMO": 4, "SMALL": 5}
@@ -56,7 +56,7 @@ def derive_orders(raw_orders: DataFrame) -> DataFrame:
     o = raw_orders.select(F.col("o_orderkey").alias("order_id"),
                           F.col("o_custkey").alias("user_id"),
                           F.to_date("o_orderdate").alias("order_date"))
-    o = sequence_number(o, "user_id", ["order_date", "order_id"], "order_number")
+    o = adaptive_sequence_number(o, "user_id", ["order_date", "order_id"], "order_number")
 
     # Previous date and "has a next order" without a per-user window: every
     # order is sent to its own slot, to the next slot (as the previous date)
@@ -109,7 +109,7 @@ def derive_lines(lineitem: DataFrame, orders: DataFrame, fold: int | None = PROD
     lines = (lineitem.select(F.col("l_orderkey").alias("order_id"), product.alias("product_id"), "l_linenumber")
              .groupBy("order_id", "product_id")
              .agg(F.min("l_linenumber").alias("first_line")))
-    lines = sequence_number(lines, "order_id", ["first_line", "product_id"], "add_to_cart_order")
+    lines = adaptive_sequence_number(lines, "order_id", ["first_line", "product_id"], "add_to_cart_order")
     lines = lines.join(orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id")
     # First purchase of each (user, product); a hot pair is split by AQE's skew join.
     first = (lines.groupBy("user_id", "product_id")

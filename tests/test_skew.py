@@ -23,6 +23,17 @@ def test_sequence_number_matches_row_number_with_hot_key(spark):
     assert got.count() == df.count()
 
 
+def test_adaptive_numbering_detects_hot_key_and_agrees(spark):
+    from cartwise.functions.skew import adaptive_sequence_number, has_hot_key
+    hot = _hot_frame(spark)
+    even = spark.range(30_000).select((F.col("id") % 3000).alias("k"), F.col("id").alias("v"), F.col("id"))
+    assert has_hot_key(hot, "k", 8) and not has_hot_key(even, "k", 8)
+    for df in (hot, even):
+        got = adaptive_sequence_number(df, "k", ["v", "id"], "seq")
+        want = df.withColumn("seq", F.row_number().over(Window.partitionBy("k").orderBy("v", "id")))
+        assert got.select("id", "seq").exceptAll(want.select("id", "seq")).count() == 0
+
+
 def test_hot_key_spans_several_partitions(spark):
     df = _hot_frame(spark)
     ranged = df.repartitionByRange(8, "k", "v", "id").withColumn("p", F.spark_partition_id())
