@@ -15,10 +15,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.skew import adaptive_sequence_number
+from ..functions.skew import adaptive_sequence_number, has_hot_key, sequence_number
 
 # Department id by part type, other types -> 6.
 DEPARTMENT_OF_TYPE = {"ECONOMY": 1, "LARGE": 2, "MEDIUM": 3, "PROMO": 4, "SMALL": 5}
@@ -56,27 +56,7 @@ def derive_orders(raw_orders: DataFrame) -> DataFrame:
     o = raw_orders.select(F.col("o_orderkey").alias("order_id"),
                           F.col("o_custkey").alias("user_id"),
                           F.to_date("o_orderdate").alias("order_date"))
-    o = adaptive_sequence_number(o, "user_id", ["order_date", "order_id"], "order_number")
-
-    # Previous date and "has a next order" without a per-user window: every
-    # order is sent to its own slot, to the next slot (as the previous date)
-    # and to the slot before (as a marker), then regrouped on the composite
-    # key (user_id, order_number) — no key is hot here.
-    null_date = F.lit(None).cast("date")
-    null_id = F.lit(None).cast("long")
-    own = o.select("user_id", "order_number", "order_id", "order_date",
-                   null_date.alias("prev_date"), F.lit(0).alias("has_next"))
-    as_prev = o.select("user_id", (F.col("order_number") + 1).alias("order_number"), null_id.alias("order_id"),
-                       null_date.alias("order_date"), F.col("order_date").alias("prev_date"),
-                       F.lit(0).alias("has_next"))
-    as_next = o.select("user_id", (F.col("order_number") - 1).alias("order_number"), null_id.alias("order_id"),
-                       null_date.alias("order_date"), null_date.alias("prev_date"), F.lit(1).alias("has_next"))
-    g = (own.unionByName(as_prev).unionByName(as_next)
-         .groupBy("user_id", "order_number")
-         .agg(F.max("order_id").alias("order_id"), F.max("order_date").alias("order_date"),
-              F.max("prev_date").alias("prev_date"), F.max("has_next").alias("has_next"))
-         .where(F.col("order_id").isNotNull()))
-
+    g = _neighbours_hot(o) if has_hot_key(o, "user_id") else _neighbours_window(o)
     is_prior = (F.col("has_next") == 1) | (F.col("order_number") == 1)
     eval_set = (F.when(is_prior, F.lit("prior"))
                 .when(F.col("user_id") % 4 == 0, F.lit("test"))
@@ -91,6 +71,39 @@ def derive_orders(raw_orders: DataFrame) -> DataFrame:
     )
 
 
+def _neighbours_window(o: DataFrame) -> DataFrame:
+    """No user outweighs a partition: one per-user window gives the number,
+    the previous date and whether a later order exists."""
+    w = Window.partitionBy("user_id").orderBy("order_date", "order_id")
+    return o.select("user_id", "order_id", "order_date",
+                    F.row_number().over(w).alias("order_number"),
+                    F.lag("order_date").over(w).alias("prev_date"),
+                    F.lead("order_id").over(w).isNotNull().cast("int").alias("has_next"))
+
+
+def _neighbours_hot(o: DataFrame) -> DataFrame:
+    """A hot user: range-partitioned numbering, then the previous date and the
+    "has a next order" flag without a per-user window — every order is sent to
+    its own slot, to the next slot (as the previous date) and to the slot
+    before (as a marker), then regrouped on the composite key
+    (user_id, order_number), where no key is hot."""
+    o = sequence_number(o, "user_id", ["order_date", "order_id"], "order_number")
+    null_date = F.lit(None).cast("date")
+    null_id = F.lit(None).cast("long")
+    own = o.select("user_id", "order_number", "order_id", "order_date",
+                   null_date.alias("prev_date"), F.lit(0).alias("has_next"))
+    as_prev = o.select("user_id", (F.col("order_number") + 1).alias("order_number"), null_id.alias("order_id"),
+                       null_date.alias("order_date"), F.col("order_date").alias("prev_date"),
+                       F.lit(0).alias("has_next"))
+    as_next = o.select("user_id", (F.col("order_number") - 1).alias("order_number"), null_id.alias("order_id"),
+                       null_date.alias("order_date"), null_date.alias("prev_date"), F.lit(1).alias("has_next"))
+    return (own.unionByName(as_prev).unionByName(as_next)
+            .groupBy("user_id", "order_number")
+            .agg(F.max("order_id").alias("order_id"), F.max("order_date").alias("order_date"),
+                 F.max("prev_date").alias("prev_date"), F.max("has_next").alias("has_next"))
+            .where(F.col("order_id").isNotNull()))
+
+
 def derive_products(part: DataFrame, fold: int | None = PRODUCT_FOLD) -> DataFrame:
     p = part.where(F.col("p_partkey") < fold) if fold else part
     dept = F.lit(OTHER_DEPARTMENT)
