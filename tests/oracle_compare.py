@@ -27,6 +27,10 @@ def duck(sf_dir: str):
     return con
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE", "float": "FLOAT", "smallint": "SMALLINT"}
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
@@ -56,6 +60,12 @@ def compare(spark, con, name: str, sf_dir: str, queries, oracle) -> tuple[bool,
     drows = res.fetchall()
     if sorted(scols) != sorted(dcols):
         return False, f"columns differ spark={sorted(scols)} duck={sorted(dcols)}"
+    stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+              for f in sdf.schema.fields}
+    dtypes = {d[0]: str(d[1]) for d in res.description}
+    bad_types = {c: (stypes[c], dtypes[c]) for c in scols if stypes[c] != dtypes[c]}
+    if bad_types:
+        return False, f"types differ (spark, duck): {bad_types}"
     if len(srows) != len(drows):
         return False, f"row count spark={len(srows)} duck={len(drows)}"
     a, b = _rows(scols, srows), _rows(dcols, drows)
