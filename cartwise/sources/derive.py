@@ -13,7 +13,7 @@ holding a large share of the rows is spread over many tasks.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -35,6 +35,7 @@ class RetailTables:
     products: DataFrame
     aisles: DataFrame
     departments: DataFrame
+    row_counts: dict = field(default_factory=dict)  # observed while writing, when materialised
 
     def as_dict(self) -> dict[str, DataFrame]:
         return {

@@ -15,9 +15,10 @@ from __future__ import annotations
 
 import threading
 import time
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import dataset as D
 from ..operators import features as FT
@@ -34,36 +35,47 @@ class FeatureStore:
     product_features: DataFrame
     uxp_features: DataFrame
     train_master: DataFrame
+    row_counts: dict = field(default_factory=dict)  # observed while writing
 
 
 def _save(df: DataFrame, name: str, path: str, bucket_by: str | None = None, sort_by: list[str] | None = None,
-          buckets: int = 0) -> DataFrame:
-    w = df.write.mode("overwrite").format("parquet").option("path", path)
+          buckets: int = 0, counts: dict | None = None, count_as: str | None = None) -> DataFrame:
+    """Write ``df`` as an external table; its row count is observed during the
+    write itself (no second pass) and stored in ``counts[count_as]``."""
+    obs = Observation(f"rows_{name}")
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    w = observed.write.mode("overwrite").format("parquet").option("path", path)
     if bucket_by:
         w = w.bucketBy(buckets, bucket_by).sortBy(*(sort_by or [bucket_by]))
     w.saveAsTable(name)
+    if counts is not None:
+        counts[count_as or name] = int(obs.get["rows"])
     return df.sparkSession.table(name)
 
 
-def write_user_features(spark: SparkSession, r: RetailTables, prefix: str, base: str, buckets: int) -> DataFrame:
+def write_user_features(spark: SparkSession, r: RetailTables, prefix: str, base: str, buckets: int,
+                        counts: dict | None = None) -> DataFrame:
     return _save(FT.user_features(r.orders, r.prior), f"{prefix}_user_features", f"{base}/user_features",
-                 "user_id", ["user_id"], buckets)
+                 "user_id", ["user_id"], buckets, counts, "user_features")
 
 
-def write_uxp_features(spark: SparkSession, r: RetailTables, prefix: str, base: str, buckets: int) -> DataFrame:
+def write_uxp_features(spark: SparkSession, r: RetailTables, prefix: str, base: str, buckets: int,
+                       counts: dict | None = None) -> DataFrame:
     return _save(FT.uxp_features(r.orders, r.prior), f"{prefix}_uxp_features", f"{base}/uxp_features",
-                 "user_id", ["user_id", "product_id"], buckets)
+                 "user_id", ["user_id", "product_id"], buckets, counts, "uxp_features")
 
 
-def write_product_features(spark: SparkSession, r: RetailTables, prefix: str, base: str) -> DataFrame:
+def write_product_features(spark: SparkSession, r: RetailTables, prefix: str, base: str,
+                           counts: dict | None = None) -> DataFrame:
     return _save(FT.product_features(r.prior, r.products), f"{prefix}_product_features",
-                 f"{base}/product_features")
+                 f"{base}/product_features", counts=counts, count_as="product_features")
 
 
 def write_train_master(spark: SparkSession, r: RetailTables, uxp: DataFrame, uf: DataFrame, pf: DataFrame,
-                       prefix: str, base: str) -> DataFrame:
+                       prefix: str, base: str, counts: dict | None = None) -> DataFrame:
     master = D.train_master(r.orders, uxp, uf, pf, r.train, catalogue=r.products)
-    return _save(master, f"{prefix}_train_master", f"{base}/train_master")
+    return _save(master, f"{prefix}_train_master", f"{base}/train_master", counts=counts,
+                 count_as="train_master")
 
 
 def build_feature_store(spark: SparkSession, r: RetailTables, token: str, buckets: int | None = None,
@@ -83,9 +95,10 @@ def build_feature_store(spark: SparkSession, r: RetailTables, token: str, bucket
                 clock[name] = round(time.time() - t, 3)
                 return out
 
-            uxp = step("uxp_features", lambda: write_uxp_features(spark, r, prefix, base, n))
-            uf = step("user_features", lambda: write_user_features(spark, r, prefix, base, n))
-            pf = step("product_features", lambda: write_product_features(spark, r, prefix, base))
-            master = step("train_master", lambda: write_train_master(spark, r, uxp, uf, pf, prefix, base))
-            _memo[key] = FeatureStore(uf, pf, uxp, master)
+            counts: dict = {}
+            uxp = step("uxp_features", lambda: write_uxp_features(spark, r, prefix, base, n, counts))
+            uf = step("user_features", lambda: write_user_features(spark, r, prefix, base, n, counts))
+            pf = step("product_features", lambda: write_product_features(spark, r, prefix, base, counts))
+            master = step("train_master", lambda: write_train_master(spark, r, uxp, uf, pf, prefix, base, counts))
+            _memo[key] = FeatureStore(uf, pf, uxp, master, counts)
         return _memo[key]

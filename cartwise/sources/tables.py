@@ -12,7 +12,7 @@ from __future__ import annotations
 import hashlib
 import threading
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.skew import lineage_scope, mark_stable
@@ -40,15 +40,32 @@ def materialize(spark: SparkSession, tables: RetailTables, base: str) -> RetailT
     return _write_rest(spark, base, all_lines, tables.products, tables.aisles, tables.departments)
 
 
-def _write_orders(orders: DataFrame, base: str) -> None:
-    orders.write.mode("overwrite").partitionBy("eval_set").parquet(f"{base}/orders")
+def _observed(df: DataFrame, name: str, aggs: list) -> tuple[DataFrame, Observation]:
+    obs = Observation(name)
+    return df.observe(obs, *aggs), obs
+
+
+def _write_orders(orders: DataFrame, base: str, counts: dict | None = None) -> None:
+    """Write the orders (partitioned by split); the row count is observed
+    during the write, not by a second pass."""
+    out, obs = _observed(orders, "rows_orders", [F.count(F.lit(1)).alias("orders")])
+    out.write.mode("overwrite").partitionBy("eval_set").parquet(f"{base}/orders")
+    if counts is not None:
+        counts.update({k: int(v) for k, v in obs.get.items()})
 
 
 def _write_rest(spark: SparkSession, base: str, lines: DataFrame, products: DataFrame,
-                aisles: DataFrame, departments: DataFrame) -> RetailTables:
-    lines.write.mode("overwrite").partitionBy("eval_set").parquet(f"{base}/order_lines")
+                aisles: DataFrame, departments: DataFrame, counts: dict | None = None) -> RetailTables:
+    counts = {} if counts is None else counts
+    split = lambda name: F.sum(F.when(F.col("eval_set") == name, 1).otherwise(0)).cast("long")
+    out, obs = _observed(lines, "rows_lines", [split("prior").alias("order_products__prior"),
+                                               split("train").alias("order_products__train")])
+    out.write.mode("overwrite").partitionBy("eval_set").parquet(f"{base}/order_lines")
+    counts.update({k: int(v) for k, v in obs.get.items()})
     for name, df in (("products", products), ("aisles", aisles), ("departments", departments)):
-        df.coalesce(1).write.mode("overwrite").parquet(f"{base}/{name}")
+        out, obs = _observed(df, f"rows_{name}", [F.count(F.lit(1)).alias(name)])
+        out.coalesce(1).write.mode("overwrite").parquet(f"{base}/{name}")
+        counts.update({k: int(v) for k, v in obs.get.items()})
     lines_back = spark.read.parquet(f"{base}/order_lines")
     return RetailTables(
         orders=spark.read.parquet(f"{base}/orders").select(*ORDER_COLS),
@@ -58,6 +75,7 @@ def _write_rest(spark: SparkSession, base: str, lines: DataFrame, products: Data
         products=mark_stable(spark.read.parquet(f"{base}/products")),
         aisles=spark.read.parquet(f"{base}/aisles"),
         departments=spark.read.parquet(f"{base}/departments"),
+        row_counts=counts,
     )
 
 
@@ -72,8 +90,9 @@ def load_retail(spark: SparkSession, sf_dir: str, fold: int | None = PRODUCT_FOL
         if key not in _memo:
             base = scratch_path(spark, "retail", _token(sf_dir, fold))
             # the numbering's intermediate copies are deleted once both tables are written
+            counts: dict = {}
             with lineage_scope(spark):
-                _write_orders(derive_orders(read_source(spark, sf_dir, "orders")), base)
+                _write_orders(derive_orders(read_source(spark, sf_dir, "orders")), base, counts)
                 orders = spark.read.parquet(f"{base}/orders").select(*ORDER_COLS)
                 part = derive_products(read_source(spark, sf_dir, "part"), fold)
                 lines = (derive_lines(read_source(spark, sf_dir, "lineitem"), orders, fold)
@@ -82,7 +101,8 @@ def load_retail(spark: SparkSession, sf_dir: str, fold: int | None = PRODUCT_FOL
                     spark, base, lines,
                     part.select("product_id", "product_name", "aisle_id", "department_id"),
                     part.select("aisle_id", F.col("p_brand").alias("aisle")).distinct(),
-                    part.select("department_id", F.col("p_type").alias("department")).distinct())
+                    part.select("department_id", F.col("p_type").alias("department")).distinct(),
+                    counts)
         return _memo[key]
 
 

@@ -45,6 +45,16 @@ def test_table_counts(spark):
     assert counts == {"orders": orders.count(), "prior": prior.count()}
 
 
+def test_counts_observed_on_write_match_table_counts(spark):
+    from cartwise.plans.registry import Ctx
+    c = Ctx(spark, "/root/testdata/sf0.001")
+    observed = {**c.r.row_counts, **c.store.row_counts}
+    counted = {r.table_name: r.n_rows for r in table_counts(
+        {**c.r.as_dict(), "user_features": c.store.user_features, "product_features": c.store.product_features,
+         "uxp_features": c.store.uxp_features, "train_master": c.store.train_master}).collect()}
+    assert observed == counted and counted["train_master"] == 3345
+
+
 def test_request_stream(spark, tmp_dir):
     from cartwise.streaming import run_request_stream
     recs = spark.createDataFrame([(1, 1, 10, "banana", 0.9, 24), (1, 2, 11, "apple", 0.5, 24)],
