@@ -155,15 +155,18 @@ def has_hot_key(df: DataFrame, key: str, partitions: int | None = None) -> bool:
     return stats["biggest"] > stats["total"] / n
 
 
-def adaptive_sequence_number(df: DataFrame, key: str, order_by: list[str], name: str) -> DataFrame:
+def adaptive_sequence_number(df: DataFrame, key: str, order_by: list[str], name: str,
+                             probe: DataFrame | None = None) -> DataFrame:
     """``sequence_number`` when some key is hot, else the plain window.
 
     Without a hot key every ``key`` group is smaller than an average
     partition, so ``row_number() OVER (PARTITION BY key)`` (one shuffle) is
     safe; with one, the range-partitioned numbering spreads it over tasks.
-    Both give the same numbers.
+    Both give the same numbers.  ``probe`` (a cheaper frame with a ``key``
+    column whose per-key counts bound those of ``df``, e.g. raw lines before
+    de-duplication) is checked instead of ``df`` when given.
     """
-    if has_hot_key(df, key):
+    if has_hot_key(probe if probe is not None else df, key):
         return sequence_number(df, key, order_by, name)
     w = Window.partitionBy(key).orderBy(*order_by)
     return df.withColumn(name, F.row_number().over(w).cast("int"))

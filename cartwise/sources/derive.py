@@ -123,7 +123,10 @@ def derive_lines(lineitem: DataFrame, orders: DataFrame, fold: int | None = PROD
     lines = (lineitem.select(F.col("l_orderkey").alias("order_id"), product.alias("product_id"), "l_linenumber")
              .groupBy("order_id", "product_id")
              .agg(F.min("l_linenumber").alias("first_line")))
-    lines = adaptive_sequence_number(lines, "order_id", ["first_line", "product_id"], "add_to_cart_order")
+    # raw lines per order bound the de-duplicated ones: check the cheap column
+    raw_keys = lineitem.select(F.col("l_orderkey").alias("order_id"))
+    lines = adaptive_sequence_number(lines, "order_id", ["first_line", "product_id"], "add_to_cart_order",
+                                     probe=raw_keys)
     lines = lines.join(orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id")
     # First purchase of each (user, product); a hot pair is split by AQE's skew join.
     first = (lines.groupBy("user_id", "product_id")
