@@ -78,6 +78,23 @@ def write_train_master(spark: SparkSession, r: RetailTables, uxp: DataFrame, uf:
                  count_as="train_master")
 
 
+# Target rows per bucket of the user-keyed tables (about 100 MB of Parquet).
+ROWS_PER_BUCKET = 4_000_000
+
+
+def bucket_count(spark: SparkSession, r: RetailTables) -> int:
+    """Buckets sized by the data: the prior lines (observed while writing)
+    bound the user×product rows; at least the cluster's parallelism, at most
+    the shuffle partitions.  Bucketed scans are not coalesced by AQE, so a
+    count far above the data's needs costs empty tasks on every read."""
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines = r.row_counts.get("order_products__prior")
+    if lines is None:
+        return cap
+    wanted = -(-int(lines) // ROWS_PER_BUCKET)
+    return max(1, min(cap, max(spark.sparkContext.defaultParallelism, wanted)))
+
+
 def build_feature_store(spark: SparkSession, r: RetailTables, token: str, buckets: int | None = None,
                         timings: dict | None = None) -> FeatureStore:
     """Write the three feature tables and the training table (once per session
@@ -85,7 +102,7 @@ def build_feature_store(spark: SparkSession, r: RetailTables, token: str, bucket
     key = (spark.sparkContext.applicationId, token)
     with _lock:
         if key not in _memo:
-            n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+            n = buckets or bucket_count(spark, r)
             prefix, base = f"cw_{token}", scratch_path(spark, "features", token)
             clock = timings if timings is not None else {}
 
