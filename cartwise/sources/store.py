@@ -24,6 +24,7 @@ from ..operators import dataset as D
 from ..operators import features as FT
 from ..session import scratch_path
 from .derive import RetailTables
+from .tables import bucket_count_for
 
 _lock = threading.Lock()
 _memo: dict[tuple, "FeatureStore"] = {}
@@ -78,21 +79,10 @@ def write_train_master(spark: SparkSession, r: RetailTables, uxp: DataFrame, uf:
                  count_as="train_master")
 
 
-# Target rows per bucket of the user-keyed tables (about 100 MB of Parquet).
-ROWS_PER_BUCKET = 4_000_000
-
-
 def bucket_count(spark: SparkSession, r: RetailTables) -> int:
-    """Buckets sized by the data: the prior lines (observed while writing)
-    bound the user×product rows; at least the cluster's parallelism, at most
-    the shuffle partitions.  Bucketed scans are not coalesced by AQE, so a
-    count far above the data's needs costs empty tasks on every read."""
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    lines = r.row_counts.get("order_products__prior")
-    if lines is None:
-        return cap
-    wanted = -(-int(lines) // ROWS_PER_BUCKET)
-    return max(1, min(cap, max(spark.sparkContext.defaultParallelism, wanted)))
+    """Buckets of the user-keyed tables: the prior lines (observed while
+    writing) bound the user×product rows."""
+    return bucket_count_for(spark, r.row_counts.get("order_products__prior"))
 
 
 def build_feature_store(spark: SparkSession, r: RetailTables, token: str, buckets: int | None = None,

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import threading
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -32,12 +33,41 @@ def _token(sf_dir: str, fold) -> str:
     return hashlib.sha1(f"{sf_dir.rstrip('/')}|{fold}".encode()).hexdigest()[:12]
 
 
-def materialize(spark: SparkSession, tables: RetailTables, base: str) -> RetailTables:
+# Target rows per bucket of the bucketed tables (about 100 MB of Parquet).
+ROWS_PER_BUCKET = 4_000_000
+
+
+def bucket_count_for(spark: SparkSession, rows: int | None) -> int:
+    """Buckets sized by the data: about ``ROWS_PER_BUCKET`` rows each, at
+    least the cluster's parallelism, at most the shuffle partitions.
+    Bucketed scans are not coalesced by AQE, so a count far above the data's
+    needs costs empty tasks on every read."""
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if rows is None:
+        return cap
+    wanted = -(-int(rows) // ROWS_PER_BUCKET)
+    return max(1, min(cap, max(spark.sparkContext.defaultParallelism, wanted)))
+
+
+@dataclass
+class Layout:
+    """Where and how the retail tables are written: external tables under
+    ``base``, named ``<prefix>_<table>``, orders and order lines bucketed on
+    order_id with ``buckets`` buckets (and partitioned by split)."""
+    base: str
+    prefix: str
+    buckets: int
+
+
+def materialize(spark: SparkSession, tables: RetailTables, base: str, prefix: str = "cw_materialized",
+                buckets: int | None = None) -> RetailTables:
     """Write ``tables`` under ``base`` and return DataFrames reading them."""
-    _write_orders(tables.orders, base)
+    lay = Layout(base, prefix, buckets or bucket_count_for(spark, None))
+    counts: dict = {}
+    _write_orders(spark, tables.orders, lay, counts)
     all_lines = (tables.prior.withColumn("eval_set", F.lit("prior"))
                  .unionByName(tables.train.withColumn("eval_set", F.lit("train"))))
-    return _write_rest(spark, base, all_lines, tables.products, tables.aisles, tables.departments)
+    return _write_rest(spark, lay, all_lines, tables.products, tables.aisles, tables.departments, counts)
 
 
 def _observed(df: DataFrame, name: str, aggs: list) -> tuple[DataFrame, Observation]:
@@ -45,36 +75,52 @@ def _observed(df: DataFrame, name: str, aggs: list) -> tuple[DataFrame, Observat
     return df.observe(obs, *aggs), obs
 
 
-def _write_orders(orders: DataFrame, base: str, counts: dict | None = None) -> None:
-    """Write the orders (partitioned by split); the row count is observed
-    during the write, not by a second pass."""
+def _save_by_order(spark: SparkSession, df: DataFrame, lay: Layout, name: str) -> DataFrame:
+    """External table bucketed on order_id and partitioned by eval_set.
+
+    Rows are first hash-partitioned into the buckets, so each task writes one
+    file per (split, bucket).  A bucket never holds a skewed key: orders have
+    one row per id and lines one row per (order, product), so an order brings
+    at most a catalogue's worth of rows.  Later joins on order_id (lines ⋈
+    orders) read co-partitioned files and shuffle neither side.
+    """
+    (df.repartition(lay.buckets, "order_id")
+     .write.mode("overwrite").format("parquet").option("path", f"{lay.base}/{name}")
+     .partitionBy("eval_set").bucketBy(lay.buckets, "order_id").sortBy("order_id")
+     .saveAsTable(f"{lay.prefix}_{name}"))
+    return spark.table(f"{lay.prefix}_{name}")
+
+
+def _write_orders(spark: SparkSession, orders: DataFrame, lay: Layout, counts: dict | None = None) -> DataFrame:
+    """Write the orders; the row count is observed during the write, not by a
+    second pass."""
     out, obs = _observed(orders, "rows_orders", [F.count(F.lit(1)).alias("orders")])
-    out.write.mode("overwrite").partitionBy("eval_set").parquet(f"{base}/orders")
+    written = _save_by_order(spark, out, lay, "orders")
     if counts is not None:
         counts.update({k: int(v) for k, v in obs.get.items()})
+    return written.select(*ORDER_COLS)
 
 
-def _write_rest(spark: SparkSession, base: str, lines: DataFrame, products: DataFrame,
+def _write_rest(spark: SparkSession, lay: Layout, lines: DataFrame, products: DataFrame,
                 aisles: DataFrame, departments: DataFrame, counts: dict | None = None) -> RetailTables:
     counts = {} if counts is None else counts
     split = lambda name: F.sum(F.when(F.col("eval_set") == name, 1).otherwise(0)).cast("long")
     out, obs = _observed(lines, "rows_lines", [split("prior").alias("order_products__prior"),
                                                split("train").alias("order_products__train")])
-    out.write.mode("overwrite").partitionBy("eval_set").parquet(f"{base}/order_lines")
+    lines_back = _save_by_order(spark, out, lay, "order_lines")
     counts.update({k: int(v) for k, v in obs.get.items()})
     for name, df in (("products", products), ("aisles", aisles), ("departments", departments)):
         out, obs = _observed(df, f"rows_{name}", [F.count(F.lit(1)).alias(name)])
-        out.coalesce(1).write.mode("overwrite").parquet(f"{base}/{name}")
+        out.coalesce(1).write.mode("overwrite").parquet(f"{lay.base}/{name}")
         counts.update({k: int(v) for k, v in obs.get.items()})
-    lines_back = spark.read.parquet(f"{base}/order_lines")
     return RetailTables(
-        orders=spark.read.parquet(f"{base}/orders").select(*ORDER_COLS),
+        orders=spark.table(f"{lay.prefix}_orders").select(*ORDER_COLS),
         prior=lines_back.where(F.col("eval_set") == "prior").select(*LINE_COLS),
         train=lines_back.where(F.col("eval_set") == "train").select(*LINE_COLS),
         # written once for this session: size checks against it are reused
-        products=mark_stable(spark.read.parquet(f"{base}/products")),
-        aisles=spark.read.parquet(f"{base}/aisles"),
-        departments=spark.read.parquet(f"{base}/departments"),
+        products=mark_stable(spark.read.parquet(f"{lay.base}/products")),
+        aisles=spark.read.parquet(f"{lay.base}/aisles"),
+        departments=spark.read.parquet(f"{lay.base}/departments"),
         row_counts=counts,
     )
 
@@ -83,22 +129,25 @@ def load_retail(spark: SparkSession, sf_dir: str, fold: int | None = PRODUCT_FOL
     """Retail tables for ``sf_dir``, derived and written once per session.
 
     Orders are written first and the lines are derived from the written
-    orders, so the per-user numbering is computed exactly once.
+    orders, so the per-user numbering is computed exactly once.  The bucket
+    count follows the raw line count (read from Parquet metadata).
     """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), fold)
     with _lock:
         if key not in _memo:
-            base = scratch_path(spark, "retail", _token(sf_dir, fold))
-            # the numbering's intermediate copies are deleted once both tables are written
+            token = _token(sf_dir, fold)
+            raw_lines = read_source(spark, sf_dir, "lineitem")
+            lay = Layout(scratch_path(spark, "retail", token), f"cw_{token}",
+                         bucket_count_for(spark, raw_lines.count()))
             counts: dict = {}
+            # the numbering's intermediate copies are deleted once both tables are written
             with lineage_scope(spark):
-                _write_orders(derive_orders(read_source(spark, sf_dir, "orders")), base, counts)
-                orders = spark.read.parquet(f"{base}/orders").select(*ORDER_COLS)
+                orders = _write_orders(spark, derive_orders(read_source(spark, sf_dir, "orders")), lay, counts)
                 part = derive_products(read_source(spark, sf_dir, "part"), fold)
-                lines = (derive_lines(read_source(spark, sf_dir, "lineitem"), orders, fold)
+                lines = (derive_lines(raw_lines, orders, fold)
                          .where(F.col("eval_set").isin("prior", "train")))
                 _memo[key] = _write_rest(
-                    spark, base, lines,
+                    spark, lay, lines,
                     part.select("product_id", "product_name", "aisle_id", "department_id"),
                     part.select("aisle_id", F.col("p_brand").alias("aisle")).distinct(),
                     part.select("department_id", F.col("p_type").alias("department")).distinct(),
