@@ -60,3 +60,16 @@ def test_catalogue_broadcast_is_size_checked(spark, ctx):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_lines_orders_join_reads_buckets_without_shuffle(spark, ctx):
+    from cartwise.operators.features import enriched_prior
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(enriched_prior(ctx.r.orders, ctx.r.prior))
+        assert "SortMergeJoin" in plan
+        assert not re.findall(r"(?<!Broadcast)Exchange ", plan), plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
