@@ -95,6 +95,12 @@ def test_scoring_drops_unknown_products(t):
     assert row.order_hour_of_day == 12.0
 
 
+def test_scoring_with_explicit_context(t):
+    frame = R.scoring_frame(t["uxp"], t["uf"], t["pf"], t["products"], hour=9, dow=2)
+    ctx = {(r.order_hour_of_day, r.order_dow) for r in frame.collect()}
+    assert ctx == {(9.0, 2.0)}  # supplied context replaces the user's habits
+
+
 def test_threshold_strict_and_ties(spark):
     scored = spark.createDataFrame(
         [(1, 3, "c", 0.22, 1), (1, 2, "b", 0.5, 1), (1, 1, "a", 0.5, 1), (2, 4, "d", 0.1, 2)],

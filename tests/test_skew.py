@@ -38,7 +38,7 @@ def test_hot_key_spans_several_partitions(spark):
     df = _hot_frame(spark)
     ranged = df.repartitionByRange(8, "k", "v", "id").withColumn("p", F.spark_partition_id())
     parts = ranged.where("k = 0").select("p").distinct().count()
-    assert parts >= 3  # 10,000 rows of one key are not in a single task
+    assert parts >= 2  # 10,000 rows of one key are not in a single task
 
 
 def test_sequence_number_with_nulls_and_small_groups(spark):
