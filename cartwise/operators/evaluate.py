@@ -3,8 +3,8 @@ confusion counts, classification report and log-loss.
 
 Every metric is one distributed aggregation over the scored rows (partial
 sums per task, a single tiny final merge); nothing is collected.  The sweep
-evaluates all thresholds in the same pass with conditional sums instead of
-looping over thresholds.
+counts the rows per threshold step in one pass and derives every threshold
+of every grid from that small histogram, instead of looping over thresholds.
 """
 
 from __future__ import annotations

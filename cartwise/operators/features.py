@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import hour_angle, ratio
-from ..functions.skew import broadcast_bounded, sized_broadcast, top_k_per_group
+from ..functions.skew import broadcast_bounded, top_k_per_group
 
 RECENT_ORDERS = 3
 

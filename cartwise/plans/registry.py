@@ -14,7 +14,6 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import THRESHOLD_GRIDS
 from ..operators import dataset as D
 from ..operators import eda as E
 from ..operators import evaluate as V
@@ -396,5 +395,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_roundtrip": q_model_roundtrip,
 }
 
-# Thresholds of the grids, exposed for the oracle.
-GRIDS = THRESHOLD_GRIDS
