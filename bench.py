@@ -3,6 +3,9 @@
 Prints ONE JSON line:
 {"metric": "headline_total", "value": <sec>, "unit": "sec", "queries": {...}, "sf": ...}
 
+``value`` sums the four feature-table writes (once) and the downstream
+queries (fastest of ``BENCH_RUNS`` runs, default 2).
+
 Each query runs to completion through the ``noop`` sink (the whole plan
 executes, nothing is collected).  ``ingest`` is the one-time derivation and
 write of the retail tables (reported, not in the total); the four feature
@@ -26,6 +29,9 @@ sys.path.insert(0, ROOT)
 DOWNSTREAM = ["score_candidates", "recommend_threshold", "recommend_by_basket", "recommend_nested",
               "threshold_sweep", "best_threshold", "classification_report", "confusion", "log_loss",
               "users_without_history", "eda_top_products"]
+# Each downstream query runs RUNS times; the fastest run is reported.  The
+# one-time writes (ingest, feature tables) are timed once.
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 
 
 def main() -> None:
@@ -48,16 +54,22 @@ def main() -> None:
     store = build_feature_store(spark, retail, _token(sf_dir, "fs"), timings=times)
 
     for name in DOWNSTREAM:
-        # timed from plan construction: size checks behind broadcasts run there
-        t = time.time()
-        df = QUERIES[name](spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
-        times[name] = round(time.time() - t, 3)
+        # timed from plan construction (size checks behind broadcasts run there);
+        # best of RUNS to damp the shared machine's noise
+        best = None
+        for _ in range(RUNS):
+            t = time.time()
+            df = QUERIES[name](spark, sf_dir)
+            df.write.format("noop").mode("overwrite").save()
+            took = time.time() - t
+            best = took if best is None else min(best, took)
+        times[name] = round(best, 3)
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
     total = round(sum(v for k, v in times.items() if k != "ingest"), 3)
     print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec",
+                      "stat": f"feature tables once; downstream queries min of {RUNS} runs",
                       "queries": times, "sf": sf, "ingest_sec": times["ingest"],
                       "rows": {**retail.row_counts, **store.row_counts}}))
     spark.stop()
