@@ -45,6 +45,11 @@ def _save(df: DataFrame, name: str, path: str, bucket_by: str | None = None, sor
     write itself (no second pass) and stored in ``counts[count_as]``."""
     obs = Observation(f"rows_{name}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if bucket_by:
+        # one task per bucket, so each bucket is one file (not tasks x buckets);
+        # done after the aggregation, so a hot user brings at most a
+        # catalogue's worth of rows
+        observed = observed.repartition(buckets, bucket_by)
     w = observed.write.mode("overwrite").format("parquet").option("path", path)
     if bucket_by:
         w = w.bucketBy(buckets, bucket_by).sortBy(*(sort_by or [bucket_by]))
