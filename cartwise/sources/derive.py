@@ -128,10 +128,17 @@ def derive_lines(lineitem: DataFrame, orders: DataFrame, fold: int | None = PROD
     lines = adaptive_sequence_number(lines, "order_id", ["first_line", "product_id"], "add_to_cart_order",
                                      probe=raw_keys)
     lines = lines.join(orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id")
-    # First purchase of each (user, product); a hot pair is split by AQE's skew join.
-    first = (lines.groupBy("user_id", "product_id")
-             .agg(F.min("order_number").alias("first_number")))
-    lines = lines.join(first, ["user_id", "product_id"])
+    # First purchase of each (user, product).  A pair has at most one line per
+    # order, so its rows are bounded by the user's order count: without a hot
+    # user one window over the pair is safe; with one, aggregate the pairs
+    # and join back (AQE splits a hot pair in the join).
+    if has_hot_key(orders, "user_id"):
+        first = (lines.groupBy("user_id", "product_id")
+                 .agg(F.min("order_number").alias("first_number")))
+        lines = lines.join(first, ["user_id", "product_id"])
+    else:
+        pair = Window.partitionBy("user_id", "product_id")
+        lines = lines.withColumn("first_number", F.min("order_number").over(pair))
     return lines.select("order_id", "product_id",
                         F.col("add_to_cart_order").cast("int").alias("add_to_cart_order"),
                         (F.col("order_number") != F.col("first_number")).cast("int").alias("reordered"),
