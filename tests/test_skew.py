@@ -63,3 +63,26 @@ def test_sized_broadcast_respects_bound(spark):
         or "broadcast" in small.join(sized_broadcast(small, 100), "id")._jdf.queryExecution().optimizedPlan().toString().lower()
     plan = big.join(sized_broadcast(big, 100), "id")._jdf.queryExecution().optimizedPlan().toString().lower()
     assert "broadcast" not in plan
+
+
+def test_bucket_count_follows_data_within_bounds(spark):
+    from cartwise.sources.tables import ROWS_PER_BUCKET, bucket_count_for
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    floor = min(cap, spark.sparkContext.defaultParallelism)
+    assert bucket_count_for(spark, None) == cap
+    assert bucket_count_for(spark, 10) == floor
+    assert bucket_count_for(spark, ROWS_PER_BUCKET * 10_000) == cap
+
+
+def test_hot_key_check_on_empty_input(spark):
+    from cartwise.functions.skew import has_hot_key
+    assert not has_hot_key(spark.createDataFrame([], "k long"), "k")
+
+
+def test_booster_settings_translation():
+    from cartwise.operators.model import spark_params
+    p = spark_params({"n_estimators": 10, "learning_rate": 0.1, "max_depth": 3, "subsample": 0.8,
+                      "colsample_bytree": 1.0, "gamma": 2.0}, n_train_rows=4)
+    assert p == {"maxIter": 10, "stepSize": 0.1, "maxDepth": 3, "subsamplingRate": 0.8,
+                 "featureSubsetStrategy": "all", "minInfoGain": 0.5}
+    assert spark_params({"maxIter": 7}) == {"maxIter": 7}  # Spark names pass through
