@@ -31,11 +31,15 @@ SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "stri
                  "boolean": "BOOLEAN", "date": "DATE", "float": "FLOAT", "smallint": "SMALLINT"}
 
 
+# ORACLE_EXACT=1 compares doubles bit for bit instead of to 9 places.
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 9) + 0.0  # -0.0 -> 0.0
+        return (v if EXACT else round(v, 9)) + 0.0  # -0.0 -> 0.0
     if hasattr(v, "item"):
         return _norm(v.item())
     return v
