@@ -92,6 +92,8 @@ def test_gbt_fit_importance_and_roundtrip(spark, master_mid, tmp_dir):
     assert [r.feature for r in rows] == D.FEATURES or sorted(r.feature for r in rows) == sorted(D.FEATURES)
     assert abs(sum(r.importance for r in rows) - 1.0) < 1e-9
     assert sum(r.split_count for r in rows) > 0
+    R.model_scorer(model)  # scoring works on a copy: the caller's model keeps its settings
+    assert model.getFeaturesCol() == "features"
     rt = model_roundtrip(model, master_mid, os.path.join(tmp_dir, "m2"))
     assert rt.where(F.abs(F.col("p_saved") - F.col("p_loaded")) > 1e-12).count() == 0
     probs = rt.agg(F.min("p_saved"), F.max("p_saved")).first()

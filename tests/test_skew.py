@@ -86,3 +86,14 @@ def test_booster_settings_translation():
     assert p == {"maxIter": 10, "stepSize": 0.1, "maxDepth": 3, "subsamplingRate": 0.8,
                  "featureSubsetStrategy": "all", "minInfoGain": 0.5}
     assert spark_params({"maxIter": 7}) == {"maxIter": 7}  # Spark names pass through
+
+
+def test_lineage_scope_deletes_intermediate_copies(spark):
+    import os
+    from cartwise.functions.skew import cut_lineage, lineage_scope
+    with lineage_scope(spark) as paths:
+        df = cut_lineage(spark.range(10), label="scope-test")
+        assert df.count() == 10 and len(paths) == 1
+        local = paths[0].replace("file:", "")
+        assert os.path.exists(local)
+    assert not os.path.exists(local)
