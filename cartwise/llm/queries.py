@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing
+from . import exact_dedup, mixing, packing
 
 QUERIES = {
+    "op1_best_fit_packing": packing.op1,
     "op3_exact_dedup": exact_dedup.op3,
     "op7_source_mixing": mixing.op7,
 }
