@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, ngram_join, packing
+from . import exact_dedup, language, mixing, ngram_join, packing
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1,
     "op2_ngram_jaccard": ngram_join.op2,
     "op3_exact_dedup": exact_dedup.op3,
     "op7_source_mixing": mixing.op7,
+    "op8_language_crf": language.op8,
 }
 
 ORACLE = {
