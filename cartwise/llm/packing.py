@@ -24,6 +24,7 @@ class opened first; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +37,9 @@ from .common import table, written
 MAX_TOKENS = 2048
 END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
-CACHE_WORDS = 400_000       # distinct words a worker remembers before it starts afresh
+CACHE_WORDS = 600_000       # distinct words a worker remembers before it starts afresh
 CACHE_BYTES = 128           # longer words are not remembered
+TEXT_BYTES = 4_000_000      # text encoded at a time
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids binary, part int, nth long"
 
 
@@ -46,35 +48,83 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+# A plain word: Latin letters that NFC leaves alone and whose lower case is one
+# letter each, then maybe a run of marks that the tokenizer splits off whole.
+_PLAIN = re.compile("([a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)")
+
+
 def word_encoder(path: str):
-    """bytes of a text -> bytes of its ids (little-endian unsigned 32 bit).
+    """list of texts (bytes) -> list of their ids (little-endian unsigned 32
+    bit bytes).
 
     The tokenizer drops white space and never joins across it, so a text's ids
-    are the ids of its white-space separated words in turn; a word's ids are
-    computed once per worker.
+    are the ids of its white-space separated words in turn, and a word's ids
+    are computed once per worker.  Plain words need no normalising beyond lower
+    case: their letters go through the tokenizer's own merges many at a time,
+    without its normaliser; all other words go through it as they are.
     """
-    from tokenizers import Tokenizer
-    tok = Tokenizer.from_file(path)
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+    whole, bare = Tokenizer.from_file(path), Tokenizer.from_file(path)
+    bare.normalizer = normalizers.Sequence([])
+    bare.pre_tokenizer = pre_tokenizers.Sequence(
+        [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    vocab = whole.get_vocab()
+    ends = np.zeros(max(vocab.values()) + 1, dtype=bool)         # ids that end a word
+    ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
     cache: dict[bytes, bytes] = {}
-
-    def encode(text: bytes) -> bytes:
-        words = text.split()
-        new = set(words).difference(cache)
-        large = {}
+    marks: dict[str, bytes] = {"": b""}
+
+    def ids_of(words: list[str]) -> list[bytes]:
+        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in whole.encode_batch_fast(words, add_special_tokens=False)]
+
+    def letters_ids(words: list[str]) -> list[bytes]:
+        joined = [" ".join(words[i:i + 256]) for i in range(0, len(words), 256)]
+        ids = np.concatenate([np.asarray(e.ids, dtype="<u4") for e in bare.encode_batch_fast(joined, add_special_tokens=False)])
+        stop = (np.flatnonzero(ends[ids]) + 1) * 4
+        if len(stop) != len(words):                              # a vocabulary without word ends
+            return ids_of(words)
+        raw = ids.tobytes()
+        return [raw[x:y] for x, y in zip([0, *stop[:-1].tolist()], stop.tolist())]
+
+    def learn(words) -> dict[bytes, bytes]:
+        """ids of new words; the long ones are not remembered."""
+        plain, odd = [], []
+        for w in words:
+            t = w.decode("utf-8", "replace")
+            m = _PLAIN.fullmatch(t) if len(w) <= CACHE_BYTES else None
+            if m:
+                plain.append((w, m[1].lower(), m[2]))
+            else:
+                odd.append((w, t))
+        got: dict[bytes, bytes] = {}
+        if plain:
+            heads = list({p[1] for p in plain})
+            known = dict(zip(heads, letters_ids(heads)))
+            tails = [t for t in {p[2] for p in plain} if t not in marks]
+            if tails:
+                if len(marks) > 10_000:
+                    marks.clear()
+                    tails = list({p[2] for p in plain})
+                marks.update(zip(tails, ids_of(tails)))
+            got.update((w, known[h] + marks[t]) for w, h, t in plain)
+        if odd:
+            got.update(zip([w for w, _ in odd], ids_of([t for _, t in odd])))
+        return got
+
+    def encode(texts: list[bytes]) -> list[bytes]:
+        split = [t.split() for t in texts]
+        new = set().union(*split).difference(cache)
         if new:
-            new = list(new)
             if len(cache) + len(new) > CACHE_WORDS:
                 cache.clear()
-                new = list(set(words))
-            coded = tok.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-            for w, e in zip(new, coded):
-                (cache if len(w) <= CACHE_BYTES else large)[w] = np.asarray(e.ids, dtype="<u4").tobytes()
-            if large or len(cache) > CACHE_WORDS:
-                every = {**cache, **large}
-                if len(cache) > CACHE_WORDS:
-                    cache.clear()
-                return b"".join([every[w] for w in words])
-        return b"".join([cache[w] for w in words])
+                new = set().union(*split)
+            got = learn(new)
+            if len(got) > CACHE_WORDS or any(len(w) > CACHE_BYTES for w in new):
+                every = {**cache, **got}
+                cache.update((w, i) for w, i in got.items() if len(w) <= CACHE_BYTES and len(got) <= CACHE_WORDS)
+                return [b"".join([every[w] for w in words]) for words in split]
+            cache.update(got)
+        return [b"".join([cache[w] for w in words]) for words in split]
 
     return encode
 
@@ -86,6 +136,19 @@ def tokenize(docs: DataFrame, path: str | None = None, max_tokens: int = MAX_TOK
     among the partition's pieces of that length."""
     path = path or tokenizer_path()
 
+    def coded(batches, encode):
+        """(doc_id, ids) of each row, a few megabytes of text at a time."""
+        held, size = [], 0
+        for batch in batches:
+            for i, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+                held.append((i, t.as_py() or b""))
+                size += len(held[-1][1])
+                if size > TEXT_BYTES:
+                    yield from zip([x[0] for x in held], encode([x[1] for x in held]))
+                    held, size = [], 0
+        if held:
+            yield from zip([x[0] for x in held], encode([x[1] for x in held]))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark's tasks are the parallelism
@@ -104,18 +167,17 @@ def tokenize(docs: DataFrame, path: str | None = None, max_tokens: int = MAX_TOK
                                                        pa.int32(), pa.int64()))],
                 names=["doc_id", "piece", "start", "length", "ids", "part", "nth"])
 
-        for batch in batches:
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode(t.as_py() or b"") + end
-                for piece, at in enumerate(range(0, len(ids), 4 * max_tokens)):
-                    own = ids[at:at + 4 * max_tokens]
-                    n = len(own) // 4
-                    rows.append((i, piece, at // 4, n, own, part, seen[n]))
-                    seen[n] += 1
-                    held += len(own)
-                if held > 8_000_000:
-                    yield flush()
-                    rows, held = [], 0
+        for i, ids in coded(batches, encode):
+            ids += end
+            for piece, at in enumerate(range(0, len(ids), 4 * max_tokens)):
+                own = ids[at:at + 4 * max_tokens]
+                n = len(own) // 4
+                rows.append((i, piece, at // 4, n, own, part, seen[n]))
+                seen[n] += 1
+                held += len(own)
+            if held > 8_000_000:
+                yield flush()
+                rows, held = [], 0
         if rows:
             yield flush()
 
