@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language, mixing, ngram_join, packing
+from . import exact_dedup, language, mixing, ngram_join, packing, quality
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_exact_dedup": exact_dedup.op3,
     "op7_source_mixing": mixing.op7,
     "op8_language_crf": language.op8,
+    "op9_quality_gam": quality.op9,
 }
 
 ORACLE = {
