@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language, mixing, ngram_join, packing, quality
+from . import chat, exact_dedup, language, mixing, ngram_join, packing, quality, url_filter
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1,
     "op2_ngram_jaccard": ngram_join.op2,
     "op3_exact_dedup": exact_dedup.op3,
+    "op5_chat_prefix_tree": chat.op5,
+    "op6_url_filter": url_filter.op6,
     "op7_source_mixing": mixing.op7,
     "op8_language_crf": language.op8,
     "op9_quality_gam": quality.op9,
