@@ -18,11 +18,12 @@ result is exact (no sampling, no caps, no missed link).  Method:
   (identical groups once) is bulk-loaded into an R-tree (tiles by size, then by
   the widest coordinates); a search descends only into boxes whose bound reaches
   the required overlap.
-* *Round 1* links points only to leaders of their tree (as many pairs as points,
-  not all pairs).  *Round 2* searches again between points that are still in
-  different components, so pairs that can add no information are never made and
-  none that can is left out.
-* *Verification* intersects the full sets of every surviving pair.
+* *Round 1* pairs points only with the first few leaders whose search finds them
+  (one order of points for all trees, so groups share leaders), not with each
+  other.  *Round 2* searches again between points that are still in different
+  components, so pairs that can add no information are not made and none that
+  can is left out.
+* *Verification* intersects the full sets of the surviving pairs.
 
 Groups larger than ``TREE`` points are cut into several trees that share the
 group's first point; in round 2 the cut is by pairs of parts, which covers all
@@ -38,6 +39,7 @@ other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +54,10 @@ SIM = (80, 100)             # similarity at least 80 / 100
 VEC = 128                   # coordinates of a count vector
 RARITY_BITS = 17            # corpus counts are kept for 2^17 shingle groups
 TREE = 1024                 # points in one R-tree
+LEADERS = 6                 # points that a point is first compared with
+AGAINST, MEMBERS = 512, 2_000   # leaders in one row, members in one task group
+FILTER_BITS = 23
+TEXT_BYTES = 4_000_000      # text shingled at a time
 KEYS_PER_TASK = 2_000_000
 CACHE_WORDS = 500_000
 
@@ -62,37 +68,59 @@ _MIX = np.uint64(0xBF58476D1CE4E5B9)
 # ---------------------------------------------------------------- sets
 
 def shingler():
-    """bytes of a text -> sorted distinct 64-bit shingle hashes."""
-    import hashlib
-    known: dict[bytes, int] = {}
+    """list of texts (bytes) -> list of sorted distinct 64-bit shingle hashes."""
+    import xxhash
+    number: dict[bytes, int] = {}
+    hashes = np.empty(0, dtype=np.uint64)
 
     def mixed(x: np.ndarray) -> np.ndarray:
         x = (x ^ (x >> np.uint64(31))) * _MIX
         return x ^ (x >> np.uint64(29))
 
-    def shingles(text: bytes) -> np.ndarray:
-        words = text.lower().split()
-        if not words:
-            return np.empty(0, dtype=np.uint64)
-        new = set(words).difference(known)
-        if new:
-            if len(known) + len(new) > CACHE_WORDS:
-                known.clear()
-                new = set(words)
-            for w in new:
-                known[w] = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
-        h = np.array([known[w] for w in words], dtype=np.uint64)
-        n = min(WORDS, len(h))
-        s = np.full(len(h) - n + 1, n, dtype=np.uint64)
+    def rolled(h: np.ndarray, n: int) -> np.ndarray:
+        out = np.full(len(h) - n + 1, n, dtype=np.uint64)
         for j in range(n):
-            s = s * _MUL + h[j:len(h) - n + 1 + j]
-        return np.unique(mixed(s))
+            out = out * _MUL + h[j:len(h) - n + 1 + j]
+        return mixed(out)
+
+    def distinct(x: np.ndarray) -> np.ndarray:
+        x = np.sort(x)
+        new = x[1:] != x[:-1]
+        return x if new.all() else x[np.concatenate(([True], new))]
+
+    def shingles(texts: list[bytes]) -> list[np.ndarray]:
+        nonlocal hashes
+        split = [t.lower().split() for t in texts]
+        new = set().union(*split).difference(number)
+        if new:
+            if len(number) + len(new) > CACHE_WORDS:
+                number.clear()
+                hashes = hashes[:0]
+                new = set().union(*split)
+            number.update(zip(new, range(len(hashes), len(hashes) + len(new))))
+            hashes = np.concatenate((hashes, np.fromiter(map(xxhash.xxh3_64_intdigest, new), np.uint64, len(new))))
+        size = np.array([len(w) for w in split], dtype=np.int64)
+        ids = np.fromiter(map(number.__getitem__, chain.from_iterable(split)), np.int64, int(size.sum()))
+        h = hashes[ids]
+        every = rolled(h, WORDS) if len(h) >= WORDS else None
+        out, at = [], 0
+        for n in size.tolist():
+            if n >= WORDS:
+                out.append(distinct(every[at:at + n - WORDS + 1]))
+            else:
+                out.append(rolled(h[at:at + n], n) if n else np.empty(0, dtype=np.uint64))
+            at += n
+        return out
 
     return shingles
 
 
-def counts_vector(s: np.ndarray) -> np.ndarray:
-    return np.bincount(((s >> np.uint64(20)) & np.uint64(VEC - 1)).astype(np.int64), minlength=VEC).astype(np.uint32)
+def count_vectors(sets: list[np.ndarray]) -> np.ndarray:
+    """Counts per shingle group, a row per set."""
+    s = np.concatenate(sets) if sets else np.empty(0, dtype=np.uint64)
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    group = ((s >> np.uint64(20)) & np.uint64(VEC - 1)).astype(np.int64)
+    return np.bincount(row * VEC + group, minlength=len(sets) * VEC).reshape(-1, VEC).astype(np.uint32)
 
 
 def _rarity_group(s: np.ndarray) -> np.ndarray:
@@ -106,11 +134,18 @@ def set_digest(s: np.ndarray) -> tuple[int, int]:
 
 
 def _texts(batches, *cols):
-    """(values of cols..., text bytes) of each row, one text at a time."""
+    """Lists of (values of cols..., text bytes), a few megabytes of text at a time."""
+    held, size = [], 0
     for batch in batches:
         at = batch.schema.get_field_index("text")
         for *row, t in zip(*[batch.column(c).to_pylist() for c in cols], batch.column(at)):
-            yield (*row, t.as_py() or b"")
+            held.append((*row, t.as_py() or b""))
+            size += len(held[-1][-1])
+            if size > TEXT_BYTES:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
 
 
 def _binary_docs(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -125,23 +160,15 @@ def _describe(docs: DataFrame) -> DataFrame:
     count vector); kind 1: per task, shingle group ``id`` occurs in n sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, corpus = shingler(), np.zeros(1 << RARITY_BITS, dtype=np.int64)
-        rows: list[tuple] = []
-
-        def flush(rows):
-            cols = list(zip(*rows))
-            types = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                              names=["kind", "id", "n", "c", "c2", "vec"])
-
-        for doc_id, text in _texts(batches, "doc_id"):
-            s = shingles(text)
-            np.add.at(corpus, _rarity_group(s), 1)
-            rows.append((0, doc_id, len(s), *set_digest(s), counts_vector(s).tobytes()))
-            if len(rows) >= 4096:
-                yield flush(rows)
-                rows = []
-        if rows:
-            yield flush(rows)
+        for held in _texts(batches, "doc_id"):
+            sets = shingles([t for _, t in held])
+            corpus += np.bincount(_rarity_group(np.concatenate(sets)), minlength=len(corpus))
+            digests = [set_digest(x) for x in sets]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.zeros(len(held), dtype=np.int32)), pa.array([i for i, _ in held], pa.int64()),
+                 pa.array([len(x) for x in sets], pa.int64()), pa.array([d[0] for d in digests], pa.int64()),
+                 pa.array([d[1] for d in digests], pa.int64()), pa.array([v.tobytes() for v in count_vectors(sets)], pa.binary())],
+                names=["kind", "id", "n", "c", "c2", "vec"])
         used = np.flatnonzero(corpus)
         if len(used):
             none = pa.nulls(len(used), pa.int64())
@@ -178,24 +205,23 @@ def _rare_keys(docs: DataFrame, rarity, buckets: int) -> DataFrame:
                 [pa.array(b[[x[0] for x in own]]), *(pa.array([v[x].tobytes() for x in own], pa.binary()) for v in (k, c, n))],
                 names=["bucket", "keys", "classes", "sizes"])
 
-        for (text,) in _texts(batches):
-            s = shingles(text)
-            if not len(s):
-                continue
-            c = set_digest(s)[0]
-            if c in seen:                               # a copy in this task
-                continue
-            if len(seen) < 1_000_000:
-                seen.add(c)
-            index, probe = prefix_lengths(len(s))
-            rank = (order[_rarity_group(s)] << np.uint64(40)) | (s >> np.uint64(24))
-            rare = s[np.argsort(rank, kind="stable")[:probe]]
-            keys.append(rare)
-            classes.append(np.full(probe, c, dtype=np.int64))
-            size = np.full(probe, 2 * len(s), dtype=np.int64)
-            size[index:] += 1
-            sizes.append(size)
-            held += probe
+        for texts in _texts(batches):
+            for own in shingles([t for (t,) in texts]):
+                if not len(own):
+                    continue
+                c = set_digest(own)[0]
+                if c in seen:                           # a copy in this task
+                    continue
+                if len(seen) < 1_000_000:
+                    seen.add(c)
+                index, probe = prefix_lengths(len(own))
+                rare = own[np.argsort(order[_rarity_group(own)], kind="stable")[:probe]]
+                keys.append(rare)
+                classes.append(np.full(probe, c, dtype=np.int64))
+                size = np.full(probe, 2 * len(own), dtype=np.int64)
+                size[index:] += 1
+                sizes.append(size)
+                held += probe
             if held > KEYS_PER_TASK:
                 yield flush()
                 keys, classes, sizes, held = [], [], [], 0
@@ -329,7 +355,7 @@ def _column(run, name):
 
 
 def _points(run) -> np.ndarray:
-    return np.stack([np.frombuffer(x.as_py(), dtype=np.uint32) for b in run for x in b.column("vec")])
+    return np.frombuffer(b"".join(x.as_py() for b in run for x in b.column("vec")), dtype=np.uint32).reshape(-1, VEC)
 
 
 def _pairs_out(pairs: list[np.ndarray]) -> pa.RecordBatch:
@@ -337,24 +363,28 @@ def _pairs_out(pairs: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1])], names=["a", "b"])
 
 
+def _priority(c: np.ndarray) -> np.ndarray:
+    x = (c.astype(np.uint64) ^ (c.astype(np.uint64) >> np.uint64(33))) * _MUL
+    return x ^ (x >> np.uint64(29))
+
+
 def _leaders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Round 1: in each tree, the points a leader's search finds are paired
-    with it; the rest choose the next leader."""
+    """Round 1: a point is paired with the first LEADERS points, in one order
+    for all trees, whose search finds it."""
     out, held = [], 0
     for run in _runs(batches, ["block", "part"]):
         c, n, v = _column(run, "c"), _column(run, "n"), _points(run)
-        at = np.lexsort((c, n))
+        at = np.argsort(_priority(c), kind="stable")
         c, n, v = c[at], n[at], v[at]
         if len(c) == 2:
             found = [np.array([[c[0], c[1]]])] if np.minimum(v[0], v[1]).sum() >= needed_overlap(n[0], n[1]) else []
         else:
-            tree, free, found = RTree(v, n), np.ones(len(c), dtype=bool), []
+            tree, led, found = RTree(v, n), np.zeros(len(c), dtype=np.int64), []
             for i in range(len(c)):
-                if free[i]:
-                    free[i] = False
+                if led[i] < LEADERS:
                     near = tree.search(tree.points[i], int(n[i]))
-                    near = near[free[near]]
-                    free[near] = False
+                    near = near[(near > i) & (led[near] < LEADERS)]
+                    led[near] += 1
                     if len(near):
                         found.append(np.stack([np.full(len(near), c[i]), c[near]], axis=1))
         out += found
@@ -373,7 +403,8 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c, n, comp, part = (_column(run, k) for k in ("c", "n", "component", "part"))
         if comp.min() == comp.max():
             continue
-        v = _points(run)
+        at = np.argsort(_priority(c), kind="stable")
+        c, n, comp, part, v = c[at], n[at], comp[at], part[at], _points(run)[at]
         x, y = run[0].column("x")[0].as_py(), run[0].column("y")[0].as_py()
         tree = RTree(v, n)
         for i in range(len(c)):
@@ -381,7 +412,7 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             near = near[(comp[near] != comp[i]) & (near > i) & ((x == y) | (part[near] != part[i]))]
             if len(near):
                 pair = np.stack([np.full(len(near), c[i]), c[near]], axis=1)
-                out.append(np.sort(pair, axis=1))
+                out.append(pair)
                 held += len(near)
         if held > 50_000:
             yield _pairs_out(out)
@@ -392,20 +423,53 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # ---------------------------------------------------------------- verification
 
-def _sets(docs: DataFrame) -> DataFrame:
+def _bits(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two places of each id in the fixed-size filter."""
+    x = (ids.astype(np.uint64) + np.uint64(1)) * _MUL
+    x = (x ^ (x >> np.uint64(29))) * _MIX
+    return ((x >> np.uint64(64 - FILTER_BITS)).astype(np.int64),
+            ((x >> np.uint64(8)) & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64))
+
+
+def _filter_of(ids: DataFrame) -> np.ndarray:
+    """A Bloom filter of FILTER_BITS bits (a fixed 1 MB) over a column
+    ``doc_id``; it only spares work, a join decides."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(1 << FILTER_BITS, dtype=bool)
+        for batch in batches:
+            for at in _bits(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)):
+                bits[at] = True
+        words = np.packbits(bits).view(np.int64)
+        used = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(words[used])], names=["at", "word"])
+
+    words = ids.mapInArrow(run, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
+    out = np.zeros((1 << FILTER_BITS) // 64, dtype=np.int64)
+    out[words["at"].to_numpy()] = words["word"].to_numpy()
+    return out
+
+
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(c, s) for the documents ``wanted`` (c, doc_id): their shingle sets."""
+    shared = docs.sparkSession.sparkContext.broadcast(_filter_of(wanted.select("doc_id")))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, rows, held = shingler(), [], 0
-        for c, text in _texts(batches, "c"):
-            rows.append((c, shingles(text).tobytes()))
-            held += len(rows[-1][1])
-            if held > 8_000_000:
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()),
-                                                  pa.array([r[1] for r in rows], pa.binary())], names=["c", "s"])
-                rows, held = [], 0
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()),
-                                              pa.array([r[1] for r in rows], pa.binary())], names=["c", "s"])
-    return docs.mapInArrow(run, "c long, s binary")
+        bits, shingles = np.unpackbits(shared.value.view(np.uint8)).astype(bool), shingler()
+
+        def asked():
+            for batch in batches:
+                batch = batch.filter(batch.column("doc_id").is_valid())
+                one, two = _bits(batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64))
+                yield batch.filter(pa.array(bits[one] & bits[two]))
+
+        for held in _texts(asked(), "doc_id"):
+            sets = shingles([t for _, t in held])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([i for i, _ in held], pa.int64()), pa.array([set_digest(x)[0] for x in sets], pa.int64()),
+                 pa.array([x.tobytes() for x in sets], pa.binary())], names=["doc_id", "c", "s"])
+
+    return (docs.mapInArrow(run, "doc_id long, c long, s binary").join(wanted, ["doc_id", "c"]).select("c", "s")
+            .dropDuplicates(["c"]))
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -417,25 +481,59 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per task group: first the leaders' sets (role 0), then members with the
+    leaders to compare.  Pairs that links of the group already connect are
+    skipped, so what comes out is a forest."""
+    leaders: dict[int, np.ndarray] = {}
+    parent: dict[int, int] = {}
+    key, out = None, []
+
+    def root(x: int) -> int:
+        while (p := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent.setdefault(p, p)
+        return x
+
     for batch in batches:
-        ok = [linked(np.frombuffer(x.as_py(), dtype=np.uint64), np.frombuffer(y.as_py(), dtype=np.uint64))
-              for x, y in zip(batch.column("s_a"), batch.column("s_b"))]
-        yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(ok)), batch.column("b").filter(pa.array(ok))],
-                                         names=["a", "b"])
+        for g, salt, role, c, s, against in zip(*(batch.column(k) for k in ("g", "salt", "role", "c", "s", "against"))):
+            now, c, own = (g.as_py(), salt.as_py()), c.as_py(), np.frombuffer(s.as_py(), dtype=np.uint64)
+            if now != key:
+                leaders, parent, key = {}, {}, now
+            if role.as_py() == 0:
+                leaders[c] = own
+                continue
+            for a in against.as_py():
+                if root(a) != root(c) and linked(leaders[a], own):
+                    parent[root(a)] = root(c)
+                    out.append((a, c))
+        if out:
+            yield _pairs_out([np.array(out, dtype=np.int64)])
+            out = []
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, label: str) -> DataFrame:
-    """The pairs (a, b) of classes whose sets link; each class's set is made
-    from one document's text."""
-    pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"{label}-pairs")
-    used = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
-    reps = used.join(classes.select("c", "rep"), "c").withColumnRenamed("rep", "doc_id")
-    mine = docs.join(reps, "doc_id").select("c", "text")
-    sets = written(_sets(mine).dropDuplicates(["c"]), f"{label}-sets")
-    left = sets.select(F.col("c").alias("a"), F.col("s").alias("s_a"))
-    right = sets.select(F.col("c").alias("b"), F.col("s").alias("s_b"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "s_a", "s_b")
-    return written(both.mapInArrow(_verify, "a long, b long"), f"{label}-links")
+    """Links among the pairs (a, b) of classes, up to what other links connect.
+
+    A member b is compared with its leaders a; members with one first leader
+    meet in one task (many: dealt over salts), where each leader's set comes
+    once and each member's set once.
+    """
+    pairs = written(pairs.distinct(), f"{label}-pairs")
+    per = pairs.groupBy("b").agg(F.min("a").alias("g"), F.ceil(F.count(F.lit(1)) / AGAINST).cast("int").alias("chunks"))
+    chunked = pairs.join(per, "b").withColumn("chunk", F.pmod(F.xxhash64("a"), F.col("chunks")).cast("int"))
+    lists = chunked.groupBy("b", "g", "chunk").agg(F.collect_list("a").alias("against"))      # about AGAINST each
+    salts = per.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("salts"))
+    lists = lists.join(salts, "g").withColumn("salt", F.pmod(F.xxhash64("b", "chunk"), F.col("salts")).cast("int"))
+    lists = written(lists.select("g", "salt", F.col("b").alias("c"), "against"), f"{label}-lists")
+    used = lists.select("c").unionByName(lists.select(F.explode("against").alias("c"))).distinct()
+    wanted = written(used.join(classes.select("c", F.col("rep").alias("doc_id")), "c"), f"{label}-wanted")
+    sets = written(_sets(docs, wanted), f"{label}-sets")
+    first = lists.select("g", "salt", F.explode("against").alias("c")).distinct().join(sets, "c")
+    rest = lists.join(sets, "c")
+    cols = ["g", "salt", "role", "c", "s", "against"]
+    rows = (first.withColumn("role", F.lit(0)).withColumn("against", F.array().cast("array<bigint>")).select(*cols)
+            .unionByName(rest.withColumn("role", F.lit(1)).select(*cols)))
+    rows = rows.repartition("g", "salt").sortWithinPartitions("g", "salt", "role")
+    return written(rows.mapInArrow(_verify, "a long, b long"), f"{label}-links")
 
 
 # ---------------------------------------------------------------- operator
@@ -450,9 +548,11 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     total = rows.agg(F.sum("n")).first()[0] or 0
 
     counts = info.where("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).toArrow()   # at most 2^17 rows
-    order = np.zeros(1 << RARITY_BITS, dtype=np.uint64)
-    order[counts["id"].to_numpy()] = np.minimum(counts["n"].to_numpy(), (1 << 24) - 1).astype(np.uint64)
-    rarity = spark.sparkContext.broadcast(order)                                          # fixed size, 1 MB
+    corpus = np.zeros(1 << RARITY_BITS, dtype=np.int64)
+    corpus[counts["id"].to_numpy()] = counts["n"].to_numpy()
+    order = np.empty(len(corpus), dtype=np.uint16)                                        # a group's rank, in 16 bits
+    order[np.argsort(corpus, kind="stable")] = np.arange(len(corpus)) >> max(0, RARITY_BITS - 16)
+    rarity = spark.sparkContext.broadcast(order)                                          # fixed size, 256 KB
 
     same = (rows.where("n > 0").groupBy("c")
             .agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("c2").alias("lo"), F.max("c2").alias("hi"),
