@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, exact_dedup, language, mixing, ngram_join, packing, quality, url_filter
+from . import chat, embedding_dedup, exact_dedup, language, mixing, ngram_join, packing, quality, url_filter
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_source_mixing": mixing.op7,
     "op8_language_crf": language.op8,
     "op9_quality_gam": quality.op9,
+    "op10_embedding_graph": embedding_dedup.op10,
 }
 
 ORACLE = {
