@@ -29,3 +29,11 @@ def held_out(doc_id: str = "doc_id") -> Column:
     """True when crc32 of the id's decimal text leaves remainder 1 modulo 3."""
     crc = F.crc32(F.col(doc_id).cast("string").cast("binary"))
     return F.coalesce(crc % 3 == 1, F.lit(False))
+
+
+def spare(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not use yet."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

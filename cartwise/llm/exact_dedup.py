@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import WHITE, text_or_empty, written
+from .common import WHITE, spare, table, text_or_empty, written
 
 SALTS = 32
 HOT_SHARE = 1000        # a digest is hot above 1/HOT_SHARE of all rows
@@ -102,18 +102,16 @@ def exact_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
 
 def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` without the copies (all columns of the kept rows)."""
-    kept = (exact_groups(docs, text, doc_id).where("kept")
-            .select(F.col("doc_id").alias("_kept_id"), F.col("digest").alias("_kept_digest")))
-    keyed = docs.withColumn("_digest", _digest(_normalised(text)))
-    out = keyed.join(kept, (keyed["_digest"] == kept["_kept_digest"])
-                     & keyed[doc_id].eqNullSafe(kept["_kept_id"]), "left_semi")
+    d, f, i, k = (spare(docs, n) for n in ("_digest", "_first", "_kept_id", "_kept_digest"))
+    kept = exact_groups(docs, text, doc_id).where("kept").select(F.col("doc_id").alias(i), F.col("digest").alias(k))
+    keyed = docs.withColumn(d, _digest(_normalised(text)))
+    out = keyed.join(kept, (keyed[d] == kept[k]) & keyed[doc_id].eqNullSafe(kept[i]), "left_semi")
     # repeated rows share id and digest; the digest partitioning is reused
-    first = F.row_number().over(Window.partitionBy("_digest", doc_id).orderBy(F.length(text).desc()))
-    return out.withColumn("_first", first).where("_first = 1").drop("_first", "_digest")
+    first = F.row_number().over(Window.partitionBy(d, doc_id).orderBy(F.length(text).desc()))
+    return out.withColumn(f, first).where(F.col(f) == 1).drop(f, d)
 
 
 def op3(spark, sf_dir: str) -> DataFrame:
-    from .common import table
     return (exact_groups(table(spark, sf_dir, "documents"))
             .select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")))
 

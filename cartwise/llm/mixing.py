@@ -24,11 +24,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.skew import sized_broadcast
-from .common import WORD, table, text_or_empty, written
+from .common import WORD, spare, table, text_or_empty, written
 
 WEIGHTS = (1, 2, 3)          # dealt to the sources in code point order, repeating
 MAX_REPEATS = 3
-ROWS_PER_RANGE = 20_000
+ROWS_PER_RANGE = 2_000
 MAX_RANGES = 1 << 16
 SEED = "mix"
 
@@ -170,18 +170,18 @@ def mixed_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """The mix itself: the rows of ``docs``, repeated as often as they are
     taken, in global order of virtual finish time (range sorted)."""
     chosen = mix(docs, text, doc_id, source, weights, max_repeats, seed).where("copies > 0")
+    words, row, finish, i, o, z, nth, times = (spare(docs, n) for n in (
+        "_words", "_row", "_finish", "_id", "_source", "_size", "_nth", "_finishes"))
     finishes = F.slice(F.array(*[_finish(k) for k in range(max_repeats)]), 1, F.col("copies"))
     # rows that agree in id, source and size are interchangeable: paired by number
     w = Window.partitionBy("doc_id", "source", "size").orderBy("upto")
-    chosen = chosen.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"),
-                           F.row_number().over(w).alias("_nth"), finishes.alias("_finishes"))
-    keyed = docs.withColumn("_words", word_count(text))
-    w = Window.partitionBy(doc_id, source, "_words").orderBy(F.length(text))
-    keyed = keyed.withColumn("_row", F.row_number().over(w))
-    out = keyed.join(chosen, keyed[doc_id].eqNullSafe(chosen["_id"]) & keyed[source].eqNullSafe(chosen["_source"])
-                     & (keyed["_words"] == chosen["_size"]) & (keyed["_row"] == chosen["_nth"]))
-    out = out.withColumn("_finish", F.explode("_finishes"))
-    out = out.repartitionByRange("_finish", doc_id).sortWithinPartitions("_finish", doc_id)
+    chosen = chosen.select(F.col("doc_id").alias(i), F.col("source").alias(o), F.col("size").alias(z),
+                           F.row_number().over(w).alias(nth), finishes.alias(times))
+    w = Window.partitionBy(doc_id, source, words).orderBy(F.length(text))
+    keyed = docs.withColumn(words, word_count(text)).withColumn(row, F.row_number().over(w))
+    out = keyed.join(chosen, keyed[doc_id].eqNullSafe(chosen[i]) & keyed[source].eqNullSafe(chosen[o])
+                     & (keyed[words] == chosen[z]) & (keyed[row] == chosen[nth]))
+    out = out.withColumn(finish, F.explode(times)).repartitionByRange(finish, doc_id).sortWithinPartitions(finish, doc_id)
     return out.select(*docs.columns)
 
 

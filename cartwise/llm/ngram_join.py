@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import spare, table, written
 from .components import components
 
 WORDS = 5
@@ -599,9 +599,10 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
 
 def one_per_component(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with the smallest doc_id of each component only."""
-    kept = (jaccard_components(docs, text, doc_id).where(F.col("doc_id") == F.col("component_id"))
-            .select(F.col("doc_id").alias("_kept")).distinct())
-    return docs.join(kept, docs[doc_id] == kept["_kept"], "left_semi")
+    k = spare(docs, "_kept")
+    kept = (jaccard_components(docs, text, doc_id).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+            .select(F.col("doc_id").alias(k)).distinct())
+    return docs.join(kept, docs[doc_id].eqNullSafe(kept[k]), "left_semi")
 
 
 def op2(spark, sf_dir: str) -> DataFrame:

@@ -50,6 +50,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 # A plain word: Latin letters that NFC leaves alone and whose lower case is one
 # letter each, then maybe a run of marks that the tokenizer splits off whole.
+_MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _PLAIN = re.compile("([a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)")
 
 
@@ -63,16 +64,16 @@ def word_encoder(path: str):
     case: their letters go through the tokenizer's own merges many at a time,
     without its normaliser; all other words go through it as they are.
     """
-    from tokenizers import Tokenizer, normalizers, pre_tokenizers
-    whole, bare = Tokenizer.from_file(path), Tokenizer.from_file(path)
-    bare.normalizer = normalizers.Sequence([])
+    from tokenizers import Tokenizer, pre_tokenizers
+    whole = Tokenizer.from_file(path)
+    bare = Tokenizer(whole.model)
     bare.pre_tokenizer = pre_tokenizers.Sequence(
         [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
     vocab = whole.get_vocab()
     ends = np.zeros(max(vocab.values()) + 1, dtype=bool)         # ids that end a word
     ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
     cache: dict[bytes, bytes] = {}
-    marks: dict[str, bytes] = {"": b""}
+    marks: dict[bytes, bytes] = {b"": b""}
 
     def ids_of(words: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in whole.encode_batch_fast(words, add_special_tokens=False)]
@@ -87,43 +88,48 @@ def word_encoder(path: str):
         return [raw[x:y] for x, y in zip([0, *stop[:-1].tolist()], stop.tolist())]
 
     def learn(words) -> dict[bytes, bytes]:
-        """ids of new words; the long ones are not remembered."""
+        """Remember the ids of new words; returns those of words too long for it."""
         plain, odd = [], []
         for w in words:
+            head = w.rstrip(_MARKS)
+            if head.isalpha() and len(w) <= CACHE_BYTES:         # ASCII letters, maybe marks
+                plain.append((w, head.lower(), w[len(head):]))
+                continue
             t = w.decode("utf-8", "replace")
             m = _PLAIN.fullmatch(t) if len(w) <= CACHE_BYTES else None
             if m:
-                plain.append((w, m[1].lower(), m[2]))
+                plain.append((w, m[1].lower().encode(), m[2].encode()))
             else:
                 odd.append((w, t))
-        got: dict[bytes, bytes] = {}
         if plain:
             heads = list({p[1] for p in plain})
-            known = dict(zip(heads, letters_ids(heads)))
-            tails = [t for t in {p[2] for p in plain} if t not in marks]
+            known = dict(zip(heads, letters_ids([h.decode() for h in heads])))
+            tails = {p[2] for p in plain}.difference(marks)
             if tails:
                 if len(marks) > 10_000:
                     marks.clear()
-                    tails = list({p[2] for p in plain})
-                marks.update(zip(tails, ids_of(tails)))
-            got.update((w, known[h] + marks[t]) for w, h, t in plain)
+                    marks[b""] = b""
+                    tails = {p[2] for p in plain if p[2]}
+                marks.update(zip(tails, ids_of([t.decode() for t in tails])))
+            for w, h, t in plain:
+                cache[w] = known[h] + marks[t]
+        large = {}
         if odd:
-            got.update(zip([w for w, _ in odd], ids_of([t for _, t in odd])))
-        return got
+            for (w, _), i in zip(odd, ids_of([t for _, t in odd])):
+                (cache if len(w) <= CACHE_BYTES else large)[w] = i
+        return large
 
     def encode(texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
+        # ASCII text may be lower-cased at once (but for the tokenizer's own special strings)
+        split = [(t.lower() if t.isascii() and b"<|" not in t else t).split() for t in texts]
         new = set().union(*split).difference(cache)
         if new:
             if len(cache) + len(new) > CACHE_WORDS:
                 cache.clear()
                 new = set().union(*split)
-            got = learn(new)
-            if len(got) > CACHE_WORDS or any(len(w) > CACHE_BYTES for w in new):
-                every = {**cache, **got}
-                cache.update((w, i) for w, i in got.items() if len(w) <= CACHE_BYTES and len(got) <= CACHE_WORDS)
-                return [b"".join([every[w] for w in words]) for words in split]
-            cache.update(got)
+            large = learn(new)
+            if large:
+                return [b"".join([large[w] if w in large else cache[w] for w in words]) for words in split]
         return [b"".join([cache[w] for w in words]) for words in split]
 
     return encode
@@ -271,8 +277,10 @@ def pack_lengths(counts: dict[int, int], capacity: tuple[int, int, int], weights
 def pack(pieces: DataFrame, capacity: int = MAX_TOKENS, max_documents: int | None = None,
          max_cost: int | None = None, weights=(1.0, 1.0, 1.0), rule: str = "norm") -> DataFrame:
     """``pieces`` (a written table with length, part, nth) plus sequence_id
-    and offset.  By default only the token capacity binds: a sequence may hold
-    as many documents as tokens, and cost up to the square of its length."""
+    and offset.  Without ``max_documents`` or ``max_cost`` that capacity cannot
+    bind (as many documents as tokens, the square of the length) and has no
+    weight in the choice."""
+    weights = tuple(w if given else 0.0 for w, given in zip(weights, (True, max_documents, max_cost)))
     caps = (capacity, max_documents or capacity, max_cost or capacity * capacity)
     per_part = pieces.groupBy("part", "length").agg((F.max("nth") + 1).alias("n"))
     counts = {r["length"]: r["n"] for r in                      # at most `capacity` rows

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat, embedding_dedup, exact_dedup, language, mixing, ngram_join, packing, quality, url_filter
+from . import chat, embedding_dedup, exact_dedup, language, license_scan, mixing, ngram_join, packing, quality, url_filter
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1,
     "op2_ngram_jaccard": ngram_join.op2,
     "op3_exact_dedup": exact_dedup.op3,
+    "op4_license_scan": license_scan.op4,
     "op5_chat_prefix_tree": chat.op5,
     "op6_url_filter": url_filter.op6,
     "op7_source_mixing": mixing.op7,
@@ -18,5 +19,6 @@ QUERIES = {
 
 ORACLE = {
     "op3_exact_dedup": exact_dedup.OP3_SQL,
+    "op4_license_scan": license_scan.OP4_SQL,
     "op7_source_mixing": mixing.OP7_SQL,
 }
