@@ -102,13 +102,14 @@ def exact_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
 
 def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` without the copies (all columns of the kept rows)."""
-    d, f, i, k = (spare(docs, n) for n in ("_digest", "_first", "_kept_id", "_kept_digest"))
-    kept = exact_groups(docs, text, doc_id).where("kept").select(F.col("doc_id").alias(i), F.col("digest").alias(k))
-    keyed = docs.withColumn(d, _digest(_normalised(text)))
-    out = keyed.join(kept, (keyed[d] == kept[k]) & keyed[doc_id].eqNullSafe(kept[i]), "left_semi")
-    # repeated rows share id and digest; the digest partitioning is reused
-    first = F.row_number().over(Window.partitionBy(d, doc_id).orderBy(F.length(text).desc()))
-    return out.withColumn(f, first).where(F.col(f) == 1).drop(f, d)
+    d, f, i = (spare(docs, n) for n in ("_digest", "_first", "_id"))
+    # a key without nulls: the join, and the numbering of repeated rows, share one shuffle of the texts
+    key = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
+    kept = exact_groups(docs, text, doc_id).where("kept").select(
+        F.col("digest").alias(d), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(i))
+    out = docs.withColumn(d, _digest(_normalised(text))).withColumn(i, key).join(kept, [d, i], "left_semi")
+    first = F.row_number().over(Window.partitionBy(d, i).orderBy(F.length(text).desc()))
+    return out.withColumn(f, first).where(F.col(f) == 1).select(*docs.columns)
 
 
 def op3(spark, sf_dir: str) -> DataFrame:

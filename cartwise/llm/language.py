@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from ..functions.skew import top_k_per_group
 from .common import held_out, table
 
-TRAIN_DOCS = 400
-WINDOWS, WINDOW = 8, 40
+TRAIN_DOCS = 150
+WINDOWS, WINDOW = 6, 30
 EPOCHS = 30
 RATE, RIDGE = 0.5, 1e-4
 SLOTS = 1 << 16             # hashed feature weights; slot 0 stays zero
@@ -185,18 +185,19 @@ def train(samples: list[tuple[str, list[list[str]]]], epochs: int = EPOCHS, seed
     first = np.zeros(len(ids), dtype=bool)
     first[np.cumsum([0, *(len(w) for w, _ in sequences[:-1])])] = True
     slots = np.concatenate([feature_slots(words[i:i + 4096]) for i in range(0, len(words), 4096)])
-    word_of, flat = np.repeat(np.arange(len(words)), slots.shape[1]), slots.ravel()
+    word_of, flat = np.repeat(np.arange(len(words), dtype=np.int32), slots.shape[1]), slots.ravel()
     used = np.flatnonzero(flat)
     order = used[np.argsort(flat[used], kind="stable")]
     slot_at, slot_start = np.unique(flat[order], return_index=True)
     word_of = word_of[order]
+    del flat, used, order
     onehot = np.eye(k)[tags]
     seen = np.zeros((k, k))
     inner = np.flatnonzero(~first)
     np.add.at(seen, (tags[inner - 1], tags[inner]), 1)
     squares = [np.full_like(x, 1e-8) for x in (emit, move, start)]
     for _ in range(epochs):
-        e_word = emit[slots].sum(axis=1)
+        e_word = np.concatenate([emit[slots[i:i + 4096]].sum(axis=1) for i in range(0, len(slots), 4096)])
         e = np.exp(e_word - e_word.max(axis=1, keepdims=True))[ids]
         m, s = np.exp(move), np.exp(start)
         ahead, back = posteriors(e, first, m, s, both_ways=True)

@@ -100,10 +100,12 @@ def virtual_times(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", s
     return written(rows.drop("_range"), "mix-virtual")
 
 
-def _finish(k) -> Column:
+def _finish(k, upto: Column | None = None, of: Column | None = None) -> Column:
     """Virtual finish time of a document's copy ``k`` (0 = the first); null
-    when the source has no target."""
-    return F.when(F.col("target") > 0, (F.lit(k) * F.col("source_size") + F.col("upto")).cast("double") / F.col("target"))
+    when the source has no target.  ``of``: the struct that holds the values."""
+    value = (lambda name: of[name]) if of is not None else F.col
+    end = value("upto") if upto is None else upto
+    return F.when(value("target") > 0, (F.lit(k) * value("source_size") + end).cast("double") / value("target"))
 
 
 def _place(k, finish: Column) -> Column:
@@ -170,19 +172,27 @@ def mixed_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """The mix itself: the rows of ``docs``, repeated as often as they are
     taken, in global order of virtual finish time (range sorted)."""
     chosen = mix(docs, text, doc_id, source, weights, max_repeats, seed).where("copies > 0")
-    words, row, finish, i, o, z, nth, times = (spare(docs, n) for n in (
-        "_words", "_row", "_finish", "_id", "_source", "_size", "_nth", "_finishes"))
-    finishes = F.slice(F.array(*[_finish(k) for k in range(max_repeats)]), 1, F.col("copies"))
-    # rows that agree in id, source and size are interchangeable: paired by number
-    w = Window.partitionBy("doc_id", "source", "size").orderBy("upto")
-    chosen = chosen.select(F.col("doc_id").alias(i), F.col("source").alias(o), F.col("size").alias(z),
-                           F.row_number().over(w).alias(nth), finishes.alias(times))
-    w = Window.partitionBy(doc_id, source, words).orderBy(F.length(text))
-    keyed = docs.withColumn(words, word_count(text)).withColumn(row, F.row_number().over(w))
-    out = keyed.join(chosen, keyed[doc_id].eqNullSafe(chosen[i]) & keyed[source].eqNullSafe(chosen[o])
-                     & (keyed[words] == chosen[z]) & (keyed[row] == chosen[nth]))
-    out = out.withColumn(finish, F.explode(times)).repartitionByRange(finish, doc_id).sortWithinPartitions(finish, doc_id)
-    return out.select(*docs.columns)
+    row, finish, key, group = (spare(docs, n) for n in ("_row", "_finish", "_key", "_group"))
+
+    # The key has no nulls, so numbering and join share one shuffle of the texts.
+    def name(i: Column, o: Column, z: Column) -> Column:
+        return F.concat_ws(":", F.coalesce(i.cast("string"), F.lit("-")), z.cast("string"),
+                           F.when(o.isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), o)))
+
+    # Rows that agree in id, source and size follow each other in their source, and earlier
+    # ones are taken as often or oftener: how many are taken k times describes them all.
+    least = [F.sum(F.when(F.col("copies") > k, 1).otherwise(0)).alias(f"c{k}") for k in range(max_repeats)]
+    values = [F.min(c).alias(c) for c in ("upto", "size", "source_size", "target")]
+    chosen = (chosen.groupBy(name(F.col("doc_id"), F.col("source"), F.col("size")).alias(key)).agg(*values, *least))
+    chosen = chosen.select(key, F.struct(*[c for c in chosen.columns if c != key]).alias(group))
+    keyed = docs.withColumn(key, name(F.col(doc_id), F.col(source), word_count(text)))
+    keyed = keyed.withColumn(row, F.row_number().over(Window.partitionBy(key).orderBy(F.length(text))))
+    out = keyed.join(chosen, key)
+    own = F.col(group)
+    upto = own["upto"] + (F.col(row) - 1) * own["size"]
+    times = F.array(*[F.when(F.col(row) <= own[f"c{k}"], _finish(k, upto, own)) for k in range(max_repeats)])
+    out = out.withColumn(finish, F.explode(F.array_compact(times)))
+    return out.repartitionByRange(finish, doc_id).sortWithinPartitions(finish, doc_id).select(*docs.columns)
 
 
 def op7(spark, sf_dir: str) -> DataFrame:

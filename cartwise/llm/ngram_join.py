@@ -56,6 +56,7 @@ RARITY_BITS = 17            # corpus counts are kept for 2^17 shingle groups
 TREE = 1024                 # points in one R-tree
 LEADERS = 6                 # points that a point is first compared with
 AGAINST, MEMBERS = 512, 2_000   # leaders in one row, members in one task group
+MANY = (1 << 16) - 1        # counts from here on are stored as this
 FILTER_BITS = 23
 TEXT_BYTES = 4_000_000      # text shingled at a time
 KEYS_PER_TASK = 2_000_000
@@ -120,7 +121,8 @@ def count_vectors(sets: list[np.ndarray]) -> np.ndarray:
     s = np.concatenate(sets) if sets else np.empty(0, dtype=np.uint64)
     row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
     group = ((s >> np.uint64(20)) & np.uint64(VEC - 1)).astype(np.int64)
-    return np.bincount(row * VEC + group, minlength=len(sets) * VEC).reshape(-1, VEC).astype(np.uint32)
+    counts = np.bincount(row * VEC + group, minlength=len(sets) * VEC).reshape(-1, VEC)
+    return np.minimum(counts, MANY).astype(np.uint16)
 
 
 def _rarity_group(s: np.ndarray) -> np.ndarray:
@@ -355,7 +357,8 @@ def _column(run, name):
 
 
 def _points(run) -> np.ndarray:
-    return np.frombuffer(b"".join(x.as_py() for b in run for x in b.column("vec")), dtype=np.uint32).reshape(-1, VEC)
+    v = np.frombuffer(b"".join(x.as_py() for b in run for x in b.column("vec")), dtype=np.uint16).reshape(-1, VEC)
+    return np.where(v == MANY, 1 << 40, v.astype(np.int64))      # a count cut to MANY bounds nothing
 
 
 def _pairs_out(pairs: list[np.ndarray]) -> pa.RecordBatch:
@@ -450,8 +453,9 @@ def _filter_of(ids: DataFrame) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(c, s) for the documents ``wanted`` (c, doc_id): their shingle sets."""
-    shared = docs.sparkSession.sparkContext.broadcast(_filter_of(wanted.select("doc_id")))
+    """(c, s): the shingle sets of the documents ``wanted`` (doc_id) and of few
+    others that the filter lets pass."""
+    shared = docs.sparkSession.sparkContext.broadcast(_filter_of(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, shingles = np.unpackbits(shared.value.view(np.uint8)).astype(bool), shingler()
@@ -464,12 +468,10 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
         for held in _texts(asked(), "doc_id"):
             sets = shingles([t for _, t in held])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([i for i, _ in held], pa.int64()), pa.array([set_digest(x)[0] for x in sets], pa.int64()),
-                 pa.array([x.tobytes() for x in sets], pa.binary())], names=["doc_id", "c", "s"])
+            yield pa.RecordBatch.from_arrays([pa.array([set_digest(x)[0] for x in sets], pa.int64()),
+                                              pa.array([x.tobytes() for x in sets], pa.binary())], names=["c", "s"])
 
-    return (docs.mapInArrow(run, "doc_id long, c long, s binary").join(wanted, ["doc_id", "c"]).select("c", "s")
-            .dropDuplicates(["c"]))
+    return docs.mapInArrow(run, "c long, s binary")
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -524,14 +526,12 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, label: str)
     salts = per.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("salts"))
     lists = lists.join(salts, "g").withColumn("salt", F.pmod(F.xxhash64("b", "chunk"), F.col("salts")).cast("int"))
     lists = written(lists.select("g", "salt", F.col("b").alias("c"), "against"), f"{label}-lists")
-    used = lists.select("c").unionByName(lists.select(F.explode("against").alias("c"))).distinct()
-    wanted = written(used.join(classes.select("c", F.col("rep").alias("doc_id")), "c"), f"{label}-wanted")
-    sets = written(_sets(docs, wanted), f"{label}-sets")
-    first = lists.select("g", "salt", F.explode("against").alias("c")).distinct().join(sets, "c")
-    rest = lists.join(sets, "c")
-    cols = ["g", "salt", "role", "c", "s", "against"]
-    rows = (first.withColumn("role", F.lit(0)).withColumn("against", F.array().cast("array<bigint>")).select(*cols)
-            .unionByName(rest.withColumn("role", F.lit(1)).select(*cols)))
+    none = F.array().cast("array<bigint>")
+    leaders = lists.select("g", "salt", F.explode("against").alias("c")).distinct()
+    asks = written(leaders.select("g", "salt", F.lit(0).alias("role"), "c", none.alias("against"))
+                   .unionByName(lists.select("g", "salt", F.lit(1).alias("role"), "c", "against")), f"{label}-asks")
+    wanted = asks.select("c").distinct().join(classes.select("c", F.col("rep").alias("doc_id")), "c").select("doc_id")
+    rows = asks.join(_sets(docs, wanted), "c").select("g", "salt", "role", "c", "s", "against")
     rows = rows.repartition("g", "salt").sortWithinPartitions("g", "salt", "role")
     return written(rows.mapInArrow(_verify, "a long, b long"), f"{label}-links")
 
@@ -599,10 +599,25 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
 
 def one_per_component(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with the smallest doc_id of each component only."""
-    k = spare(docs, "_kept")
-    kept = (jaccard_components(docs, text, doc_id).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias(k)).distinct())
-    return docs.join(kept, docs[doc_id].eqNullSafe(kept[k]), "left_semi")
+    dropped = written(jaccard_components(docs, text, doc_id).where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+                      .where("doc_id IS NOT NULL").select("doc_id").distinct(), "ngram-dropped")
+    shared = docs.sparkSession.sparkContext.broadcast(_filter_of(dropped))
+
+    def passing(hit: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bits = np.unpackbits(shared.value.view(np.uint8)).astype(bool)
+            for batch in batches:
+                ids = batch.column(doc_id).cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
+                one, two = _bits(ids)
+                yield batch.filter(pa.array((bits[one] & bits[two]) == hit))
+        return run
+
+    # most rows are told apart by the filter and need no shuffle; a join decides the others
+    k = spare(docs, "_dropped")
+    dropped = dropped.select(F.col("doc_id").alias(k))
+    maybe = docs.mapInArrow(passing(True), docs.schema)
+    return (docs.mapInArrow(passing(False), docs.schema)
+            .unionByName(maybe.join(dropped, maybe[doc_id] == dropped[k], "left_anti")))
 
 
 def op2(spark, sf_dir: str) -> DataFrame:
