@@ -14,10 +14,10 @@ result is exact (no sampling, no caps, no missed link).  Method:
   two linked sets share a shingle among their rarest fifth (rarity: corpus
   counts of 2^17 shingle groups, a fixed-size table over all documents; any fixed
   order keeps the result exact).  Shingles that many documents share sort last
-  and do not gather them.  Each group of classes that meet on a rare shingle
-  (identical groups once) is bulk-loaded into an R-tree (tiles by size, then by
-  the widest coordinates); a search descends only into boxes whose bound reaches
-  the required overlap.
+  and do not gather them.  The classes that meet on a rare shingle are put under
+  the first of them in one fixed order; all that come under one class are a block,
+  bulk-loaded into an R-tree (tiles by size, then by the widest coordinates).  A
+  search descends only into boxes whose bound reaches the required overlap.
 * *Round 1* pairs points only with the first few leaders whose search finds them
   (one order of points for all trees, so groups share leaders), not with each
   other.  *Round 2* searches again between points that are still in different
@@ -25,8 +25,8 @@ result is exact (no sampling, no caps, no missed link).  Method:
   can is left out.
 * *Verification* intersects the full sets of the surviving pairs.
 
-Groups larger than ``TREE`` points are cut into several trees that share the
-group's first point; in round 2 the cut is by pairs of parts, which covers all
+Blocks larger than ``TREE`` points are cut into several trees that share the
+block's first point; in round 2 the cut is by pairs of parts, which covers all
 pairs at bounded memory.
 
 Defined results: null or white-space-only text has an empty set and links with
@@ -233,10 +233,17 @@ def _rare_keys(docs: DataFrame, rarity, buckets: int) -> DataFrame:
     return docs.mapInArrow(run, "bucket long, keys binary, classes binary, sizes binary")
 
 
+def _priority(c: np.ndarray) -> np.ndarray:
+    """One order of classes for all trees."""
+    x = (c.astype(np.uint64) ^ (c.astype(np.uint64) >> np.uint64(33))) * _MUL
+    return x ^ (x >> np.uint64(29))
+
+
 def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Groups of two or more classes sharing a rare shingle: (block, part,
-    parts, c, n), each distinct group once per task.  Groups over TREE members
-    are cut into parts that all hold the group's first member."""
+    """Classes that meet on a rare shingle, under the first of them: (block, c,
+    n), where ``block`` is the class of the group that comes first in priority.
+    Groups with one first member are one block, so classes that meet on many
+    shingles meet in few blocks."""
     k, c, n = [], [], []
     for batch in batches:
         for col, out, kind in (("keys", k, np.uint64), ("classes", c, np.int64), ("sizes", n, np.int64)):
@@ -244,36 +251,26 @@ def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if not k:
         return
     k, c, n = np.concatenate(k), np.concatenate(c), np.concatenate(n)
-    at = np.lexsort((c, n >> 1, k))
+    at = np.lexsort((n, c, k))
     k, c, n = k[at], c[at], n[at]
     one = np.ones(len(k), dtype=bool)                   # a class met twice (copies in two tasks) counts once
     one[1:] = (k[1:] != k[:-1]) | (c[1:] != c[:-1])
     k, c, n = k[one], c[one], n[one]
     start = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
     length = np.diff(np.concatenate((start, [len(k)])))
-    indexed = np.add.reduceat((n & 1) == 0, start)
-    mix = c.astype(np.uint64) * _MUL
-    mix = (mix ^ (mix >> np.uint64(32))) * _MIX
-    mix ^= mix >> np.uint64(29)
-    block = np.add.reduceat(mix, start)
-    good = np.flatnonzero((length >= 2) & (indexed >= 1))
-    _, first = np.unique(block[good], return_index=True)
-    good = good[first]
-    out: list[tuple] = []
-    for g in range(0, len(good), 4096):
-        own = good[g:g + 4096]
-        rows = np.concatenate([np.arange(start[i], start[i] + length[i]) for i in own])
-        blk = np.repeat(block[own].astype(np.int64), length[own])
-        parts = np.repeat(-(-length[own] // TREE), length[own])
-        part = (mix[rows] % parts.astype(np.uint64)).astype(np.int64)
-        out = [(blk, part, parts, c[rows], n[rows] >> 1)]
-        for i in own[length[own] > TREE]:               # the first member joins every part
-            p = -(-int(length[i]) // TREE)
-            out.append((np.full(p, block[i].astype(np.int64)), np.arange(p), np.full(p, p),
-                        np.full(p, c[start[i]]), np.full(p, n[start[i]] >> 1)))
-        cols = [np.concatenate(x) for x in zip(*out)]
-        yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in cols],
-                                         names=["block", "part", "parts", "c", "n"])
+    good = (length >= 2) & (np.add.reduceat((n & 1) == 0, start) >= 1)
+    rank = _priority(c)
+    first = np.repeat(np.minimum.reduceat(rank, start), length) == rank
+    block = np.repeat(c[first], length)                 # priority is one to one, so each group has one first
+    member = np.repeat(good, length)
+    block, c, n = block[member], c[member], n[member] >> 1
+    at = np.lexsort((c, block))
+    block, c, n = block[at], c[at], n[at]
+    new = np.ones(len(c), dtype=bool)
+    new[1:] = (block[1:] != block[:-1]) | (c[1:] != c[:-1])
+    block, c, n = block[new], c[new], n[new]
+    for i in range(0, len(c), 100_000):
+        yield pa.RecordBatch.from_arrays([pa.array(x[i:i + 100_000]) for x in (block, c, n)], names=["block", "c", "n"])
 
 
 # ---------------------------------------------------------------- R-tree
@@ -366,11 +363,6 @@ def _pairs_out(pairs: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1])], names=["a", "b"])
 
 
-def _priority(c: np.ndarray) -> np.ndarray:
-    x = (c.astype(np.uint64) ^ (c.astype(np.uint64) >> np.uint64(33))) * _MUL
-    return x ^ (x >> np.uint64(29))
-
-
 def _leaders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Round 1: a point is paired with the first LEADERS points, in one order
     for all trees, whose search finds it."""
@@ -563,24 +555,28 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
 
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // 4 // KEYS_PER_TASK))
     keys = _rare_keys(base, rarity, 4 * tasks).repartition(tasks, "bucket")
-    blocks = written(keys.mapInArrow(_meeting, "block long, part long, parts long, c long, n long").distinct(), "ngram-blocks")
+    met = written(keys.mapInArrow(_meeting, "block long, c long, n long").distinct(), "ngram-met")
+    parts = met.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / TREE).cast("long").alias("parts"))
+    blocks = written(met.join(parts, "block").withColumn("part", F.pmod(F.xxhash64("c"), F.col("parts"))), "ngram-blocks")
 
     def with_vectors(df: DataFrame, by: list[str]) -> DataFrame:
         df = df.join(classes.select("c", "vec"), "c")
         return df.repartition(*by).sortWithinPartitions(*by)
 
-    first = with_vectors(blocks, ["block", "part"]).mapInArrow(_leaders, "a long, b long")
+    # round 1; the first member of a block that is cut joins every part
+    others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    guests = blocks.where("c = block AND parts > 1").withColumn("_p", others).where("_p <> part").withColumn("part", F.col("_p")).drop("_p")
+    first = with_vectors(blocks.unionByName(guests), ["block", "part"]).mapInArrow(_leaders, "a long, b long")
     links = _verified(first, classes, base, "ngram-1")
     comp = components(links)
 
-    # round 2: groups that still hold different components, in pairs of parts
-    known = blocks.dropDuplicates(["block", "c"]).join(comp.withColumnRenamed("id", "c"), "c", "left")
+    # round 2: blocks that still hold different components, in pairs of parts
+    known = blocks.join(comp.withColumnRenamed("id", "c"), "c", "left")
     known = written(known.withColumn("component", F.coalesce("component", "c")), "ngram-known")
     mixed = (known.groupBy("block").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
              .where("lo <> hi").select("block"))
-    open_ = known.join(mixed, "block", "left_semi")
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
-    spread = (open_.withColumn("_o", other).withColumn("x", F.least("part", "_o")).withColumn("y", F.greatest("part", "_o")))
+    spread = (known.join(mixed, "block", "left_semi").withColumn("_o", others)
+              .withColumn("x", F.least("part", "_o")).withColumn("y", F.greatest("part", "_o")))
     second = with_vectors(spread, ["block", "x", "y"]).mapInArrow(_across, "a long, b long")
     more = _verified(second, classes, base, "ngram-2")
     comp = components(written(links.unionByName(more), "ngram-all"))
