@@ -291,6 +291,13 @@ def classifier(model: Crf):
     return run
 
 
+def _slices(batches, rows: int = 1000):
+    """Batches of at most ``rows`` rows, so that few texts are unpacked at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _trained(docs: DataFrame, text: str, doc_id: str, lang: str):
     model = train(training_windows(docs, text, doc_id, lang))
     parts = (model.labels, model.emit, model.move, model.start)  # fixed size: SLOTS x languages
@@ -305,7 +312,7 @@ def predict(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: s
         model = Crf(*shared.value)
         classify = classifier(model)
         names = np.array([*model.labels, UNKNOWN], dtype=object)
-        for batch in batches:
+        for batch in _slices(batches):
             label, score = classify(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names[label], pa.string()),
                                               pa.array(score)], names=["doc_id", "held_out", "lang_pred", "score"])
@@ -322,8 +329,8 @@ def confident(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classify = classifier(Crf(*shared.value))
-        for batch in batches:
-            label, score = classify([x.encode() if x is not None else None for x in batch.column(text).to_pylist()])
+        for batch in _slices(batches):
+            label, score = classify(batch.column(text).cast(pa.binary()).to_pylist())
             yield batch.filter(pa.array((label >= 0) & (score >= min_score)))
 
     return docs.mapInArrow(run, docs.schema)

@@ -59,7 +59,8 @@ AGAINST, MEMBERS = 512, 2_000   # leaders in one row, members in one task group
 MANY = (1 << 16) - 1        # counts from here on are stored as this
 FILTER_BITS = 23
 TEXT_BYTES = 4_000_000      # text shingled at a time
-KEYS_PER_TASK = 2_000_000
+KEYS_PER_TASK = 2_000_000   # that one task of the meeting stage gathers
+FLUSH_KEYS = 800_000        # that a task of the key stage holds
 CACHE_WORDS = 500_000
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -224,7 +225,7 @@ def _rare_keys(docs: DataFrame, rarity, buckets: int) -> DataFrame:
                 size[index:] += 1
                 sizes.append(size)
                 held += probe
-            if held > KEYS_PER_TASK:
+            if held > FLUSH_KEYS:
                 yield flush()
                 keys, classes, sizes, held = [], [], [], 0
         if held:
