@@ -5,8 +5,9 @@ result is exact (no sampling, no caps, no missed link).  Method:
 
 * *Classes.*  Documents with equal sets are one class (128-bit set digest); all
   later work is between classes, so thousands of copies cost one.
-* *Count vectors.*  Shingles are hashed into ``VEC`` groups; a class is the point
-  of its group counts.  The summed coordinate minima of two points bound their
+* *Count vectors.*  Shingles are hashed into groups (more for longer texts, in
+  powers of two, so that the finer groups add up to the coarser); a class is the
+  point of its group counts.  The summed coordinate minima of two points bound their
   overlap from above.
 * *Forest of R-trees.*  One tree over all points would prune nothing: unrelated
   texts differ by about sqrt(n) per coordinate and every leaf box overlaps every
@@ -51,7 +52,8 @@ from .components import components
 
 WORDS = 5
 SIM = (80, 100)             # similarity at least 80 / 100
-VEC = 128                   # coordinates of a count vector
+VEC = 128                   # coordinates of a count vector, at least
+PER_COORDINATE = 8
 RARITY_BITS = 17            # corpus counts are kept for 2^17 shingle groups
 TREE = 1024                 # points in one R-tree
 LEADERS = 6                 # points that a point is first compared with
@@ -117,13 +119,19 @@ def shingler():
     return shingles
 
 
-def count_vectors(sets: list[np.ndarray]) -> np.ndarray:
-    """Counts per shingle group, a row per set."""
-    s = np.concatenate(sets) if sets else np.empty(0, dtype=np.uint64)
-    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-    group = ((s >> np.uint64(20)) & np.uint64(VEC - 1)).astype(np.int64)
-    counts = np.bincount(row * VEC + group, minlength=len(sets) * VEC).reshape(-1, VEC)
-    return np.minimum(counts, MANY).astype(np.uint16)
+def coordinates(n: int) -> int:
+    """Coordinates of a count vector: about eight shingles in each, so that the
+    bound tells texts apart alike at every length."""
+    v = VEC
+    while v * PER_COORDINATE < n:
+        v *= 2
+    return v
+
+
+def count_vector(s: np.ndarray) -> bytes:
+    v = coordinates(len(s))
+    counts = np.bincount(((s >> np.uint64(20)) & np.uint64(v - 1)).astype(np.int64), minlength=v)
+    return np.minimum(counts, MANY).astype(np.uint16).tobytes()
 
 
 def _rarity_group(s: np.ndarray) -> np.ndarray:
@@ -170,7 +178,7 @@ def _describe(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(len(held), dtype=np.int32)), pa.array([i for i, _ in held], pa.int64()),
                  pa.array([len(x) for x in sets], pa.int64()), pa.array([d[0] for d in digests], pa.int64()),
-                 pa.array([d[1] for d in digests], pa.int64()), pa.array([v.tobytes() for v in count_vectors(sets)], pa.binary())],
+                 pa.array([d[1] for d in digests], pa.int64()), pa.array([count_vector(x) for x in sets], pa.binary())],
                 names=["kind", "id", "n", "c", "c2", "vec"])
         used = np.flatnonzero(corpus)
         if len(used):
@@ -354,9 +362,56 @@ def _column(run, name):
     return np.concatenate([b.column(name).to_numpy(zero_copy_only=False) for b in run])
 
 
-def _points(run) -> np.ndarray:
-    v = np.frombuffer(b"".join(x.as_py() for b in run for x in b.column("vec")), dtype=np.uint16).reshape(-1, VEC)
-    return np.where(v == MANY, 1 << 40, v.astype(np.int64))      # a count cut to MANY bounds nothing
+class Points:
+    """Count vectors of a block's members, with an R-tree over their first
+    VEC-fold sums; long texts have longer vectors, compared where both have."""
+
+    def __init__(self, c: np.ndarray, n: np.ndarray, vectors: list[np.ndarray]):
+        self.c, self.n, self.vectors = c, n, vectors
+        self.folds: dict[tuple[int, int], np.ndarray] = {}
+        # two members need no tree
+        self.tree = RTree(np.stack([self.fold(i, VEC) for i in range(len(c))]), n) if len(c) > 2 else None
+
+    def fold(self, i: int, size: int) -> np.ndarray:
+        """Counts over ``size`` coarser groups (a group is a hash's low bits)."""
+        if (i, size) not in self.folds:
+            v = self.vectors[i]
+            self.folds[i, size] = v if len(v) == size else v.reshape(-1, size).sum(axis=0)
+        return self.folds[i, size]
+
+    def search(self, i: int) -> np.ndarray:
+        """Members whose summed minima with member ``i`` reach the overlap a
+        link needs."""
+        if self.tree is None:
+            return np.array([j for j in range(len(self.c)) if self.bound(i, j) >=
+                             needed_overlap(int(self.n[i]), int(self.n[j]))], dtype=np.int64)
+        near = self.tree.search(self.tree.points[i], int(self.n[i]))
+        own = len(self.vectors[i])
+        if own == VEC:
+            return near
+        return np.array([j for j in near.tolist() if len(self.vectors[j]) == VEC or self.bound(i, j) >=
+                         needed_overlap(int(self.n[i]), int(self.n[j]))], dtype=np.int64)
+
+    def bound(self, i: int, j: int) -> int:
+        size = min(len(self.vectors[i]), len(self.vectors[j]))
+        return int(np.minimum(self.fold(i, size), self.fold(j, size)).sum())
+
+
+def _vectors(run) -> list[np.ndarray]:
+    out = []
+    for b in run:
+        for x in b.column("vec"):
+            v = np.frombuffer(x.as_py(), dtype=np.uint16).astype(np.int64)
+            v[v == MANY] = 1 << 40                       # a count cut to MANY bounds nothing
+            out.append(v)
+    return out
+
+
+def _points(run) -> tuple[Points, np.ndarray]:
+    """The members of a block in order of priority, and that order."""
+    c, n, v = _column(run, "c"), _column(run, "n"), _vectors(run)
+    at = np.argsort(_priority(c), kind="stable")
+    return Points(c[at], n[at], [v[i] for i in at.tolist()]), at
 
 
 def _pairs_out(pairs: list[np.ndarray]) -> pa.RecordBatch:
@@ -369,20 +424,16 @@ def _leaders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for all trees, whose search finds it."""
     out, held = [], 0
     for run in _runs(batches, ["block", "part"]):
-        c, n, v = _column(run, "c"), _column(run, "n"), _points(run)
-        at = np.argsort(_priority(c), kind="stable")
-        c, n, v = c[at], n[at], v[at]
-        if len(c) == 2:
-            found = [np.array([[c[0], c[1]]])] if np.minimum(v[0], v[1]).sum() >= needed_overlap(n[0], n[1]) else []
-        else:
-            tree, led, found = RTree(v, n), np.zeros(len(c), dtype=np.int64), []
-            for i in range(len(c)):
-                if led[i] < LEADERS:
-                    near = tree.search(tree.points[i], int(n[i]))
-                    near = near[(near > i) & (led[near] < LEADERS)]
-                    led[near] += 1
-                    if len(near):
-                        found.append(np.stack([np.full(len(near), c[i]), c[near]], axis=1))
+        members, _ = _points(run)
+        c = members.c
+        led, found = np.zeros(len(c), dtype=np.int64), []
+        for i in range(len(c)):
+            if led[i] < LEADERS:
+                near = members.search(i)
+                near = near[(near > i) & (led[near] < LEADERS)]
+                led[near] += 1
+                if len(near):
+                    found.append(np.stack([np.full(len(near), c[i]), c[near]], axis=1))
         out += found
         held += sum(map(len, found))
         if held > 50_000:
@@ -396,15 +447,14 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Round 2: pairs a search finds between different components."""
     out, held = [], 0
     for run in _runs(batches, ["block", "x", "y"]):
-        c, n, comp, part = (_column(run, k) for k in ("c", "n", "component", "part"))
+        comp, part = _column(run, "component"), _column(run, "part")
         if comp.min() == comp.max():
             continue
-        at = np.argsort(_priority(c), kind="stable")
-        c, n, comp, part, v = c[at], n[at], comp[at], part[at], _points(run)[at]
+        members, at = _points(run)
+        c, comp, part = members.c, comp[at], part[at]
         x, y = run[0].column("x")[0].as_py(), run[0].column("y")[0].as_py()
-        tree = RTree(v, n)
         for i in range(len(c)):
-            near = tree.search(tree.points[i], int(n[i]))
+            near = members.search(i)
             near = near[(comp[near] != comp[i]) & (near > i) & ((x == y) | (part[near] != part[i]))]
             if len(near):
                 pair = np.stack([np.full(len(near), c[i]), c[near]], axis=1)
