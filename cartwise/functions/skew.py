@@ -11,15 +11,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 import contextlib
+import contextvars
 import uuid
 
 from ..session import scratch_path
 
-# Upper bound (rows) for a side we are willing to ship to every executor.
-# A retail catalogue (tens of thousands of products) fits; anything keyed by
-# user or order does not and is left to a shuffle join (AQE may still turn it
-# into a broadcast at run time when the materialised side is small).
+# Upper bounds for a side we are willing to ship to every executor.  A retail
+# catalogue (tens of thousands of products) fits; anything keyed by user or
+# order does not and is left to a shuffle join (AQE may still turn it into a
+# broadcast at run time when the materialised side is small).
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
+# A key with more rows than this is not gathered in one task.
+HOT_ROWS = 1_000_000
 
 
 # Tables that cannot change for the rest of the session (written once by the
@@ -39,14 +43,17 @@ def mark_stable(df: DataFrame) -> DataFrame:
     return df
 
 
-def _fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
+def _fits(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and, written as JSON, at
+    most ``max_bytes`` bytes (reads at most max_rows + 1 rows)."""
     key = _key(df)
-    if key in _stable and (key, max_rows) in _checked:
-        return _checked[(key, max_rows)]
-    ok = df.limit(max_rows + 1).count() <= max_rows
+    if key in _stable and (key, max_rows, max_bytes) in _checked:
+        return _checked[(key, max_rows, max_bytes)]
+    size = (df.limit(max_rows + 1)
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("b")).first())
+    ok = size["n"] <= max_rows and (size["b"] or 0) <= max_bytes
     if key in _stable:
-        _checked[(key, max_rows)] = ok
+        _checked[(key, max_rows, max_bytes)] = ok
     return ok
 
 
@@ -69,7 +76,8 @@ def broadcast_bounded(df: DataFrame, bound: DataFrame, max_rows: int = DEFAULT_B
     return F.broadcast(df) if _fits(bound, max_rows) else df
 
 
-_scopes: list[list[str]] = []
+# The innermost lineage scope of the running thread (or task of an event loop).
+_scope: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("lineage_scope", default=None)
 
 
 @contextlib.contextmanager
@@ -78,11 +86,11 @@ def lineage_scope(spark):
     delete them when it ends.  Use it around work whose results are written
     elsewhere before the block ends (nothing may still read the copies)."""
     paths: list[str] = []
-    _scopes.append(paths)
+    outer = _scope.set(paths)
     try:
         yield paths
     finally:
-        _scopes.remove(paths)
+        _scope.reset(outer)
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()
         for p in paths:
@@ -101,8 +109,8 @@ def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, "lineage", f"{label}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    if _scopes:
-        _scopes[-1].append(path)
+    if (paths := _scope.get()) is not None:
+        paths.append(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -141,26 +149,25 @@ def sequence_number(df: DataFrame, key: str, order_by: list[str], name: str,
             .drop("_sq_part", "_sq_pos", "_sq_rpart", "_sq_rkey", "_sq_first", "_sq_before"))
 
 
-def has_hot_key(df: DataFrame, key: str, partitions: int | None = None) -> bool:
-    """True when one ``key`` holds more rows than an average shuffle partition.
+def has_hot_key(df: DataFrame, key: str, rows: int | None = None) -> bool:
+    """True when one ``key`` has more than ``rows`` rows (default HOT_ROWS).
 
-    One aggregate (per-key counts combined map-side, then max and total); only
-    two numbers reach the driver.
+    A table of at most that many rows has none, which its row count (Parquet
+    metadata) tells; otherwise one aggregate combined map-side, of which one
+    number reaches the driver.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    stats = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-             .agg(F.max("_n").alias("biggest"), F.sum("_n").alias("total")).first())
-    if stats is None or stats["total"] is None:
+    bound = HOT_ROWS if rows is None else rows
+    if df.count() <= bound:
         return False
-    return stats["biggest"] > stats["total"] / n
+    biggest = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("biggest")).first()["biggest"]
+    return biggest is not None and biggest > bound
 
 
 def adaptive_sequence_number(df: DataFrame, key: str, order_by: list[str], name: str,
                              probe: DataFrame | None = None) -> DataFrame:
     """``sequence_number`` when some key is hot, else the plain window.
 
-    Without a hot key every ``key`` group is smaller than an average
-    partition, so ``row_number() OVER (PARTITION BY key)`` (one shuffle) is
+    Without a hot key every ``key`` group has at most HOT_ROWS rows, so ``row_number() OVER (PARTITION BY key)`` (one shuffle) is
     safe; with one, the range-partitioned numbering spreads it over tasks.
     Both give the same numbers.  ``probe`` (a cheaper frame with a ``key``
     column whose per-key counts bound those of ``df``, e.g. raw lines before

@@ -26,12 +26,20 @@ def candidates(orders: DataFrame, uxp: DataFrame, eval_set: str = "train") -> Da
     return label_orders(orders, eval_set).join(uxp, "user_id")
 
 
-def label_join(cands: DataFrame, label_lines: DataFrame) -> DataFrame:
-    """J6 + P9: 1 when the product is in the label order with reordered = 1, else 0."""
-    lab = label_lines.select("order_id", "product_id", F.col("reordered").alias("label_reordered"))
-    return (cands.join(lab, ["order_id", "product_id"], "left")
-            .withColumn(LABEL, F.when(F.col("label_reordered") == 1, F.lit(1)).otherwise(F.lit(0)))
-            .drop("label_reordered"))
+def label_join(cands: DataFrame, label_lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """J6 + P9: 1 when the product is in the label order with reordered = 1, else 0.
+
+    The reordered label lines find their user through the orders (read from the
+    same buckets) and become one row per user: the (order, product) pairs
+    bought again, at most the user's label baskets.  Joined on user_id, only
+    that small side moves; candidates stay in their user buckets.
+    """
+    again = (label_lines.where(F.col("reordered") == 1).select("order_id", "product_id")
+             .join(orders.select("order_id", "user_id"), "order_id")
+             .groupBy("user_id").agg(F.collect_set(F.struct("order_id", "product_id")).alias("bought_again")))
+    hit = F.array_contains("bought_again", F.struct("order_id", "product_id"))
+    return (cands.join(again, "user_id", "left")
+            .withColumn(LABEL, F.coalesce(hit, F.lit(False)).cast("int")).drop("bought_again"))
 
 
 def train_master(orders: DataFrame, uxp: DataFrame, user_feats: DataFrame, prod_feats: DataFrame,
@@ -49,14 +57,14 @@ def train_master(orders: DataFrame, uxp: DataFrame, user_feats: DataFrame, prod_
     c = c.join(user_feats, "user_id", "left")
     pf = broadcast_bounded(prod_feats, catalogue) if catalogue is not None else sized_broadcast(prod_feats)
     c = c.join(pf, "product_id", "left")
-    c = label_join(c, label_lines)
+    c = label_join(c, label_lines, orders)
     c = c.withColumn("orders_since_last_bought",
                      (F.col("order_number") - F.col("uxp_last_order_number")).cast("int"))
     return c.select(*ID_COLS, *FEATURES, LABEL).na.fill(0)
 
 
 def with_split(master: DataFrame) -> DataFrame:
-    """M2: deterministic 80/20 split by key hash (stable under any partitioning)."""
+    """M2: 80/20 split by a digest of the key (stable under any partitioning)."""
     return master.withColumn("is_validation", validation_flag())
 
 

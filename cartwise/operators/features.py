@@ -123,16 +123,18 @@ def cyclical_hour(orders: DataFrame, hour: str | Column = "order_hour_of_day") -
                          F.sin(ang).alias("hour_sin"), F.cos(ang).alias("hour_cos"))
 
 
-def user_dept_share(orders: DataFrame, prior: DataFrame, products: DataFrame) -> DataFrame:
+def user_dept_share(uxp: DataFrame, products: DataFrame) -> DataFrame:
     """Share of a user's prior lines that fall in each department.
 
-    The per-user total is a window over the already aggregated
-    (user, department) rows — at most one row per department per user.
+    The lines are already counted per (user, product) in ``uxp_features``, so
+    only those counts meet the catalogue.  The per-user total is a window over
+    the aggregated (user, department) rows — at most one row per department
+    per user.
     """
     from pyspark.sql import Window
-    lines = enriched_prior(orders, prior).join(
-        broadcast_bounded(products.select("product_id", "department_id"), products), "product_id")
-    per_dept = lines.groupBy("user_id", "department_id").agg(F.count(F.lit(1)).alias("dept_lines"))
+    dept = broadcast_bounded(products.select("product_id", "department_id"), products)
+    per_dept = (uxp.select("user_id", "product_id", "uxp_total_bought").join(dept, "product_id")
+                .groupBy("user_id", "department_id").agg(F.sum("uxp_total_bought").alias("dept_lines")))
     total = F.sum("dept_lines").over(Window.partitionBy("user_id"))
     return per_dept.withColumn("dept_share", F.col("dept_lines") / total)
 

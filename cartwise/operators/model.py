@@ -1,8 +1,12 @@
 """Gradient-boosted reorder classifier on Spark ML.
 
-Training data is the ``feature_matrix`` of the training table with the
-deterministic split flag as Spark's validation indicator: trees are grown on
-the training rows, and the validation rows stop boosting early.
+Training data is the ``feature_matrix`` of the training table: trees are grown
+on the training rows of the deterministic split; the validation rows choose the
+round.  Boosting ends when ``PATIENCE`` rounds brought no better validation loss
+(or at ``n_estimators``), and the best round's ensemble is the model.  Spark's
+first tree enters with full weight, far from the base rate of a rare label, so
+a fifth of the training rows is kept from the trees and fits two calibration
+numbers (slope and intercept of the ensemble's margin).
 
 The reference's booster and Spark's GBT differ (gamma ≈ minInfoGain on
 another scale; column sampling is per node here), so results are compared by
@@ -33,6 +37,8 @@ TUNED_PARAMS = {
     "colsample_bytree": 0.7019846992999667,
     "gamma": 1.54649974715052,
 }
+# Fixed value: rounds without a better validation loss before boosting ends.
+PATIENCE = 50
 # The search space of the notebook's tuning.
 SEARCH_SPACE = {
     "n_estimators": (500, 1500),
@@ -69,10 +75,8 @@ def spark_params(params: dict, n_train_rows: int | None = None) -> dict:
 
 
 def training_frame(master: DataFrame) -> DataFrame:
-    """Feature vectors, double label and the validation flag, cached for the
-    iterative fit (trees read it once per boosting round)."""
-    fm = feature_matrix(master)
-    return with_split(fm)
+    """Feature vectors, double label and the validation flag."""
+    return with_split(feature_matrix(master))
 
 
 def gbt_estimator(params: dict | None = None, seed: int = 42, max_bins: int = 32,
@@ -80,23 +84,123 @@ def gbt_estimator(params: dict | None = None, seed: int = 42, max_bins: int = 32
     from pyspark.ml.classification import GBTClassifier
     p = spark_params({**BASE_PARAMS, **(params or {})}, n_train_rows)
     est = GBTClassifier(featuresCol="features", labelCol="label", lossType="logistic",
-                        maxBins=max_bins, seed=seed, validationIndicatorCol="is_validation",
-                        validationTol=1e-6, cacheNodeIds=True, checkpointInterval=10)
+                        maxBins=max_bins, seed=seed, cacheNodeIds=True, checkpointInterval=10)
     return est.setParams(**p)
 
 
+def _early_stopping(est):
+    """Spark's own stop (the first round without gain), for the many short
+    fits of a search."""
+    return est.setParams(validationIndicatorCol="is_validation", validationTol=1e-6)
+
+
 def _train_rows(master: DataFrame) -> int:
     return with_split(master).where(~F.col("is_validation")).count()
 
 
-def fit_gbt(master: DataFrame, params: dict | None = None, seed: int = 42):
-    """M3/M4: fit on the training rows, early-stop on the validation rows.
+def fit_best_round(est, data: DataFrame, patience: int = PATIENCE):
+    """Fit ``est`` up to its ``maxIter`` with patience.
+
+    Rounds are grown in stages (the same seed grows the same first trees), each
+    stage twice as long; one pass over the validation rows gives the loss after
+    every round.  Ends when the best round lies ``patience`` rounds back, and
+    returns the ensemble of the best round.
+    """
+    limit = est.getMaxIter()
+    train = data.where(~F.col("is_validation")).persist()
+    val = data.where(F.col("is_validation")).persist()
+    try:
+        rounds = min(limit, 3 * patience)
+        while True:
+            model = est.copy({est.maxIter: rounds}).fit(train)
+            losses = model.evaluateEachIteration(val)
+            best = min(range(len(losses)), key=losses.__getitem__) + 1
+            stop = next((k for k in range(1, len(losses) + 1)
+                         if k - (min(range(k), key=losses.__getitem__) + 1) >= patience), None)
+            if stop is not None:
+                best = min(range(stop), key=losses.__getitem__) + 1
+            if stop is not None or rounds >= limit:
+                break
+            rounds = min(limit, 2 * rounds)
+        return model if best == model.getNumTrees else est.copy({est.maxIter: best}).fit(train)
+    finally:
+        train.unpersist()
+        val.unpersist()
+
+
+def fit_gbt(master: DataFrame, params: dict | None = None, seed: int = 42, patience: int = PATIENCE) -> CalibratedGbt:
+    """M3/M4: fit on the training rows, keep the best round on the validation
+    rows, calibrate on training rows that the trees did not see.
 
     ``params`` use the booster's names (``BASE_PARAMS`` / ``TUNED_PARAMS``)
     or Spark's; booster names are translated by ``spark_params``."""
-    data = training_frame(master)
     n = _train_rows(master) if params and "gamma" in params else None
-    return gbt_estimator(params, seed, n_train_rows=n).fit(data)
+    data = training_frame(master)
+    kept = ~F.col("is_validation") & _for_calibration()
+    gbt = fit_best_round(gbt_estimator(params, seed, n_train_rows=n), data.where(~kept), patience)
+    return calibrated(gbt, data.where(kept))
+
+
+class CalibratedGbt:
+    """A fitted ensemble with the slope and intercept of its margin."""
+
+    def __init__(self, gbt, slope: float, intercept: float):
+        self.gbt, self.slope, self.intercept = gbt, float(slope), float(intercept)
+
+    @property
+    def getNumTrees(self) -> int:
+        return self.gbt.getNumTrees
+
+    @property
+    def trees(self):
+        return self.gbt.trees
+
+    @property
+    def featureImportances(self):
+        return self.gbt.featureImportances
+
+    def getFeaturesCol(self) -> str:
+        return self.gbt.getFeaturesCol()
+
+    def scorer(self, features: list[str] = FEATURES):
+        """Probability column from the 17 feature columns of a DataFrame."""
+        margin = model_scorer(self.gbt, features, margin=True)
+
+        def score(df: DataFrame) -> DataFrame:
+            logit = F.lit(self.slope) * F.col(PROB) + F.lit(self.intercept)
+            return margin(df).withColumn(PROB, F.lit(1.0) / (F.lit(1.0) + F.exp(-logit)))
+        return score
+
+
+def _for_calibration(user: str = "user_id", product: str = "product_id"):
+    """A fifth of the keys, independent of the validation split."""
+    key = F.concat(F.col(user).cast("string"), F.lit("|"), F.col(product).cast("string"))
+    return F.substring(F.md5(key.cast("binary")), 5, 4) < F.lit("3333")
+
+
+def calibrated(gbt, rows: DataFrame) -> CalibratedGbt:
+    """Fit the slope and intercept on ``rows`` (features, label); rows of one
+    label only leave the ensemble as it is."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    margin = gbt.transform(rows).select("label", vector_to_array(F.col(gbt.getRawPredictionCol()))[1].alias("margin"))
+    if margin.select("label").distinct().count() < 2:
+        return CalibratedGbt(gbt, 2.0, 0.0)
+    one = VectorAssembler(inputCols=["margin"], outputCol="m").transform(margin)
+    lr = LogisticRegression(featuresCol="m", labelCol="label", maxIter=50).fit(one)
+    return CalibratedGbt(gbt, lr.coefficients[0], lr.intercept)
+
+
+def base_rate_log_loss(master: DataFrame) -> DataFrame:
+    """Validation log-loss of predicting the training rows' positive rate."""
+    split = with_split(master)
+    y = F.col("reordered").cast("double")
+    rate = F.avg(F.when(~F.col("is_validation"), y))
+    pos = F.avg(F.when(F.col("is_validation"), y))
+    stats = split.agg(rate.alias("p"), pos.alias("q"))
+    clipped = F.greatest(F.least(F.col("p"), F.lit(1 - 1e-15)), F.lit(1e-15))
+    return stats.select((-(F.col("q") * F.log(clipped) + (1 - F.col("q")) * F.log(1 - clipped))).alias("base_log_loss"))
 
 
 @dataclass
@@ -108,13 +212,13 @@ class TrainResult:
 def evaluate_model(model, master: DataFrame) -> DataFrame:
     """Log-loss and size of the fitted ensemble on the validation rows."""
     val = with_split(master).where(F.col("is_validation")).drop("is_validation")
-    scored = model_scorer(model)(val)
+    scored = model.scorer()(val)
     ll = log_loss(scored)
     return ll.select(F.lit(int(model.getNumTrees)).alias("n_trees"), "log_loss", "n_rows")
 
 
-def gbt_train(master: DataFrame, params: dict | None = None, seed: int = 42) -> TrainResult:
-    model = fit_gbt(master, params, seed)
+def gbt_train(master: DataFrame, params: dict | None = None, seed: int = 42, patience: int = PATIENCE) -> TrainResult:
+    model = fit_gbt(master, params, seed, patience)
     return TrainResult(model, evaluate_model(model, master))
 
 
@@ -147,7 +251,7 @@ def hyper_search(master: DataFrame, n_trials: int = 20, seed: int = 42,
     try:
         draws = draw_params(n_trials, seed, overrides=overrides)
         n = _train_rows(master)
-        est = gbt_estimator(seed=seed)
+        est = _early_stopping(gbt_estimator(seed=seed))
         maps = [{est.getParam(k): v for k, v in spark_params(d, n).items()} for d in draws]
         val = with_split(master).where(F.col("is_validation")).drop("is_validation")
         rows = []
@@ -176,7 +280,7 @@ def grid_search(master: DataFrame, grid: dict[str, list], seed: int = 42, parall
     from pyspark.ml.tuning import ParamGridBuilder
     spark = master.sparkSession
     n = _train_rows(master)
-    est = gbt_estimator(seed=seed)
+    est = _early_stopping(gbt_estimator(seed=seed))
     builder = ParamGridBuilder()
     for key, values in grid.items():
         spark_values = [spark_params({key: v}, n) for v in values]
@@ -214,7 +318,7 @@ def feature_importance(spark: SparkSession, model, path: str, features: list[str
     grouped by the split feature — a distributed read, not a tree walk.
     """
     save_model(model, path)
-    nodes = spark.read.parquet(f"{path}/data")
+    nodes = spark.read.parquet(f"{path}/gbt/data")
     splits = (nodes.where(F.col("nodeData.leftChild") >= 0)
               .groupBy(F.col("nodeData.split.featureIndex").alias("feature_index"))
               .agg(F.count(F.lit(1)).alias("split_count")))
@@ -230,22 +334,26 @@ def feature_importance(spark: SparkSession, model, path: str, features: list[str
     return out.where(F.col("weight_rank") <= top) if top else out
 
 
-def save_model(model, path: str) -> None:
-    """Persist the fitted model (overwrite)."""
-    model.write().overwrite().save(path)
+def save_model(model: CalibratedGbt, path: str) -> None:
+    """Persist the fitted model (overwrite): the ensemble and, beside it,
+    its calibration."""
+    model.gbt.write().overwrite().save(f"{path}/gbt")
+    (SparkSession.active().createDataFrame([(model.slope, model.intercept)], "slope double, intercept double")
+     .write.mode("overwrite").parquet(f"{path}/calibration"))
 
 
-def load_model(path: str):
+def load_model(path: str) -> CalibratedGbt:
     from pyspark.ml.classification import GBTClassificationModel
-    return GBTClassificationModel.load(path)
+    own = SparkSession.active().read.parquet(f"{path}/calibration").first()
+    return CalibratedGbt(GBTClassificationModel.load(f"{path}/gbt"), own["slope"], own["intercept"])
 
 
-def model_roundtrip(model, master: DataFrame, path: str) -> DataFrame:
+def model_roundtrip(model: CalibratedGbt, master: DataFrame, path: str) -> DataFrame:
     """Save, load and score the validation rows with the loaded model; each
     row carries both probabilities."""
     save_model(model, path)
     loaded = load_model(path)
     val = with_split(master).where(F.col("is_validation")).drop("is_validation")
-    a = model_scorer(model)(val).select("user_id", "product_id", F.col(PROB).alias("p_saved"))
-    b = model_scorer(loaded)(val).select("user_id", "product_id", F.col(PROB).alias("p_loaded"))
+    a = model.scorer()(val).select("user_id", "product_id", F.col(PROB).alias("p_saved"))
+    b = loaded.scorer()(val).select("user_id", "product_id", F.col(PROB).alias("p_loaded"))
     return a.join(b, ["user_id", "product_id"])

@@ -1,14 +1,41 @@
 """Independent SQL (DuckDB dialect) for every SQL-expressible query.
 
-The oracle re-derives the retail tables from the raw views ``orders``,
-``lineitem``, ``part`` and ``customer`` with ordinary window functions, then
-computes each result the way the original SQL/pandas code states it (join,
-then group; LAG/LEAD; ROW_NUMBER).  It shares no code with the Spark side.
+The oracle derives the retail tables from the raw views ``orders``,
+``lineitem``, ``part`` and ``customer`` with ordinary window functions and
+states each result by its definition.  It shares no code or constant with the
+Spark side.
 """
 
 from __future__ import annotations
 
-from ..functions.columns import GRID_START, THRESHOLD_GRIDS
+# Threshold grids in hundredths, and the threshold kept when no F1 is positive.
+GRIDS = {"coarse": range(10, 51, 2), "fine": range(10, 51), "narrow": range(15, 46)}
+KEPT = {"coarse": 0.0, "fine": 0.0, "narrow": 0.2}
+
+_DEPARTMENT = """CASE p_type WHEN 'ECONOMY' THEN 1 WHEN 'LARGE' THEN 2 WHEN 'MEDIUM' THEN 3
+                 WHEN 'PROMO' THEN 4 WHEN 'SMALL' THEN 5 ELSE 6 END"""
+
+# Products by grain: parts of one brand and type as one product, or every part.
+_PRODUCTS = {
+    "group": {
+        "ids": f"""
+SELECT p_partkey AS part_id, CAST(substring(p_brand, 7) AS BIGINT) * 10 + {_DEPARTMENT} AS product_id FROM part""",
+        "r_products": f"""
+SELECT product_id, min(p_name) AS product_name, CAST(product_id // 10 AS INTEGER) AS aisle_id,
+       CAST(product_id % 10 AS INTEGER) AS department_id
+FROM part JOIN ids ON ids.part_id = part.p_partkey GROUP BY product_id""",
+    },
+    "part": {
+        "ids": "SELECT p_partkey AS part_id, p_partkey AS product_id FROM part",
+        "r_products": f"""
+SELECT p_partkey AS product_id, p_name AS product_name, CAST(substring(p_brand, 7) AS INTEGER) AS aisle_id,
+       CAST({_DEPARTMENT} AS INTEGER) AS department_id
+FROM part""",
+    },
+}
+
+_LOGIT = "-3 + 0.3e0 * uxp_total_bought + 2e0 * uxp_reorder_ratio - 0.2e0 * orders_since_last_bought"
+_IS_VALIDATION = "substring(md5(CAST(user_id AS VARCHAR) || '|' || CAST(product_id AS VARCHAR)), 1, 4) < '3333'"
 
 # Derived retail tables and feature tables as CTEs (unused ones are ignored).
 _CTES = {
@@ -30,115 +57,80 @@ SELECT order_id, user_id,
        CAST((order_id * 7) % 24 AS INTEGER) AS order_hour_of_day,
        CAST(date_diff('day', prev_date, order_date) AS DOUBLE) AS days_since_prior_order
 FROM o_nb""",
-    "r_products": """
-SELECT p_partkey AS product_id, p_name AS product_name,
-       CAST(substring(p_brand, 7) AS INTEGER) AS aisle_id,
-       CAST(CASE p_type WHEN 'ECONOMY' THEN 1 WHEN 'LARGE' THEN 2 WHEN 'MEDIUM' THEN 3
-                        WHEN 'PROMO' THEN 4 WHEN 'SMALL' THEN 5 ELSE 6 END AS INTEGER) AS department_id
-FROM part WHERE p_partkey < 100""",
-    "l_dedup": """
-SELECT l_orderkey AS order_id, l_partkey % 100 AS product_id, min(l_linenumber) AS first_line
-FROM lineitem GROUP BY l_orderkey, l_partkey % 100""",
-    "l_all": """
-SELECT l.order_id, l.product_id,
-       CAST(row_number() OVER (PARTITION BY l.order_id ORDER BY l.first_line, l.product_id) AS INTEGER)
-         AS add_to_cart_order,
-       o.user_id, o.order_number, o.eval_set
-FROM l_dedup l JOIN r_orders o ON l.order_id = o.order_id""",
-    "l_flag": """
-SELECT order_id, product_id, add_to_cart_order,
-       CAST(CASE WHEN order_number = min(order_number) OVER (PARTITION BY user_id, product_id)
-                 THEN 0 ELSE 1 END AS INTEGER) AS reordered,
-       eval_set
-FROM l_all""",
-    "r_prior": "SELECT order_id, product_id, add_to_cart_order, reordered FROM l_flag WHERE eval_set = 'prior'",
-    "r_train": "SELECT order_id, product_id, add_to_cart_order, reordered FROM l_flag WHERE eval_set = 'train'",
-    # --- features, written as the original SQL / pandas steps state them
-    "f_enriched": """
-SELECT op.order_id, op.product_id, op.add_to_cart_order, op.reordered, o.user_id, o.order_number
-FROM r_prior op JOIN r_orders o ON op.order_id = o.order_id""",
+    "ids": None,
+    "r_products": None,
+    "bought": """
+SELECT l_orderkey AS order_id, coalesce(product_id, -1) AS product_id, min(l_linenumber) AS first_line
+FROM lineitem LEFT JOIN ids ON part_id = l_partkey GROUP BY 1, 2""",
+    # every line with its order, cart position and whether the user had the product before
+    "lines": """
+SELECT b.order_id, b.product_id, r.user_id, r.order_number, r.eval_set,
+       CAST(row_number() OVER (PARTITION BY b.order_id ORDER BY b.first_line, b.product_id) AS INTEGER) AS add_to_cart_order,
+       CAST(r.order_number > min(r.order_number) OVER (PARTITION BY r.user_id, b.product_id) AS INTEGER) AS reordered
+FROM bought b, r_orders r WHERE r.order_id = b.order_id""",
+    "r_prior": "SELECT order_id, product_id, add_to_cart_order, reordered FROM lines WHERE eval_set = 'prior'",
+    "r_train": "SELECT order_id, product_id, add_to_cart_order, reordered FROM lines WHERE eval_set = 'train'",
+    "past": "SELECT * FROM lines WHERE eval_set = 'prior'",
+    "baskets": "SELECT user_id, order_id, count(*) AS n FROM past GROUP BY user_id, order_id",
     "f_basket": """
-SELECT o.user_id, count(*) AS total_items, count(DISTINCT o.order_id) AS total_orders,
-       CAST(count(*) AS DOUBLE) / count(DISTINCT o.order_id) AS user_avg_basket_size
-FROM r_prior op JOIN r_orders o ON op.order_id = o.order_id
-GROUP BY o.user_id""",
+SELECT user_id, CAST(sum(n) AS BIGINT) AS total_items, count(*) AS total_orders,
+       CAST(sum(n) AS DOUBLE) / count(*) AS user_avg_basket_size
+FROM baskets GROUP BY user_id""",
+    "history": "SELECT * FROM r_orders WHERE eval_set = 'prior' AND user_id IS NOT NULL",
     "f_general": """
 SELECT user_id, max(order_number) AS user_total_orders,
        avg(days_since_prior_order) AS user_avg_days_between,
        avg(order_hour_of_day) AS user_avg_hour, avg(order_dow) AS user_avg_dow
-FROM r_orders WHERE eval_set = 'prior' AND user_id IS NOT NULL
-GROUP BY user_id""",
+FROM history GROUP BY user_id""",
     "f_last3": """
 SELECT user_id, order_id, order_number, days_since_prior_order,
        CAST(row_number() OVER (PARTITION BY user_id ORDER BY order_number DESC, order_id DESC) AS INTEGER)
          AS recent_rank
-FROM r_orders WHERE eval_set = 'prior' AND user_id IS NOT NULL
-QUALIFY recent_rank <= 3""",
+FROM history QUALIFY recent_rank <= 3""",
     "f_recent": """
 SELECT user_id, avg(days_since_prior_order) AS user_recent_avg_days FROM f_last3 GROUP BY user_id""",
     "user_features": """
-SELECT g.user_id, coalesce(g.user_total_orders, 0) AS user_total_orders,
-       coalesce(g.user_avg_days_between, 0) AS user_avg_days_between,
-       coalesce(g.user_avg_hour, 0) AS user_avg_hour, coalesce(g.user_avg_dow, 0) AS user_avg_dow,
-       coalesce(b.user_avg_basket_size, 0) AS user_avg_basket_size,
-       coalesce(r.user_recent_avg_days, 0) AS user_recent_avg_days
-FROM f_general g LEFT JOIN f_basket b ON g.user_id = b.user_id LEFT JOIN f_recent r ON g.user_id = r.user_id""",
+SELECT user_id, ifnull(user_total_orders, 0) AS user_total_orders,
+       ifnull(user_avg_days_between, 0) AS user_avg_days_between, ifnull(user_avg_hour, 0) AS user_avg_hour,
+       ifnull(user_avg_dow, 0) AS user_avg_dow, ifnull(user_avg_basket_size, 0) AS user_avg_basket_size,
+       ifnull(user_recent_avg_days, 0) AS user_recent_avg_days
+FROM f_general LEFT JOIN f_basket USING (user_id) LEFT JOIN f_recent USING (user_id)""",
+    "sold": """
+SELECT product_id, count(*) AS n, avg(reordered) AS again, avg(add_to_cart_order) AS place FROM past GROUP BY product_id""",
     "product_features": """
-SELECT op.product_id, max(p.aisle_id) AS aisle_id, max(p.department_id) AS department_id,
-       count(*) AS prod_total_orders, avg(op.reordered) AS prod_reorder_rate,
-       avg(op.add_to_cart_order) AS prod_avg_position
-FROM r_prior op JOIN r_products p ON op.product_id = p.product_id
-GROUP BY op.product_id""",
+SELECT product_id, aisle_id, department_id, n AS prod_total_orders, again AS prod_reorder_rate,
+       place AS prod_avg_position
+FROM sold JOIN r_products USING (product_id)""",
     "uxp_features": """
-SELECT o.user_id, op.product_id, count(*) AS uxp_total_bought, avg(op.reordered) AS uxp_reorder_ratio,
-       max(o.order_number) AS uxp_last_order_number, avg(op.add_to_cart_order) AS uxp_avg_position
-FROM r_prior op JOIN r_orders o ON op.order_id = o.order_id
-GROUP BY o.user_id, op.product_id""",
+SELECT user_id, product_id, count(*) AS uxp_total_bought, avg(reordered) AS uxp_reorder_ratio,
+       max(order_number) AS uxp_last_order_number, avg(add_to_cart_order) AS uxp_avg_position
+FROM past GROUP BY user_id, product_id""",
+    "asked": """
+SELECT user_id, order_id, order_number, order_hour_of_day, order_dow FROM r_orders WHERE eval_set = 'train'""",
+    "again": "SELECT order_id, product_id FROM r_train WHERE reordered = 1",
     "train_master": """
-SELECT o.user_id, uxp.product_id,
-       coalesce(uxp.uxp_total_bought, 0) AS uxp_total_bought,
-       coalesce(uxp.uxp_reorder_ratio, 0) AS uxp_reorder_ratio,
-       coalesce(uf.user_total_orders, 0) AS user_total_orders,
-       coalesce(uf.user_avg_days_between, 0) AS user_avg_days_between,
-       coalesce(pf.prod_total_orders, 0) AS prod_total_orders,
-       coalesce(pf.prod_reorder_rate, 0) AS prod_reorder_rate,
-       coalesce(uf.user_avg_basket_size, 0) AS user_avg_basket_size,
-       coalesce(pf.prod_avg_position, 0) AS prod_avg_position,
-       coalesce(uxp.uxp_avg_position, 0) AS uxp_avg_position,
-       coalesce(o.order_hour_of_day, 0) AS order_hour_of_day,
-       coalesce(o.order_dow, 0) AS order_dow,
-       coalesce(uf.user_avg_hour, 0) AS user_avg_hour,
-       coalesce(uf.user_avg_dow, 0) AS user_avg_dow,
-       coalesce(pf.aisle_id, 0) AS aisle_id,
-       coalesce(pf.department_id, 0) AS department_id,
-       coalesce(uf.user_recent_avg_days, 0) AS user_recent_avg_days,
-       coalesce(CAST(o.order_number - uxp.uxp_last_order_number AS INTEGER), 0) AS orders_since_last_bought,
-       CASE WHEN op_train.reordered = 1 THEN 1 ELSE 0 END AS reordered
-FROM r_orders o
-JOIN uxp_features uxp ON o.user_id = uxp.user_id
-LEFT JOIN user_features uf ON o.user_id = uf.user_id
-LEFT JOIN product_features pf ON uxp.product_id = pf.product_id
-LEFT JOIN r_train op_train ON o.order_id = op_train.order_id AND uxp.product_id = op_train.product_id
-WHERE o.eval_set = 'train'""",
-    "val_scored": """
-SELECT *, 1 / (1 + exp(-(-3 + 0.3e0 * uxp_total_bought + 2e0 * uxp_reorder_ratio
-                         - 0.2e0 * orders_since_last_bought))) AS probability
-FROM train_master WHERE (user_id * 31 + product_id * 17) % 10 < 2""",
-    "score_frame": """
-SELECT uxp.user_id, uxp.product_id, p.product_name,
-       uxp.uxp_total_bought, uxp.uxp_reorder_ratio, uf.user_total_orders, uf.user_avg_days_between,
-       pf.prod_total_orders, pf.prod_reorder_rate, uf.user_avg_basket_size, pf.prod_avg_position,
-       uxp.uxp_avg_position, uf.user_avg_hour AS order_hour_of_day, uf.user_avg_dow AS order_dow,
-       uf.user_avg_hour, uf.user_avg_dow, pf.aisle_id, pf.department_id, uf.user_recent_avg_days,
-       CAST((uf.user_total_orders + 1) - uxp.uxp_last_order_number AS INTEGER) AS orders_since_last_bought
-FROM uxp_features uxp
-JOIN user_features uf ON uxp.user_id = uf.user_id
-JOIN product_features pf ON uxp.product_id = pf.product_id
-JOIN r_products p ON uxp.product_id = p.product_id""",
-    "scored": """
-SELECT *, 1 / (1 + exp(-(-3 + 0.3e0 * uxp_total_bought + 2e0 * uxp_reorder_ratio
-                         - 0.2e0 * orders_since_last_bought))) AS probability
-FROM score_frame""",
+SELECT u.user_id, u.product_id, u.uxp_total_bought, u.uxp_reorder_ratio,
+       ifnull(f.user_total_orders, 0) AS user_total_orders, ifnull(f.user_avg_days_between, 0) AS user_avg_days_between,
+       ifnull(g.prod_total_orders, 0) AS prod_total_orders, ifnull(g.prod_reorder_rate, 0) AS prod_reorder_rate,
+       ifnull(f.user_avg_basket_size, 0) AS user_avg_basket_size, ifnull(g.prod_avg_position, 0) AS prod_avg_position,
+       u.uxp_avg_position, a.order_hour_of_day, a.order_dow,
+       ifnull(f.user_avg_hour, 0) AS user_avg_hour, ifnull(f.user_avg_dow, 0) AS user_avg_dow,
+       ifnull(g.aisle_id, 0) AS aisle_id, ifnull(g.department_id, 0) AS department_id,
+       ifnull(f.user_recent_avg_days, 0) AS user_recent_avg_days,
+       CAST(a.order_number - u.uxp_last_order_number AS INTEGER) AS orders_since_last_bought,
+       CAST((a.order_id, u.product_id) IN (SELECT (order_id, product_id) FROM again) AS INTEGER) AS reordered
+FROM uxp_features u JOIN asked a ON a.user_id = u.user_id
+LEFT JOIN product_features g ON g.product_id = u.product_id
+LEFT JOIN user_features f ON f.user_id = u.user_id""",
+    "val_scored": f"""
+SELECT *, 1 / (1 + exp(-({_LOGIT}))) AS probability FROM train_master WHERE {_IS_VALIDATION}""",
+    "scored": f"""
+SELECT *, 1 / (1 + exp(-({_LOGIT}))) AS probability
+FROM (SELECT *, user_avg_hour AS order_hour_of_day, user_avg_dow AS order_dow,
+             CAST(1 + user_total_orders - uxp_last_order_number AS INTEGER) AS orders_since_last_bought
+      FROM user_features JOIN uxp_features USING (user_id)
+      JOIN (SELECT product_features.*, product_name FROM product_features JOIN r_products USING (product_id))
+        USING (product_id))""",
     "ranked": """
 SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY probability DESC, product_id) AS INTEGER)
             AS rec_rank
@@ -148,11 +140,17 @@ SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY probabilit
          AS rec_rank,
        product_id, product_name, round(probability, 4) AS probability, CAST(aisle_id AS INTEGER) AS aisle_id
 FROM scored WHERE probability > 0.22e0""",
+    "dept": """
+SELECT user_id, department_id, dept_lines,
+       CAST(dept_lines AS DOUBLE) / sum(dept_lines) OVER (PARTITION BY user_id) AS dept_share
+FROM (SELECT user_id, department_id, count(*) AS dept_lines FROM past JOIN r_products USING (product_id)
+      GROUP BY user_id, department_id)""",
 }
 
 
-def _with(*names: str) -> str:
-    return "WITH " + ",\n".join(f"{n} AS ({_CTES[n]})" for n in _CTES) + "\n"
+def _with(grain: str = "group") -> str:
+    ctes = {**_CTES, **_PRODUCTS[grain]}
+    return "WITH " + ",\n".join(f"{n} AS ({ctes[n]})" for n in ctes) + "\n"
 
 
 FEATURE_COLS = ", ".join([
@@ -165,7 +163,7 @@ FEATURE_COLS = ", ".join([
 def _sweep_sql() -> str:
     """Sweep as explicit conditional sums, one column set per threshold
     (a different method from the Spark side's histogram)."""
-    ks = sorted({k for g in THRESHOLD_GRIDS.values() for k in g})
+    ks = sorted({k for g in GRIDS.values() for k in g})
     sums = []
     for k in ks:
         t = f"(CAST({k} AS DOUBLE) / 100)"
@@ -175,7 +173,7 @@ def _sweep_sql() -> str:
                  f"CAST(sum(CASE WHEN probability <= {t} AND reordered <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS tn_{k}"]
     rows = [f"SELECT '{g}' AS grid, CAST({k} AS DOUBLE) / 100 AS threshold, tp_{k} AS tp, fp_{k} AS fp, "
             f"fn_{k} AS fn, tn_{k} AS tn FROM agg"
-            for g, members in THRESHOLD_GRIDS.items() for k in members]
+            for g, members in GRIDS.items() for k in members]
     return f"""
 , agg AS (SELECT {", ".join(sums)} FROM val_scored)
 , counts AS ({" UNION ALL ".join(rows)})
@@ -189,7 +187,7 @@ def _sweep_sql() -> str:
 
 
 def _best_sql() -> str:
-    start = " ".join(f"WHEN '{g}' THEN {v}e0" for g, v in GRID_START.items())
+    start = " ".join(f"WHEN '{g}' THEN {v}e0" for g, v in KEPT.items())
     return f"""
 , best AS (
   SELECT grid,
@@ -233,10 +231,19 @@ ORDER_COLS = ("order_id, user_id, eval_set, order_number, order_dow, order_hour_
 
 
 def oracle_sql() -> dict[str, str]:
-    W = _with()
-    coarse = {"coarse": THRESHOLD_GRIDS["coarse"]}  # noqa: F841  (documented in the sweep)
+    W, P = _with(), _with("part")
+    scored = f"SELECT user_id, product_id, product_name, {FEATURE_COLS}, round(probability, 6) AS probability FROM scored"
+    text = lambda *cols: " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in cols)
     q = {
-        "ingest_roundtrip": W + f"SELECT {ORDER_COLS} FROM r_orders",
+        "ingest_roundtrip": W + f"""
+SELECT 'orders' AS table_name, order_id AS k1, user_id AS k2,
+       {text('eval_set', 'order_number', 'order_dow', 'order_hour_of_day', 'days_since_prior_order')} AS row_text
+FROM r_orders
+UNION ALL SELECT 'products', product_id, CAST(aisle_id AS BIGINT), {text('product_name', 'department_id')} FROM r_products
+UNION ALL SELECT DISTINCT 'aisles', CAST(aisle_id AS BIGINT), CAST(0 AS BIGINT), 'Brand#' || CAST(aisle_id AS VARCHAR) FROM r_products
+UNION ALL SELECT DISTINCT 'departments', CAST({_DEPARTMENT} AS BIGINT), CAST(0 AS BIGINT), p_type FROM part
+UNION ALL SELECT 'order_products__prior', order_id, product_id, {text('add_to_cart_order', 'reordered')} FROM r_prior
+UNION ALL SELECT 'order_products__train', order_id, product_id, {text('add_to_cart_order', 'reordered')} FROM r_train""",
         "master_csv_roundtrip": W + "SELECT * FROM train_master",
         "table_counts": W + """
 SELECT 'aisles' AS table_name, count(DISTINCT aisle_id) AS n_rows FROM r_products
@@ -249,7 +256,14 @@ UNION ALL SELECT 'user_features', count(*) FROM user_features
 UNION ALL SELECT 'product_features', count(*) FROM product_features
 UNION ALL SELECT 'uxp_features', count(*) FROM uxp_features
 UNION ALL SELECT 'train_master', count(*) FROM train_master""",
-        "enriched_prior": W + "SELECT * FROM f_enriched",
+        "eda_list_tables": W + """
+SELECT 'aisles' AS table_name, 2 AS n_columns, count(DISTINCT aisle_id) AS n_rows FROM r_products
+UNION ALL SELECT 'departments', 2, count(DISTINCT department_id) FROM r_products
+UNION ALL SELECT 'products', 4, count(*) FROM r_products
+UNION ALL SELECT 'orders', 7, count(*) FROM r_orders
+UNION ALL SELECT 'order_products__train', 4, count(*) FROM r_train
+UNION ALL SELECT 'order_products__prior', 4, count(*) FROM r_prior""",
+        "enriched_prior": W + "SELECT order_id, product_id, add_to_cart_order, reordered, user_id, order_number FROM past",
         "user_basket": W + "SELECT user_id, total_items, total_orders, user_avg_basket_size FROM f_basket",
         "user_order_stats": W + "SELECT * FROM f_general",
         "last_k_orders": W + "SELECT * FROM f_last3",
@@ -257,41 +271,37 @@ UNION ALL SELECT 'train_master', count(*) FROM train_master""",
         "user_features": W + "SELECT * FROM user_features",
         "product_features": W + "SELECT * FROM product_features",
         "uxp_features": W + "SELECT * FROM uxp_features",
-        "candidates": W + """
-SELECT o.user_id, o.order_id, o.order_number, o.order_hour_of_day, o.order_dow,
-       uxp.product_id, uxp.uxp_total_bought, uxp.uxp_reorder_ratio, uxp.uxp_last_order_number, uxp.uxp_avg_position
-FROM r_orders o JOIN uxp_features uxp ON o.user_id = uxp.user_id
-WHERE o.eval_set = 'train'""",
-        "label_join": W + """
-SELECT o.order_id, o.user_id, uxp.product_id,
-       CASE WHEN op_train.reordered = 1 THEN 1 ELSE 0 END AS reordered
-FROM r_orders o JOIN uxp_features uxp ON o.user_id = uxp.user_id
-LEFT JOIN r_train op_train ON o.order_id = op_train.order_id AND uxp.product_id = op_train.product_id
-WHERE o.eval_set = 'train'""",
+        "part_product_features": P + "SELECT * FROM product_features",
+        "part_uxp_features": P + "SELECT * FROM uxp_features",
+        "part_train_master": P + "SELECT * FROM train_master",
+        "part_score_candidates": P + scored,
+        "candidates": W + "SELECT * FROM asked JOIN uxp_features USING (user_id)",
+        "label_join": W + "SELECT order_id, user_id, product_id, CAST((order_id, product_id) IN "
+                          "(SELECT (order_id, product_id) FROM again) AS INTEGER) AS reordered "
+                          "FROM asked JOIN uxp_features USING (user_id)",
         "train_master": W + "SELECT * FROM train_master",
         "feature_matrix": W + "SELECT user_id, product_id, " + ", ".join(
             f"CAST({c.strip()} AS DOUBLE) AS {c.strip()}" for c in FEATURE_COLS.split(",")) +
             ", CAST(reordered AS DOUBLE) AS label FROM train_master",
-        "split_counts": W + """
-SELECT CASE WHEN (user_id * 31 + product_id * 17) % 10 < 2 THEN 'validation' ELSE 'train' END AS split,
+        "split_counts": W + f"""
+SELECT CASE WHEN {_IS_VALIDATION} THEN 'validation' ELSE 'train' END AS split,
        count(*) AS n_rows, CAST(sum(reordered) AS BIGINT) AS n_positive
 FROM train_master GROUP BY 1""",
-        "score_candidates": W + f"""
-SELECT user_id, product_id, product_name, {FEATURE_COLS}, round(probability, 6) AS probability FROM scored""",
-        "score_one_user": W + f"""
-SELECT user_id, product_id, product_name, {FEATURE_COLS}, round(probability, 6) AS probability
-FROM scored WHERE user_id = 42""",
+        "score_candidates": W + scored,
+        "score_one_user": W + scored + " WHERE user_id = 42",
         "recommend_threshold": W + "SELECT * FROM rec_threshold",
         "recommend_nested": W + """
-SELECT user_id, count(*) OVER (PARTITION BY user_id) AS count, rec_rank, product_name, probability, aisle_id
-FROM rec_threshold""",
+SELECT user_id, count(*) AS count,
+       CAST(to_json(list({'rec_rank': rec_rank, 'product_name': product_name, 'probability': probability,
+                          'aisle_id': aisle_id} ORDER BY rec_rank)) AS VARCHAR) AS recommendations
+FROM rec_threshold GROUP BY user_id""",
         "recommend_counts": W + """
 SELECT user_id, count(*) AS n_candidates,
        CAST(sum(CASE WHEN probability > 0.22e0 THEN 1 ELSE 0 END) AS BIGINT) AS n_recommended
 FROM scored GROUP BY user_id""",
         "users_without_history": W + """
-SELECT DISTINCT c_custkey AS user_id FROM customer
-WHERE c_custkey NOT IN (SELECT user_id FROM scored WHERE user_id IS NOT NULL)""",
+SELECT DISTINCT 2 * c_custkey AS user_id FROM customer
+WHERE 2 * c_custkey NOT IN (SELECT user_id FROM scored WHERE user_id IS NOT NULL)""",
         "recommend_by_basket": W + """
 SELECT user_id, rec_rank, product_id, product_name, round(probability, 4) AS probability,
        CAST(aisle_id AS INTEGER) AS aisle_id
@@ -304,6 +314,15 @@ FROM customer c
 LEFT JOIN (SELECT user_id, CAST(sum(CASE WHEN probability > 0.22e0 THEN 1 ELSE 0 END) AS BIGINT) AS n_recommended
            FROM scored GROUP BY user_id) u ON c.c_custkey = u.user_id
 LEFT JOIN rec_threshold r ON c.c_custkey = r.user_id""",
+        "gbt_train": W + "SELECT count(*) AS n_rows, true AS beats_base_rate, true AS rounds_in_range FROM val_scored",
+        "gbt_tuned": W + "SELECT count(*) AS n_rows, true AS beats_base_rate, true AS rounds_in_range FROM val_scored",
+        "hyper_search": "SELECT CAST(i AS INTEGER) AS trial, true AS in_range, true AS ranked, true AS scored FROM range(3) t(i)",
+        "grid_search": "SELECT CAST(i AS INTEGER) AS trial, true AS in_range, true AS ranked, true AS scored FROM range(4) t(i)",
+        "recommend_gbt": W + """
+SELECT user_id, count(*) AS n_candidates, true AS ranks_dense, true AS above_threshold FROM scored GROUP BY user_id""",
+        "feature_importance": "SELECT unnest(['" + "', '".join(c.strip() for c in FEATURE_COLS.split(",")) +
+            "']) AS feature, true AS in_range, true AS sums_to_one",
+        "model_roundtrip": W + "SELECT user_id, product_id, true AS same FROM val_scored",
         "threshold_sweep": W.rstrip() + _sweep_sql() + "SELECT * FROM sweep",
         "best_threshold": W.rstrip() + _sweep_sql() + _best_sql() + "SELECT * FROM best",
         "report_default": W.rstrip() + _report_sql("0.5e0"),
@@ -319,34 +338,23 @@ SELECT round(avg(-(reordered * ln(greatest(least(probability, 1 - 1e-15), 1e-15)
                    + (1 - reordered) * ln(1 - greatest(least(probability, 1 - 1e-15), 1e-15)))), 6) AS log_loss,
        count(*) AS n_rows
 FROM val_scored""",
-        "eda_head": W + f"SELECT {ORDER_COLS} FROM r_orders ORDER BY order_id LIMIT 10",
-        "eda_totals": W + "SELECT count(DISTINCT user_id) AS total_users, count(order_id) AS total_orders FROM r_orders",
+        "eda_head": W + f"SELECT {ORDER_COLS} FROM r_orders WHERE order_id IN (SELECT unnest(min(order_id, 10)) FROM r_orders)",
+        "eda_totals": W + "SELECT (SELECT count(*) FROM (SELECT DISTINCT user_id FROM r_orders WHERE user_id IS NOT NULL)) AS total_users, "
+                          "(SELECT count(*) FROM r_orders WHERE order_id IS NOT NULL) AS total_orders",
         "eda_top_products": W + """
-SELECT p.product_name, count(*) AS buying_count
-FROM r_prior op JOIN r_products p ON op.product_id = p.product_id
-GROUP BY p.product_name ORDER BY buying_count DESC, p.product_name LIMIT 5""",
+SELECT product_name, CAST(sum(n) AS BIGINT) AS buying_count FROM sold JOIN r_products USING (product_id)
+GROUP BY product_name ORDER BY buying_count DESC, product_name LIMIT 5""",
         "cyclical_hour": W + """
 SELECT order_id, user_id, order_hour_of_day,
        -- "+ 0.0" turns a rounded -0.0 into 0.0 (Spark's decimal rounding has no signed zero)
        round(sin(order_hour_of_day * (2 * pi() / 24)), 6) + 0.0 AS hour_sin,
        round(cos(order_hour_of_day * (2 * pi() / 24)), 6) + 0.0 AS hour_cos
 FROM r_orders""",
-        "user_dept_share": W + """
-SELECT user_id, department_id, dept_lines,
-       CAST(dept_lines AS DOUBLE) / sum(dept_lines) OVER (PARTITION BY user_id) AS dept_share
-FROM (SELECT e.user_id, p.department_id, count(*) AS dept_lines
-      FROM f_enriched e JOIN r_products p ON e.product_id = p.product_id
-      GROUP BY e.user_id, p.department_id)""",
+        "user_dept_share": W + "SELECT * FROM dept",
         "candidate_dept_share": W + """
 SELECT m.user_id, m.product_id, p.department_id, coalesce(s.dept_share, 0.0) AS uxd_dept_share
-FROM train_master m
-LEFT JOIN r_products p ON m.product_id = p.product_id
-LEFT JOIN (SELECT user_id, department_id,
-                  CAST(dept_lines AS DOUBLE) / sum(dept_lines) OVER (PARTITION BY user_id) AS dept_share
-           FROM (SELECT e.user_id, p2.department_id, count(*) AS dept_lines
-                 FROM f_enriched e JOIN r_products p2 ON e.product_id = p2.product_id
-                 GROUP BY e.user_id, p2.department_id)) s
-  ON m.user_id = s.user_id AND p.department_id = s.department_id""",
+FROM train_master m LEFT JOIN r_products p USING (product_id)
+LEFT JOIN dept s ON s.user_id = m.user_id AND s.department_id = p.department_id""",
         "user_trend_k": W + """
 SELECT user_id,
        coalesce(avg(CASE WHEN rk <= 3 THEN days_since_prior_order END), 0) AS recent_avg_days_3,
@@ -354,7 +362,7 @@ SELECT user_id,
        coalesce(avg(CASE WHEN rk <= 10 THEN days_since_prior_order END), 0) AS recent_avg_days_10
 FROM (SELECT user_id, days_since_prior_order,
              row_number() OVER (PARTITION BY user_id ORDER BY order_number DESC, order_id DESC) AS rk
-      FROM r_orders WHERE eval_set = 'prior' AND user_id IS NOT NULL)
+      FROM history)
 WHERE rk <= 10 GROUP BY user_id""",
     }
     return q

@@ -44,8 +44,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder of this session.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``; that is
-    used as is.  Only when it is unset (local tests) a fresh scratch folder is
-    created so ``DataFrame.checkpoint`` and written intermediate tables work.
+    used as is.  Only when it is unset on a local master (tests) a fresh scratch
+    folder is created so ``DataFrame.checkpoint`` and written intermediate tables work.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,6 +53,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share: "
+                               "intermediate tables are written there")
         configured = tempfile.mkdtemp(prefix="cartwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)

@@ -45,13 +45,13 @@ def _save(df: DataFrame, name: str, path: str, bucket_by: str | None = None, sor
     write itself (no second pass) and stored in ``counts[count_as]``."""
     obs = Observation(f"rows_{name}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if bucket_by:
+    if bucket_by and buckets:
         # one task per bucket, so each bucket is one file (not tasks x buckets);
         # done after the aggregation, so a hot user brings at most a
         # catalogue's worth of rows
         observed = observed.repartition(buckets, bucket_by)
     w = observed.write.mode("overwrite").format("parquet").option("path", path)
-    if bucket_by:
+    if bucket_by and buckets:
         w = w.bucketBy(buckets, bucket_by).sortBy(*(sort_by or [bucket_by]))
     w.saveAsTable(name)
     if counts is not None:
@@ -97,7 +97,7 @@ def build_feature_store(spark: SparkSession, r: RetailTables, token: str, bucket
     key = (spark.sparkContext.applicationId, token)
     with _lock:
         if key not in _memo:
-            n = buckets or bucket_count(spark, r)
+            n = bucket_count(spark, r) if buckets is None else buckets
             prefix, base = f"cw_{token}", scratch_path(spark, "features", token)
             clock = timings if timings is not None else {}
 

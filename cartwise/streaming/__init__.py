@@ -1,5 +1,5 @@
 """Structured Streaming: request-driven recommendations (stream-static join)."""
 
-from .requests import REQUEST_SCHEMA, answer_requests, run_request_stream
+from .requests import REQUEST_SCHEMA, answer_requests, read_answers, run_request_stream, write_answer_tables
 
-__all__ = ["REQUEST_SCHEMA", "answer_requests", "run_request_stream"]
+__all__ = ["REQUEST_SCHEMA", "answer_requests", "read_answers", "run_request_stream", "write_answer_tables"]

@@ -18,4 +18,5 @@ def test_bench_prints_one_json_line():
     d = json.loads(lines[0])
     assert {"metric", "value", "unit", "queries", "sf"} <= set(d)
     assert d["unit"] == "sec" and d["sf"] == 0.001 and d["value"] > 0
-    assert d["rows"]["train_master"] == 3345
+    assert d["rows"]["train_master"] == 3271
+    assert {"ingest", "stream_recommend", "gbt_20_rounds"} <= set(d["queries"])

@@ -175,16 +175,23 @@ def test_log_loss(spark):
     assert got == pytest.approx(want, rel=1e-9)
 
 
-def test_top_products_merge_names(spark, t):
+def test_top_products_merge_names(t):
+    from cartwise.operators import eda as E
+    top = {x.product_name: x.buying_count for x in E.eda_top_products(t["prior"], t["products"]).collect()}
+    assert top["banana"] == 10  # products 10 and 13 share the name
+
+
+def test_views_and_sql_leave_the_callers_names_alone(spark, t):
     from cartwise.operators import eda as E
     from cartwise.sources.derive import RetailTables
     from cartwise.sources.tables import register_views
+    spark.range(3).createOrReplaceTempView("orders")
     r = RetailTables(t["orders"], t["prior"], t["train"], t["products"],
                      spark.createDataFrame([], "aisle_id int, aisle string"),
                      spark.createDataFrame([], "department_id int, department string"))
-    register_views(spark, r)
-    top = {x.product_name: x.buying_count for x in E.eda_top_products(spark).collect()}
-    assert top["banana"] == 10  # products 10 and 13 share the name
+    names = register_views(spark, r)
+    assert "cartwise_orders" in names and E.eda_head(t["orders"]).count() == 10
+    assert spark.table("orders").columns == ["id"]
 
 
 def test_recent_trend_k(t):
@@ -194,6 +201,6 @@ def test_recent_trend_k(t):
 
 
 def test_dept_share_sums_to_one(t):
-    share = FT.user_dept_share(t["orders"], t["prior"], t["products"])
+    share = FT.user_dept_share(FT.uxp_features(t["orders"], t["prior"]), t["products"])
     sums = share.groupBy("user_id").agg(F.sum("dept_share").alias("s")).collect()
     assert all(abs(r.s - 1.0) < 1e-12 for r in sums)

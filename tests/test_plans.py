@@ -73,3 +73,66 @@ def test_lines_orders_join_reads_buckets_without_shuffle(spark, ctx):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def _no_broadcasts(spark):
+    for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(k, "-1")
+
+
+def _broadcasts(spark):
+    for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.unset(k)
+
+
+def _shuffles(df) -> int:
+    return len(re.findall(r"(?<!Broadcast)Exchange ", _plan(df)))
+
+
+def test_label_join_leaves_candidates_in_their_buckets(spark, ctx):
+    from cartwise.operators import dataset as D
+    _no_broadcasts(spark)
+    try:
+        cands = D.candidates(ctx.r.orders, ctx.store.uxp_features)
+        joined = D.label_join(cands, ctx.r.train, ctx.r.orders)
+        # label orders and label lines move to their user; the candidates do not
+        assert _shuffles(cands) == 1 and _shuffles(joined) == 2, _plan(joined)
+    finally:
+        _broadcasts(spark)
+
+
+def test_top_products_and_shares_move_counts_only(spark, ctx):
+    from cartwise.operators import eda as E
+    from cartwise.operators import features as FT
+    _no_broadcasts(spark)
+    try:
+        top = _plan(E.eda_top_products(ctx.r.prior, ctx.r.products))
+        lowest = top[top.rindex("Exchange hashpartitioning(product_id"):]
+        assert "partial_count(1)" in lowest.split("FileScan")[0]
+        share = FT.user_dept_share(ctx.store.uxp_features, ctx.r.products)
+        assert _shuffles(share) <= 2 and "order_id" not in _plan(share)
+    finally:
+        _broadcasts(spark)
+
+
+def test_catalogue_tables_are_not_written_by_one_task():
+    import inspect
+    from cartwise.sources import store, tables
+    assert "coalesce(1)" not in inspect.getsource(tables) + inspect.getsource(store)
+
+
+@pytest.mark.parametrize("grain", ["group", "part"])
+def test_every_part_and_line_is_represented(spark, grain):
+    from cartwise.sources.derive import purchases, read_source
+    from cartwise.sources.tables import load_retail
+    r = load_retail(spark, SF_SMALL, grain)
+    part, lines = read_source(spark, SF_SMALL, "part"), read_source(spark, SF_SMALL, "lineitem")
+    if grain == "part":
+        assert {x.product_id for x in r.products.collect()} == {x.p_partkey for x in part.collect()}
+        assert purchases(lines, part, grain).count() == lines.select("l_orderkey", "l_partkey").distinct().count()
+    else:
+        assert r.products.count() == part.select("p_brand", "p_type").distinct().count()
+    kept = r.prior.unionByName(r.train).unionByName(r.test)
+    assert kept.count() == purchases(lines, part, grain).count()
+    assert kept.select("order_id").distinct().count() == lines.select("l_orderkey").distinct().count()
+    assert kept.where("product_id < 0").count() == 0

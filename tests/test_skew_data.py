@@ -18,6 +18,13 @@ NAMES = ["ingest_roundtrip", "enriched_prior", "last_k_orders", "user_features",
 @pytest.fixture(scope="module")
 def skewed_dir():
     import duckdb
+    from cartwise.functions import skew
+    bound, skew.HOT_ROWS = skew.HOT_ROWS, 200       # the hot user of this small copy counts as hot
+    yield _skewed(duckdb)
+    skew.HOT_ROWS = bound
+
+
+def _skewed(duckdb):
     out = tempfile.mkdtemp(prefix="cartwise-skew-")
     for f in os.listdir(SF_SMALL):
         if f != "orders.parquet":
