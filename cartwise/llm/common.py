@@ -31,6 +31,21 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(crc % 3 == 1, F.lit(False))
 
 
+def trim() -> None:
+    """Give memory that earlier tasks of a reused Python worker have freed back
+    to the system (workers keep it otherwise, and executors hold several)."""
+    import ctypes
+    import gc
+
+    import pyarrow
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:          # not glibc
+        pass
+
+
 def spare(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not use yet."""
     taken = {c.lower() for c in df.columns}

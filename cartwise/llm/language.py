@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.skew import top_k_per_group
-from .common import held_out, table
+from .common import held_out, table, trim
 
 TRAIN_DOCS = 150
 WINDOWS, WINDOW = 6, 30
@@ -40,7 +40,7 @@ RATE, RIDGE = 0.5, 1e-4
 SLOTS = 1 << 16             # hashed feature weights; slot 0 stays zero
 WORD_CHARS = 24
 CACHE_WORDS = 300_000
-CHUNK_WORDS = 400_000       # words in one forward-backward batch
+CHUNK_WORDS = 200_000       # words in one forward-backward batch
 MIN_SCORE = 0.5
 UNKNOWN = "und"
 
@@ -309,6 +309,7 @@ def predict(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: s
     shared = _trained(docs, text, doc_id, lang)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         model = Crf(*shared.value)
         classify = classifier(model)
         names = np.array([*model.labels, UNKNOWN], dtype=object)
@@ -328,6 +329,7 @@ def confident(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang:
     shared = _trained(docs, text, doc_id, lang)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         classify = classifier(Crf(*shared.value))
         for batch in _slices(batches):
             label, score = classify(batch.column(text).cast(pa.binary()).to_pylist())

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import spare, table, written
+from .common import spare, table, trim, written
 from .components import components
 
 WORDS = 5
@@ -60,10 +60,10 @@ LEADERS = 6                 # points that a point is first compared with
 AGAINST, MEMBERS = 512, 2_000   # leaders in one row, members in one task group
 MANY = (1 << 16) - 1        # counts from here on are stored as this
 FILTER_BITS = 23
-TEXT_BYTES = 4_000_000      # text shingled at a time
+TEXT_BYTES = 2_000_000      # text shingled at a time
 KEYS_PER_TASK = 2_000_000   # that one task of the meeting stage gathers
 FLUSH_KEYS = 800_000        # that a task of the key stage holds
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -170,6 +170,7 @@ def _describe(docs: DataFrame) -> DataFrame:
     """kind 0: one row per document (id, set size n, class c and its check c2,
     count vector); kind 1: per task, shingle group ``id`` occurs in n sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         shingles, corpus = shingler(), np.zeros(1 << RARITY_BITS, dtype=np.int64)
         for held in _texts(batches, "doc_id"):
             sets = shingles([t for _, t in held])
@@ -203,6 +204,7 @@ def _rare_keys(docs: DataFrame, rarity, buckets: int) -> DataFrame:
     """Rows (bucket, keys, classes, sizes): for each task and bucket, the rare
     shingles of its classes as flat arrays (size is 2n, plus 1 if probe only)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         shingles, order, seen = shingler(), rarity.value, set()
         keys, classes, sizes, held = [], [], [], 0
 
@@ -253,6 +255,7 @@ def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     n), where ``block`` is the class of the group that comes first in priority.
     Groups with one first member are one block, so classes that meet on many
     shingles meet in few blocks."""
+    trim()
     k, c, n = [], [], []
     for batch in batches:
         for col, out, kind in (("keys", k, np.uint64), ("classes", c, np.int64), ("sizes", n, np.int64)):
@@ -501,6 +504,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(_filter_of(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         bits, shingles = np.unpackbits(shared.value.view(np.uint8)).astype(bool), shingler()
 
         def asked():
@@ -652,6 +656,7 @@ def one_per_component(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
 
     def passing(hit: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            trim()
             bits = np.unpackbits(shared.value.view(np.uint8)).astype(bool)
             for batch in batches:
                 ids = batch.column(doc_id).cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)

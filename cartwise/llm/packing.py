@@ -32,14 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import table, trim, written
 
 MAX_TOKENS = 2048
 END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
-CACHE_WORDS = 600_000       # distinct words a worker remembers before it starts afresh
+CACHE_WORDS = 400_000       # distinct words a worker remembers before it starts afresh
 CACHE_BYTES = 128           # longer words are not remembered
-TEXT_BYTES = 4_000_000      # text encoded at a time
+TEXT_BYTES = 2_000_000      # text encoded at a time
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids binary, part int, nth long"
 
 
@@ -157,6 +157,7 @@ def tokenize(docs: DataFrame, path: str | None = None, max_tokens: int = MAX_TOK
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
+        trim()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark's tasks are the parallelism
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
@@ -181,7 +182,7 @@ def tokenize(docs: DataFrame, path: str | None = None, max_tokens: int = MAX_TOK
                 rows.append((i, piece, at // 4, n, own, part, seen[n]))
                 seen[n] += 1
                 held += len(own)
-            if held > 8_000_000:
+            if held > 4_000_000:
                 yield flush()
                 rows, held = [], 0
         if rows:
