@@ -138,7 +138,7 @@ def fit_gbt(master: DataFrame, params: dict | None = None, seed: int = 42, patie
     data = training_frame(master)
     kept = ~F.col("is_validation") & _for_calibration()
     gbt = fit_best_round(gbt_estimator(params, seed, n_train_rows=n), data.where(~kept), patience)
-    return calibrated(gbt, data.where(kept))
+    return calibrated(gbt, data.where(kept), data.where(~F.col("is_validation")))
 
 
 class CalibratedGbt:
@@ -178,9 +178,12 @@ def _for_calibration(user: str = "user_id", product: str = "product_id"):
     return F.substring(F.md5(key.cast("binary")), 5, 4) < F.lit("3333")
 
 
-def calibrated(gbt, rows: DataFrame) -> CalibratedGbt:
+def calibrated(gbt, rows: DataFrame, every: DataFrame | None = None) -> CalibratedGbt:
     """Fit the slope and intercept on ``rows`` (features, label); rows of one
-    label only leave the ensemble as it is."""
+    label only leave the ensemble as it is.  The intercept is then moved from
+    the positive rate of ``rows`` to that of ``every`` training row, which is
+    known more closely."""
+    import math
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
@@ -189,7 +192,9 @@ def calibrated(gbt, rows: DataFrame) -> CalibratedGbt:
         return CalibratedGbt(gbt, 2.0, 0.0)
     one = VectorAssembler(inputCols=["margin"], outputCol="m").transform(margin)
     lr = LogisticRegression(featuresCol="m", labelCol="label", maxIter=50).fit(one)
-    return CalibratedGbt(gbt, lr.coefficients[0], lr.intercept)
+    rates = [df.agg(F.avg("label")).first()[0] for df in (rows, every if every is not None else rows)]
+    moved = math.log(rates[1] / (1 - rates[1])) - math.log(rates[0] / (1 - rates[0]))
+    return CalibratedGbt(gbt, lr.coefficients[0], lr.intercept + moved)
 
 
 def base_rate_log_loss(master: DataFrame) -> DataFrame:
