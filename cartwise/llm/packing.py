@@ -37,8 +37,8 @@ from .common import table, trim, written
 MAX_TOKENS = 2048
 END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
-CACHE_WORDS = 400_000       # distinct words a worker remembers before it starts afresh
-CACHE_BYTES = 128           # longer words are not remembered
+CACHE_WORDS = 400_000       # distinct pieces a worker remembers before it starts afresh
+CACHE_CHARS = 128           # longer pieces are not remembered
 TEXT_BYTES = 2_000_000      # text encoded at a time
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids binary, part int, nth long"
 
@@ -48,21 +48,23 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-# A plain word: Latin letters that NFC leaves alone and whose lower case is one
-# letter each, then maybe a run of marks that the tokenizer splits off whole.
-_MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-_PLAIN = re.compile("([a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)")
+# Plain text: printable ASCII, white space and Latin letters that NFC leaves alone
+# and whose lower case is one letter each.
+_PLAIN = re.compile("[\t-\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
+# The pieces the tokenizer splits (lower-cased) plain text into.
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^\t-\r a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 
 
 def word_encoder(path: str):
     """list of texts (bytes) -> list of their ids (little-endian unsigned 32
     bit bytes).
 
-    The tokenizer drops white space and never joins across it, so a text's ids
-    are the ids of its white-space separated words in turn, and a word's ids
-    are computed once per worker.  Plain words need no normalising beyond lower
-    case: their letters go through the tokenizer's own merges many at a time,
-    without its normaliser; all other words go through it as they are.
+    The tokenizer merges inside pieces only, so a text's ids are the ids of its
+    pieces in turn, and a piece's ids are computed once per worker.  Plain text
+    is lower-cased and split here by the tokenizer's own pattern; its runs of
+    letters go through the tokenizer's merges many at a time.  Other text is
+    split at ASCII white space, which the tokenizer drops and never joins
+    across, and its words go through the whole tokenizer.
     """
     from tokenizers import Tokenizer, pre_tokenizers
     whole = Tokenizer.from_file(path)
@@ -70,58 +72,43 @@ def word_encoder(path: str):
     bare.pre_tokenizer = pre_tokenizers.Sequence(
         [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
     vocab = whole.get_vocab()
-    ends = np.zeros(max(vocab.values()) + 1, dtype=bool)         # ids that end a word
+    ends = np.zeros(max(vocab.values()) + 1, dtype=bool)         # ids that end a piece
     ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-    cache: dict[bytes, bytes] = {}
-    marks: dict[bytes, bytes] = {b"": b""}
+    cache: dict = {}                                             # pieces are str, other words bytes
 
     def ids_of(words: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in whole.encode_batch_fast(words, add_special_tokens=False)]
 
-    def letters_ids(words: list[str]) -> list[bytes]:
-        joined = [" ".join(words[i:i + 256]) for i in range(0, len(words), 256)]
+    def letters_ids(runs: list[str]) -> list[bytes]:
+        joined = [" ".join(runs[i:i + 256]) for i in range(0, len(runs), 256)]
         ids = np.concatenate([np.asarray(e.ids, dtype="<u4") for e in bare.encode_batch_fast(joined, add_special_tokens=False)])
         stop = (np.flatnonzero(ends[ids]) + 1) * 4
-        if len(stop) != len(words):                              # a vocabulary without word ends
-            return ids_of(words)
+        if len(stop) != len(runs):                               # a vocabulary without ends
+            return ids_of(runs)
         raw = ids.tobytes()
         return [raw[x:y] for x, y in zip([0, *stop[:-1].tolist()], stop.tolist())]
 
-    def learn(words) -> dict[bytes, bytes]:
-        """Remember the ids of new words; returns those of words too long for it."""
-        plain, odd = [], []
-        for w in words:
-            head = w.rstrip(_MARKS)
-            if head.isalpha() and len(w) <= CACHE_BYTES:         # ASCII letters, maybe marks
-                plain.append((w, head.lower(), w[len(head):]))
-                continue
-            t = w.decode("utf-8", "replace")
-            m = _PLAIN.fullmatch(t) if len(w) <= CACHE_BYTES else None
-            if m:
-                plain.append((w, m[1].lower().encode(), m[2].encode()))
-            else:
-                odd.append((w, t))
-        if plain:
-            heads = list({p[1] for p in plain})
-            known = dict(zip(heads, letters_ids([h.decode() for h in heads])))
-            tails = {p[2] for p in plain}.difference(marks)
-            if tails:
-                if len(marks) > 10_000:
-                    marks.clear()
-                    marks[b""] = b""
-                    tails = {p[2] for p in plain if p[2]}
-                marks.update(zip(tails, ids_of([t.decode() for t in tails])))
-            for w, h, t in plain:
-                cache[w] = known[h] + marks[t]
-        large = {}
-        if odd:
-            for (w, _), i in zip(odd, ids_of([t for _, t in odd])):
-                (cache if len(w) <= CACHE_BYTES else large)[w] = i
-        return large
+    def pieces(text: bytes) -> list:
+        try:
+            t = text.decode()
+        except UnicodeDecodeError:
+            return text.split()
+        if "<|" in t or not _PLAIN.fullmatch(t):                 # "<|": the tokenizer's special strings
+            return text.split()
+        return _PIECES.findall(t.lower())
+
+    def learn(new) -> dict:
+        """Remember the ids of new pieces; returns those too long for it."""
+        runs = [x for x in new if type(x) is str and x.isalpha()]
+        if runs:
+            cache.update(zip(runs, letters_ids(runs)))
+        other = [x for x in new if type(x) is bytes or not x.isalpha()]
+        if other:
+            cache.update(zip(other, ids_of([x.decode("utf-8", "replace") if type(x) is bytes else x for x in other])))
+        return {x: cache.pop(x) for x in new if len(x) > CACHE_CHARS}
 
     def encode(texts: list[bytes]) -> list[bytes]:
-        # ASCII text may be lower-cased at once (but for the tokenizer's own special strings)
-        split = [(t.lower() if t.isascii() and b"<|" not in t else t).split() for t in texts]
+        split = [pieces(t) for t in texts]
         new = set().union(*split).difference(cache)
         if new:
             if len(cache) + len(new) > CACHE_WORDS:
@@ -130,7 +117,8 @@ def word_encoder(path: str):
             large = learn(new)
             if large:
                 return [b"".join([large[w] if w in large else cache[w] for w in words]) for words in split]
-        return [b"".join([cache[w] for w in words]) for words in split]
+        known = cache.__getitem__
+        return [b"".join(map(known, words)) for words in split]
 
     return encode
 
