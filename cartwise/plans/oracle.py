@@ -315,7 +315,6 @@ LEFT JOIN (SELECT user_id, CAST(sum(CASE WHEN probability > 0.22e0 THEN 1 ELSE 0
            FROM scored GROUP BY user_id) u ON c.c_custkey = u.user_id
 LEFT JOIN rec_threshold r ON c.c_custkey = r.user_id""",
         "gbt_train": W + "SELECT count(*) AS n_rows, true AS beats_base_rate, true AS rounds_in_range FROM val_scored",
-        "gbt_tuned": W + "SELECT count(*) AS n_rows, true AS beats_base_rate, true AS rounds_in_range FROM val_scored",
         "hyper_search": "SELECT CAST(i AS INTEGER) AS trial, true AS in_range, true AS ranked, true AS scored FROM range(3) t(i)",
         "grid_search": "SELECT CAST(i AS INTEGER) AS trial, true AS in_range, true AS ranked, true AS scored FROM range(4) t(i)",
         "recommend_gbt": W + """

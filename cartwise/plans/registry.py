@@ -353,11 +353,6 @@ def q_gbt_train(spark, sf_dir):
     return _fit_summary(Ctx(spark, sf_dir), {})
 
 
-def q_gbt_tuned(spark, sf_dir):
-    from ..operators.model import TUNED_PARAMS
-    return _fit_summary(Ctx(spark, sf_dir), TUNED_PARAMS)
-
-
 def _trials(df: DataFrame, n: int, in_range) -> DataFrame:
     ranked = df.select("trial", in_range.alias("in_range"), F.col("rank").between(1, n).alias("ranked"), "log_loss")
     return ranked.select("trial", "in_range", "ranked", (F.col("log_loss") > 0).alias("scored"))
@@ -460,7 +455,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "part_train_master": q_part_train_master,
     "part_score_candidates": q_part_score_candidates,
     "gbt_train": q_gbt_train,
-    "gbt_tuned": q_gbt_tuned,
     "hyper_search": q_hyper_search,
     "grid_search": q_grid_search,
     "recommend_gbt": q_recommend_gbt,
