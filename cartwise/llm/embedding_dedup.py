@@ -11,12 +11,18 @@ from the shard's medoid and the point itself, ``BEAM`` steps, then range
 expansion from everything at the threshold until nothing new turns up.  What is
 linked is decided by the cosine in double precision.
 
+The search then leaves its shards, in rounds: a point visits every shard that a
+point it is linked with belongs to, is compared with the points whose nearest
+centroid is that shard's, and the links found there say where to go next, until
+no point has a shard left to visit.
+
 A group of vectors that are all within the threshold has as many links as
 pairs, so links are never listed: a task counts them per point and returns the
 connected parts of its shard as one row per point; the parts are joined to
 components over all shards.  A pair that meets in several shards counts in the
-first of them.  A shard of more than ``MAX_SHARD`` points is cut; its parts are
-searched in pairs, so no task holds more.
+first of them, a pair of a visit in one of the two directions.  A shard of more
+than ``MAX_SHARD`` points is cut; its parts are searched in pairs, and visitors
+come in groups of as many, so no task holds more.
 
 ``audit_recall`` measures recall against brute force for a stated query set.
 
@@ -257,19 +263,107 @@ def _searcher(threshold: float):
             there = np.array([s in own for own in shards])
             fresh &= ~(there[:, None] & there[None, :])
         links = fresh.astype(np.int64) @ copies
-        return pa.table({"id": pa.array(ids), "links": pa.array(links), "low": pa.array(local_parts(found, ids))})
+        of = _matrix(batch.column("shards")).astype(np.int64)
+        return pa.table({"id": pa.array(ids), "links": pa.array(links), "low": pa.array(local_parts(found, ids)),
+                         "asks": _asks(found, of, of)})
     return search
 
 
+# ---------------------------------------------------------------- beyond a point's own shards
+
+FOUND = "id long, links long, low long, asks array<int>"
+
+
+def _asks(found: np.ndarray, own: np.ndarray, theirs: np.ndarray) -> pa.Array:
+    """Per row of ``found`` (points with the shards ``own``) the shards of the
+    linked points that are not its own."""
+    names, at = np.unique(theirs, return_inverse=True)
+    into = np.zeros((len(theirs), len(names)), dtype=np.float32)
+    into[np.arange(len(theirs))[:, None], at.reshape(theirs.shape)] = 1
+    asked = found.astype(np.float32) @ into > 0
+    for column in own.T:
+        asked &= names[None, :] != column[:, None]
+    return pa.array([names[row].astype(np.int32) for row in asked], pa.list_(pa.int32()))
+
+
+def _meeting(threshold: float):
+    def meet(batch: pa.Table) -> pa.Table:
+        """Visitors of a shard against the points that live there."""
+        visits = batch.column("visits").to_numpy()
+        guests, hosts = batch.filter(pa.array(visits)), batch.filter(pa.array(~visits))
+        if not guests.num_rows or not hosts.num_rows:
+            return pa.table({"id": pa.array([], pa.int64()), "links": pa.array([], pa.int64()), "low": pa.array([], pa.int64()),
+                             "asks": pa.array([], pa.list_(pa.int32()))})
+        ids, copies, home = ([t.column(c).to_numpy() for t in (guests, hosts)] for c in ("id", "copies", "home"))
+        of = [_matrix(t.column("shards")).astype(np.int64) for t in (guests, hosts)]
+        found = _unit(_matrix(guests.column("embedding"))) @ _unit(_matrix(hosts.column("embedding"))).T >= threshold
+        for one in of[0].T:                             # pairs of one shard have met there
+            for other in of[1].T:
+                found &= one[:, None] != other[None, :]
+        # a host that has visited the guest's home has met it, and of two visits in one round the lower home's counts
+        homes, at = np.unique(home[0], return_inverse=True)
+        met = np.zeros((len(ids[1]), len(homes)), dtype=bool)
+        for i, (before, now) in enumerate(zip(hosts.column("before").to_pylist(), hosts.column("now").to_pylist())):
+            met[i] = np.isin(homes, before) | (np.isin(homes, now) & (homes < home[1][i]))
+        found &= ~met[:, at].T
+        low, none = list(ids), np.iinfo(np.int64).max
+        while True:
+            new = np.minimum(low[0], np.where(found, low[1][None, :], none).min(axis=1))
+            far = np.minimum(low[1], np.where(found, new[:, None], none).min(axis=0))
+            if (new == low[0]).all() and (far == low[1]).all():
+                break
+            low = [new, far]
+        out = []
+        for side, f in ((0, found), (1, found.T)):
+            some = f.any(axis=1)
+            f = f[some]
+            out.append(pa.table({"id": pa.array(ids[side][some]), "links": pa.array(f.astype(np.int64) @ copies[1 - side]),
+                                 "low": pa.array(low[side][some]), "asks": _asks(f, of[side][some], of[1 - side])}))
+        return pa.concat_tables(out)
+    return meet
+
+
+def _beyond(shards: DataFrame, first: DataFrame, threshold: float) -> list[DataFrame]:
+    """What the points find outside their own shards, a written table a round."""
+    homes = shards.where("shard = shards[0]").select("label", "dim", "id", "copies", "embedding", "shards",
+                                                     F.col("shard").alias("home"))
+    none, rounds = F.array().cast("array<int>"), []
+    asked = lambda df: df.select("id", F.explode("asks").alias("t")).groupBy("id").agg(F.collect_set("t").alias("asked"))
+    trips = written(asked(first).select("id", none.alias("before"), F.col("asked").alias("now")), "vec-trips")
+    while trips.where(F.size("now") > 0).limit(1).count():
+        at = homes.join(trips, "id", "left").withColumns({c: F.coalesce(c, none) for c in ("before", "now")})
+        guests = at.withColumn("t", F.explode("now")).withColumn("visits", F.lit(True))
+        hosts = at.withColumn("t", F.col("home")).withColumn("visits", F.lit(False))
+        group = lambda c: F.ceil(F.count(F.lit(1)) / MAX_SHARD).cast("int").alias(c)
+        both = (guests.groupBy("label", "dim", "t").agg(group("groups"))
+                .join(homes.groupBy("label", "dim", F.col("home").alias("t")).agg(group("cuts")), ["label", "dim", "t"]))
+        both = written(both, "vec-visited")
+
+        def dealt(df: DataFrame, own: str, every: str, mine: str, other: str) -> DataFrame:
+            df = df.join(both, ["label", "dim", "t"]).withColumn(mine, F.pmod(F.xxhash64("id", F.lit(2)), F.col(own)).cast("int"))
+            df = df.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(every) - 1)))
+            return df.select("label", "dim", "t", "g", "h", "visits", "id", "copies", "home", "shards", "before", "now", "embedding")
+
+        met = dealt(guests, "groups", "cuts", "g", "h").unionByName(dealt(hosts, "cuts", "groups", "h", "g"))
+        rounds.append(written(met.groupBy("label", "dim", "t", "g", "h").applyInArrow(_meeting(threshold), FOUND), "vec-met"))
+        trips = trips.select("id", F.concat("before", "now").alias("before"))
+        trips = trips.join(asked(rounds[-1]), "id", "full_outer").withColumns({c: F.coalesce(c, none) for c in ("before", "asked")})
+        trips = written(trips.select("id", "before", F.array_except("asked", "before").alias("now")), "vec-trips")
+    return rounds
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, vec_id: str = "vec_id", embedding: str = "embedding",
                     label: str = "label") -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     points, members = points_and_members(vectors, vec_id, embedding, label)
-    tasks = written(_parts(sharded(points)), "vec-tasks")
+    shards = sharded(points)
+    tasks = written(_parts(shards), "vec-tasks")
     lists = (tasks.select(*TASK, "id", "embedding").groupBy(*TASK).applyInArrow(_build, "id long, next array<long>")
              .groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("next"))).alias("next")))   # bounded lists, united
     found = written(tasks.join(written(lists, "vec-lists"), "id", "left").groupBy(*TASK)
-                    .applyInArrow(_searcher(threshold), "id long, links long, low long"), "vec-found")
+                    .applyInArrow(_searcher(threshold), FOUND), "vec-found")
+    for more in _beyond(shards, found, threshold):
+        found = found.unionByName(more)
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     comp = components(written(found.select(F.col("id").alias("a"), F.col("low").alias("b")).where("a <> b"), "vec-links"))
     named = written(links.join(comp, "id", "left")

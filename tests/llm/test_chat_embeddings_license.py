@@ -159,6 +159,43 @@ def test_embeddings_audit_and_empty(spark):
     assert embedding_dedup.near_duplicates(df.where("vec_id < 0")).count() == 0
 
 
+def hot_group(hot, others, dim=64, seed=5):
+    """Distinct vectors of one label; the first ``hot`` are all within the threshold."""
+    rng = np.random.default_rng(seed)
+    x = np.concatenate([rng.normal(size=dim) + 0.15 * rng.normal(size=(hot, dim)), rng.normal(size=(others, dim))])
+    return x.astype(np.float32)
+
+
+def true_links(x, threshold=0.93):
+    u = x.astype(np.float64)
+    u /= np.sqrt((u * u).sum(axis=1, keepdims=True))
+    return np.concatenate([(u[i:i + 512] @ u.T >= threshold).sum(axis=1) - 1 for i in range(0, len(u), 512)])
+
+
+def test_embeddings_search_leaves_its_shards(spark):
+    import pandas as pd
+    from cartwise.llm.common import written
+    x = hot_group(10_000, 10_000)
+    want = true_links(x)
+    assert want[:10_000].min() == want[:10_000].max() == 9_999
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(x)), "embedding": list(x), "label": 0}), VEC)
+    result = written(embedding_dedup.near_duplicates(df), "hot")
+    got = result.orderBy("vec_id").toPandas()
+    assert (got["n_links"].to_numpy() <= want).all()
+    assert got["n_links"].sum() >= 0.999 * want.sum()
+    assert (got["component_id"][:10_000] == 0).all()
+    assert embedding_dedup.audit_recall(df, result) >= 0.999
+
+
+def test_embeddings_visits_count_a_pair_once(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "SHARD", 20)
+    monkeypatch.setattr(embedding_dedup, "MAX_SHARD", 30)
+    x = hot_group(300, 100, dim=16, seed=6)
+    rows = [(i, [float(v) for v in e], 0) for i, e in enumerate(x)]
+    rows += [(1000 + i, rows[i % 7][1], 0) for i in range(20)]
+    check_vectors(spark, rows, recall=0.995)
+
+
 def test_pruned_graph_keeps_a_diverse_few():
     x = np.array([r[1] for r in clustered(200, seed=1)])
     x /= np.linalg.norm(x, axis=1, keepdims=True)
