@@ -499,24 +499,36 @@ def _filter_of(ids: DataFrame) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(c, s): the shingle sets of the documents ``wanted`` (doc_id) and of few
-    others that the filter lets pass."""
+    """(c, s): the shingle sets of the documents ``wanted`` (doc_id; the class
+    where every row of it has a null id) and of few others that the filter lets
+    pass."""
     shared = docs.sparkSession.sparkContext.broadcast(_filter_of(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trim()
-        bits, shingles = np.unpackbits(shared.value.view(np.uint8)).astype(bool), shingler()
+        bits, shingles, seen = np.unpackbits(shared.value.view(np.uint8)).astype(bool), shingler(), set()
+
+        def passes(ids: np.ndarray) -> np.ndarray:
+            one, two = _bits(ids)
+            return bits[one] & bits[two]
 
         def asked():
             for batch in batches:
-                batch = batch.filter(batch.column("doc_id").is_valid())
-                one, two = _bits(batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64))
-                yield batch.filter(pa.array(bits[one] & bits[two]))
+                known = batch.column("doc_id").is_valid()
+                ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
+                yield batch.filter(pa.array(passes(ids) | ~known.to_numpy(zero_copy_only=False)))
 
         for held in _texts(asked(), "doc_id"):
             sets = shingles([t for _, t in held])
-            yield pa.RecordBatch.from_arrays([pa.array([set_digest(x)[0] for x in sets], pa.int64()),
-                                              pa.array([x.tobytes() for x in sets], pa.binary())], names=["c", "s"])
+            c = np.array([set_digest(x)[0] for x in sets], dtype=np.int64)
+            named, out = passes(c), []
+            for k, (i, _) in enumerate(held):               # a row without an id is asked for by its class
+                if (i is not None or named[k]) and int(c[k]) not in seen:
+                    out.append(k)
+                    if len(seen) < 1_000_000:
+                        seen.add(int(c[k]))
+            yield pa.RecordBatch.from_arrays([pa.array(c[out]), pa.array([sets[k].tobytes() for k in out], pa.binary())],
+                                             names=["c", "s"])
 
     return docs.mapInArrow(run, "c long, s binary")
 
@@ -577,7 +589,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, label: str)
     leaders = lists.select("g", "salt", F.explode("against").alias("c")).distinct()
     asks = written(leaders.select("g", "salt", F.lit(0).alias("role"), "c", none.alias("against"))
                    .unionByName(lists.select("g", "salt", F.lit(1).alias("role"), "c", "against")), f"{label}-asks")
-    wanted = asks.select("c").distinct().join(classes.select("c", F.col("rep").alias("doc_id")), "c").select("doc_id")
+    wanted = asks.select("c").distinct().join(classes.select("c", F.coalesce("rep", "c").alias("doc_id")), "c").select("doc_id")
     rows = asks.join(_sets(docs, wanted), "c").select("g", "salt", "role", "c", "s", "against")
     rows = rows.repartition("g", "salt").sortWithinPartitions("g", "salt", "role")
     return written(rows.mapInArrow(_verify, "a long, b long"), f"{label}-links")

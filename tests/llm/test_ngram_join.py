@@ -83,6 +83,22 @@ def test_empty_table_and_filter(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 6, 9]
 
 
+def near(seed, *tails):
+    return [" ".join((prose(seed, 80), *tail)) for tail in tails]
+
+
+def test_rows_without_an_id_are_compared(spark):
+    big = 2 ** 60 + 1
+    rows = []
+    for seed in range(40, 52):                                # a near copy without an id: as leader and as member
+        one, two = near(seed, ("x",), ("y",))
+        rows += [(None, one), (seed if seed % 2 else None, two)]
+    for k in range(6):                                        # ids above 2^53 beside a null
+        one, two = near(60 + k, ("x",), ("y",))
+        rows += [(big + 2 * k, one), (big + 2 * k + 1, two), (None, prose(90 + k, 70))]
+    check(spark, rows)
+
+
 def test_tree_search_equals_a_scan():
     rng = np.random.default_rng(0)
     for m in (2, 17, 300):
