@@ -46,6 +46,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import spare, table, trim, written
 from .components import components
@@ -600,6 +601,12 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, label: str)
 def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, n_shingles, class_id (smallest doc_id with
     an equal set), component_id (smallest doc_id reachable by links)."""
+    return _numbered(docs, text, doc_id).select("doc_id", F.col("n").alias("n_shingles"), "class_id", "component_id")
+
+
+def _numbered(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """``jaccard_components`` with the numbers of a row's class (c) and of its
+    component, which rows without an id have too; null for an empty set."""
     spark = docs.sparkSession
     base = _binary_docs(docs, text, doc_id)
     info = written(_describe(base), "ngram-info")
@@ -653,35 +660,60 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
              .withColumn("component", F.coalesce("component", "c")))
     named = written(named, "ngram-named")
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = written(named.join(smallest, "component").select("c", F.col("rep").alias("class_id"), "component_id"), "ngram-names")
+    named = written(named.join(smallest, "component").select("c", F.col("rep").alias("class_id"), "component_id", "component"), "ngram-names")
     out = rows.where("n > 0").select("doc_id", "n", "c").join(named, "c")
-    empty = rows.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"))
-    return (out.select("doc_id", "n", "class_id", "component_id").unionByName(empty)
-            .withColumnRenamed("n", "n_shingles"))
+    none = F.lit(None).cast("long")
+    empty = rows.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"),
+                                       none.alias("c"), none.alias("component"))
+    return out.select(*empty.columns).unionByName(empty)
 
 
 def one_per_component(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` with the smallest doc_id of each component only."""
-    dropped = written(jaccard_components(docs, text, doc_id).where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-                      .where("doc_id IS NOT NULL").select("doc_id").distinct(), "ngram-dropped")
-    shared = docs.sparkSession.sparkContext.broadcast(_filter_of(dropped))
-
-    def passing(hit: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            trim()
-            bits = np.unpackbits(shared.value.view(np.uint8)).astype(bool)
-            for batch in batches:
-                ids = batch.column(doc_id).cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
-                one, two = _bits(ids)
-                yield batch.filter(pa.array((bits[one] & bits[two]) == hit))
-        return run
+    """``docs`` with one row of each component: of the smallest doc_id (null
+    last), then the smallest class number, then the smallest row.  Rows with an
+    empty set link with nothing and stay."""
+    rows = written(_numbered(docs, text, doc_id).where("n > 0").select("doc_id", "c", "component", "component_id"), "ngram-rows")
+    # a row is told by (doc_id, class): an id may repeat with other texts, or be null
+    named = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    able = rows.where(named).groupBy("component", "doc_id", "c").agg(F.count(F.lit(1)).alias("copies"))
+    best = able.groupBy("component").agg(F.min("c").alias("best"))
+    able = able.join(best, "component").withColumn("stays", F.col("c") == F.col("best")).where("NOT stays OR copies > 1")
+    told = written(rows.where(~named).select("doc_id", "c", F.lit(False).alias("stays")).distinct()
+                   .unionByName(able.select("doc_id", "c", "stays")), "ngram-told")
+    shared = docs.sparkSession.sparkContext.broadcast(_filter_of(told.where("doc_id IS NOT NULL").select("doc_id")))
+    i, c, stays, row = (spare(docs, x) for x in ("_doc", "_class", "_stays", "_row"))
+
+    def maybe(batch: pa.RecordBatch, bits: np.ndarray) -> np.ndarray:
+        ids = batch.column(doc_id).cast(pa.int64())
+        one, two = _bits(ids.fill_null(0).to_numpy(zero_copy_only=False))
+        return (bits[one] & bits[two]) | ids.is_null().to_numpy(zero_copy_only=False)
+
+    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
+        bits = np.unpackbits(shared.value.view(np.uint8)).astype(bool)
+        for batch in batches:
+            yield batch.filter(pa.array(~maybe(batch, bits)))
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
+        bits, shingles = np.unpackbits(shared.value.view(np.uint8)).astype(bool), shingler()
+        for batch in batches:
+            batch = batch.filter(pa.array(maybe(batch, bits)))
+            texts = pa.RecordBatch.from_arrays([batch.column(text).cast(pa.binary())], names=["text"])
+            classes = [set_digest(x)[0] if len(x) else None for held in _texts([texts])
+                       for x in shingles([t for (t,) in held])]
+            yield pa.RecordBatch.from_arrays([*batch.columns, batch.column(doc_id).cast(pa.int64()), pa.array(classes, pa.int64())],
+                                             names=[*batch.schema.names, i, c])
 
     # most rows are told apart by the filter and need no shuffle; a join decides the others
-    k = spare(docs, "_dropped")
-    dropped = dropped.select(F.col("doc_id").alias(k))
-    maybe = docs.mapInArrow(passing(True), docs.schema)
-    return (docs.mapInArrow(passing(False), docs.schema)
-            .unionByName(maybe.join(dropped, maybe[doc_id] == dropped[k], "left_anti")))
+    told = told.select(F.col("doc_id").alias(f"{i}2"), F.col("c").alias(f"{c}2"), F.col("stays").alias(stays))
+    schema = StructType([*docs.schema.fields, StructField(i, LongType()), StructField(c, LongType())])
+    met = docs.mapInArrow(keyed, schema)
+    met = met.join(told, met[i].eqNullSafe(told[f"{i}2"]) & (met[c] == told[f"{c}2"]), "left")
+    met = written(met.where(F.col(stays).isNull() | F.col(stays)).select(*docs.columns, i, c, stays), "ngram-met-rows")
+    once = (met.where(F.col(stays)).groupBy(i, c).agg(F.min(F.struct(*docs.columns)).alias(row)).select(f"{row}.*"))
+    return (docs.mapInArrow(passing, docs.schema)
+            .unionByName(met.where(F.col(stays).isNull()).select(*docs.columns)).unionByName(once))
 
 
 def op2(spark, sf_dir: str) -> DataFrame:

@@ -99,6 +99,23 @@ def test_rows_without_an_id_are_compared(spark):
     check(spark, rows)
 
 
+def test_one_row_of_each_component_stays(spark):
+    a, b, c, d, e = (near(seed, ("x",), ("y",), ("z",)) for seed in range(70, 75))
+    rows = [(1, a[0]), (2, a[1]), (2, prose(80, 70)),         # an id repeats with a text of its own
+            (3, b[0]), (3, b[1]), (3, b[1]),                  # near copies and repeated rows under one id
+            (None, c[0]), (None, c[1]), (None, c[1]),         # no id at all
+            (None, d[0]), (4, d[1]), (5, d[2]),
+            (6, e[0]), (6, e[0]), (7, prose(81, 70)), (None, None), (None, None), (2, None)]
+    kept = sorted(((r.doc_id, r.text) for r in ngram_join.one_per_component(documents(spark, rows, CLASHING)).collect()),
+                  key=repr)
+    groups = [rows[:2], rows[2:3], rows[3:6], rows[6:9], rows[9:12], rows[12:14], rows[14:15]]
+    for group in groups:
+        own = [k for k in kept if k in group]
+        assert len(own) == 1 and own[0][0] == min((i for i, _ in group if i is not None), default=None)
+    assert [k for k in kept if k[1] is None] == sorted([(None, None), (None, None), (2, None)], key=repr)
+    assert len(kept) == len(groups) + 3
+
+
 def test_tree_search_equals_a_scan():
     rng = np.random.default_rng(0)
     for m in (2, 17, 300):
