@@ -1,30 +1,30 @@
-"""Gradient-boosted reorder classifier on Spark ML.
-
-Training data is the ``feature_matrix`` of the training table: trees are grown
-on the training rows of the deterministic split; the validation rows choose the
-round.  Boosting ends when ``PATIENCE`` rounds brought no better validation loss
-(or at ``n_estimators``), and the best round's ensemble is the model.  Spark's
-first tree enters with full weight, far from the base rate of a rare label, so
-a fifth of the training rows is kept from the trees and fits two calibration
-numbers (slope and intercept of the ensemble's margin).
-
-The reference's booster and Spark's GBT differ (gamma ≈ minInfoGain on
-another scale; column sampling is per node here), so results are compared by
-metric, not by prediction.
+"""Reorder classifier: fit, score, search, importance, persistence (M3, M4, M6,
+M12-M15, S11).
+
+``fit_gbt`` grows a boosted ensemble (``operators/boosting.py``) on the training
+rows of the deterministic split; the validation rows choose the round, with the
+reference's patience of 50 rounds.  A fitted model is a table, one row per tree
+node (feature, cut, children, gain, cover, value), and a base margin.  Scoring
+walks that table with array functions inside the JVM; no Python worker runs.
+Importances are aggregates of the table.  The tuning search proposes settings
+from the densities of good and bad trials so far and keeps its trials in a
+written table, from which an interrupted search goes on.
 """
 
 from __future__ import annotations
 
+import math
 import random
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import FEATURES
-from .dataset import feature_matrix, with_split
+from .boosting import Fit, Setting, fit_many, node_rows
+from .dataset import with_split
 from .evaluate import log_loss
-from .recommend import PROB, model_scorer
+from .recommend import PROB
 
 # The notebook's first configuration, in the booster's terms.
 BASE_PARAMS = {"n_estimators": 1000, "learning_rate": 0.05, "max_depth": 6}
@@ -48,153 +48,67 @@ SEARCH_SPACE = {
     "colsample_bytree": (0.6, 1.0),
     "gamma": (0.0, 5.0),
 }
+WHOLE = ("n_estimators", "max_depth")
 
+NODES = ("tree int, node int, feature int, cut double, left int, right int, gain double, cover double, value double")
+TRIALS = ("trial int, n_estimators int, learning_rate double, max_depth int, subsample double, "
+          "colsample_bytree double, gamma double, n_trees int, log_loss double")
 
-def spark_params(params: dict, n_train_rows: int | None = None) -> dict:
-    """Translate booster-style settings to ``GBTClassifier`` parameters.
-
-    ``gamma`` is a minimum loss reduction summed over the rows of a node;
-    Spark's ``minInfoGain`` is a per-row impurity reduction, so gamma is
-    divided by the number of training rows (the root node's size).  Spark
-    samples columns per node, not per tree.  Keys that already are Spark
-    parameter names pass through.
-    """
-    names = {"n_estimators": "maxIter", "learning_rate": "stepSize", "max_depth": "maxDepth",
-             "subsample": "subsamplingRate"}
-    out = {}
-    for k, v in params.items():
-        if k in names:
-            out[names[k]] = int(v) if names[k] in ("maxIter", "maxDepth") else float(v)
-        elif k == "colsample_bytree":
-            out["featureSubsetStrategy"] = repr(float(v)) if float(v) < 1.0 else "all"
-        elif k == "gamma":
-            out["minInfoGain"] = float(v) / max(1, n_train_rows or 1)
-        else:
-            out[k] = v
-    return out
-
-
-def training_frame(master: DataFrame) -> DataFrame:
-    """Feature vectors, double label and the validation flag."""
-    return with_split(feature_matrix(master))
-
-
-def gbt_estimator(params: dict | None = None, seed: int = 42, max_bins: int = 32,
-                  n_train_rows: int | None = None):
-    from pyspark.ml.classification import GBTClassifier
-    p = spark_params({**BASE_PARAMS, **(params or {})}, n_train_rows)
-    est = GBTClassifier(featuresCol="features", labelCol="label", lossType="logistic",
-                        maxBins=max_bins, seed=seed, cacheNodeIds=True, checkpointInterval=10)
-    return est.setParams(**p)
-
-
-def _early_stopping(est):
-    """Spark's own stop (the first round without gain), for the many short
-    fits of a search."""
-    return est.setParams(validationIndicatorCol="is_validation", validationTol=1e-6)
-
-
-def _train_rows(master: DataFrame) -> int:
-    return with_split(master).where(~F.col("is_validation")).count()
-
-
-def fit_best_round(est, data: DataFrame, patience: int = PATIENCE):
-    """Fit ``est`` up to its ``maxIter`` with patience.
-
-    Rounds are grown in stages (the same seed grows the same first trees), each
-    stage twice as long; one pass over the validation rows gives the loss after
-    every round.  Ends when the best round lies ``patience`` rounds back, and
-    returns the ensemble of the best round.
-    """
-    limit = est.getMaxIter()
-    train = data.where(~F.col("is_validation")).persist()
-    val = data.where(F.col("is_validation")).persist()
-    try:
-        rounds = min(limit, 3 * patience)
-        while True:
-            model = est.copy({est.maxIter: rounds}).fit(train)
-            losses = model.evaluateEachIteration(val)
-            best = min(range(len(losses)), key=losses.__getitem__) + 1
-            stop = next((k for k in range(1, len(losses) + 1)
-                         if k - (min(range(k), key=losses.__getitem__) + 1) >= patience), None)
-            if stop is not None:
-                best = min(range(stop), key=losses.__getitem__) + 1
-            if stop is not None or rounds >= limit:
-                break
-            rounds = min(limit, 2 * rounds)
-        return model if best == model.getNumTrees else est.copy({est.maxIter: best}).fit(train)
-    finally:
-        train.unpersist()
-        val.unpersist()
-
-
-def fit_gbt(master: DataFrame, params: dict | None = None, seed: int = 42, patience: int = PATIENCE) -> CalibratedGbt:
-    """M3/M4: fit on the training rows, keep the best round on the validation
-    rows, calibrate on training rows that the trees did not see.
-
-    ``params`` use the booster's names (``BASE_PARAMS`` / ``TUNED_PARAMS``)
-    or Spark's; booster names are translated by ``spark_params``."""
-    n = _train_rows(master) if params and "gamma" in params else None
-    data = training_frame(master)
-    kept = ~F.col("is_validation") & _for_calibration()
-    gbt = fit_best_round(gbt_estimator(params, seed, n_train_rows=n), data.where(~kept), patience)
-    return calibrated(gbt, data.where(kept), data.where(~F.col("is_validation")))
 
+# ---- the model -----------------------------------------------------------------
 
-class CalibratedGbt:
-    """A fitted ensemble with the slope and intercept of its margin."""
+class BoostedModel:
+    """A fitted ensemble: ``nodes``, a table with one row per tree node, and the
+    margin ``base`` that the trees add to."""
 
-    def __init__(self, gbt, slope: float, intercept: float):
-        self.gbt, self.slope, self.intercept = gbt, float(slope), float(intercept)
+    def __init__(self, nodes: DataFrame, base: float, n_trees: int, depth: int, features: list[str] = FEATURES):
+        self.nodes, self.base, self.n_trees, self.depth, self.features = nodes, float(base), n_trees, depth, list(features)
 
-    @property
-    def getNumTrees(self) -> int:
-        return self.gbt.getNumTrees
+    @staticmethod
+    def of(spark: SparkSession, fit: Fit, cuts, features: list[str] = FEATURES) -> "BoostedModel":
+        nodes = spark.createDataFrame(node_rows(fit, cuts), NODES)
+        return BoostedModel(nodes, fit.base, len(fit.trees), fit.setting.max_depth, features)
 
-    @property
-    def trees(self):
-        return self.gbt.trees
+    def scorer(self):
+        """Adds the class-1 probability, from the feature columns (NULL and NaN
+        count as 0).
 
-    @property
-    def featureImportances(self):
-        return self.gbt.featureImportances
-
-    def getFeaturesCol(self) -> str:
-        return self.gbt.getFeaturesCol()
-
-    def scorer(self, features: list[str] = FEATURES):
-        """Probability column from the 17 feature columns of a DataFrame."""
-        margin = model_scorer(self.gbt, features, margin=True)
+        The node table becomes one array per tree in a scalar subquery (a model
+        of some thousand nodes, read once a query); each row walks every tree
+        with array functions, in the JVM.
+        """
+        per_tree = self.nodes.groupBy("tree").agg(F.sort_array(F.collect_list(
+            F.struct("node", "feature", "cut", "left", "right", "value"))).alias("nodes"))
+        trees = per_tree.agg(F.sort_array(F.collect_list(F.struct("tree", "nodes"))).alias("trees")).select("trees").scalar()
+        clean = [F.coalesce(F.nanvl(F.col(f).cast("double"), F.lit(0.0)), F.lit(0.0)) for f in self.features]
+        steps = F.sequence(F.lit(1), F.lit(max(1, self.depth)))
 
         def score(df: DataFrame) -> DataFrame:
-            logit = F.lit(self.slope) * F.col(PROB) + F.lit(self.intercept)
-            return margin(df).withColumn(PROB, F.lit(1.0) / (F.lit(1.0) + F.exp(-logit)))
+            x = F.array(*clean)
+
+            def step(tree):
+                def go(at, _):
+                    n = F.get(tree["nodes"], at)
+                    inner = F.get(F.col("_bt_x"), F.greatest(n["feature"], F.lit(0))) <= n["cut"]
+                    return F.when(inner, n["left"]).otherwise(n["right"])
+                return go
+
+            def add(margin, tree):
+                leaf = F.aggregate(steps, F.lit(0), step(tree))
+                return margin + F.get(tree["nodes"], leaf)["value"]
+
+            margin = F.aggregate(F.col("_bt_trees"), F.lit(self.base), add) if self.n_trees else F.lit(self.base)
+            with_x = df.withColumn("_bt_x", x).withColumn("_bt_trees", trees) if self.n_trees else df
+            return with_x.withColumn(PROB, F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))).drop("_bt_x", "_bt_trees")
         return score
 
 
-def _for_calibration(user: str = "user_id", product: str = "product_id"):
-    """A fifth of the keys, independent of the validation split."""
-    key = F.concat(F.col(user).cast("string"), F.lit("|"), F.col(product).cast("string"))
-    return F.substring(F.md5(key.cast("binary")), 5, 4) < F.lit("3333")
-
-
-def calibrated(gbt, rows: DataFrame, every: DataFrame | None = None) -> CalibratedGbt:
-    """Fit the slope and intercept on ``rows`` (features, label); rows of one
-    label only leave the ensemble as it is.  The intercept is then moved from
-    the positive rate of ``rows`` to that of ``every`` training row, which is
-    known more closely."""
-    import math
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-    margin = gbt.transform(rows).select("label", vector_to_array(F.col(gbt.getRawPredictionCol()))[1].alias("margin"))
-    if margin.select("label").distinct().count() < 2:
-        return CalibratedGbt(gbt, 2.0, 0.0)
-    one = VectorAssembler(inputCols=["margin"], outputCol="m").transform(margin)
-    lr = LogisticRegression(featuresCol="m", labelCol="label", maxIter=50).fit(one)
-    rates = [df.agg(F.avg("label")).first()[0] for df in (rows, every if every is not None else rows)]
-    moved = math.log(rates[1] / (1 - rates[1])) - math.log(rates[0] / (1 - rates[0]))
-    return CalibratedGbt(gbt, lr.coefficients[0], lr.intercept + moved)
+def fit_gbt(master: DataFrame, params: dict | None = None, seed: int = 42, patience: int = PATIENCE,
+            **layout) -> BoostedModel:
+    """M3/M4: grow on the training rows, keep the best round on the validation
+    rows.  ``params`` override ``BASE_PARAMS``."""
+    fits, blocks = fit_many(master, [{**BASE_PARAMS, **(params or {})}], seed, patience, **layout)
+    return BoostedModel.of(master.sparkSession, fits[0], blocks.cuts)
 
 
 def base_rate_log_loss(master: DataFrame) -> DataFrame:
@@ -210,16 +124,15 @@ def base_rate_log_loss(master: DataFrame) -> DataFrame:
 
 @dataclass
 class TrainResult:
-    model: object
+    model: BoostedModel
     metrics: DataFrame
 
 
-def evaluate_model(model, master: DataFrame) -> DataFrame:
+def evaluate_model(model: BoostedModel, master: DataFrame) -> DataFrame:
     """Log-loss and size of the fitted ensemble on the validation rows."""
     val = with_split(master).where(F.col("is_validation")).drop("is_validation")
-    scored = model.scorer()(val)
-    ll = log_loss(scored)
-    return ll.select(F.lit(int(model.getNumTrees)).alias("n_trees"), "log_loss", "n_rows")
+    ll = log_loss(model.scorer()(val))
+    return ll.select(F.lit(int(model.n_trees)).alias("n_trees"), "log_loss", "n_rows")
 
 
 def gbt_train(master: DataFrame, params: dict | None = None, seed: int = 42, patience: int = PATIENCE) -> TrainResult:
@@ -227,138 +140,183 @@ def gbt_train(master: DataFrame, params: dict | None = None, seed: int = 42, pat
     return TrainResult(model, evaluate_model(model, master))
 
 
-def draw_params(n_trials: int, seed: int = 42, space: dict = SEARCH_SPACE,
-                overrides: dict | None = None) -> list[dict]:
-    """Random draws from the search space (the notebook used a Bayesian
-    sampler; random search over the same ranges is what is rebuilt)."""
-    rng = random.Random(seed)
-    out = []
-    for _ in range(n_trials):
-        p = {
-            "n_estimators": rng.randint(*space["n_estimators"]),
-            "learning_rate": rng.uniform(*space["learning_rate"]),
-            "max_depth": rng.randint(*space["max_depth"]),
-            "subsample": rng.uniform(*space["subsample"]),
-            "colsample_bytree": rng.uniform(*space["colsample_bytree"]),
-            "gamma": rng.uniform(*space["gamma"]),
-        }
-        p.update(overrides or {})
-        out.append(p)
-    return out
-
+# ---- persistence (S11) ------------------------------------------------------------
 
-def hyper_search(master: DataFrame, n_trials: int = 20, seed: int = 42,
-                 overrides: dict | None = None, parallelism: int = 2) -> DataFrame:
-    """Fit one model per parameter draw (``fitMultiple`` runs the fits
-    concurrently on the cluster) and rank them by validation log-loss."""
-    spark = master.sparkSession
-    data = training_frame(master).persist()
-    try:
-        draws = draw_params(n_trials, seed, overrides=overrides)
-        n = _train_rows(master)
-        est = _early_stopping(gbt_estimator(seed=seed))
-        maps = [{est.getParam(k): v for k, v in spark_params(d, n).items()} for d in draws]
-        val = with_split(master).where(F.col("is_validation")).drop("is_validation")
-        rows = []
-        for idx, model in _fit_all(est, data, maps, parallelism):
-            ll = log_loss(model_scorer(model)(val)).first()["log_loss"]
-            d = draws[idx]
-            rows.append((idx, int(d["n_estimators"]), float(d["learning_rate"]), int(d["max_depth"]),
-                         float(d["subsample"]), float(d["colsample_bytree"]), float(d["gamma"]),
-                         int(model.getNumTrees), float(ll)))
-    finally:
-        data.unpersist()
-    schema = ("trial int, n_estimators int, learning_rate double, max_depth int, subsample double, "
-              "colsample_bytree double, gamma double, n_trees int, log_loss double")
-    return _ranked_trials(spark.createDataFrame(rows, schema))
+def save_model(model: BoostedModel, path: str) -> None:
+    """The node table and, beside it, a row with base margin, size and features;
+    that row is written last, so a folder that has it is whole."""
+    spark = model.nodes.sparkSession
+    model.nodes.write.mode("overwrite").parquet(f"{path}/nodes")
+    about = spark.createDataFrame([(model.base, model.n_trees, model.depth, model.features)],
+                                  "base double, n_trees int, depth int, features array<string>")
+    about.write.mode("overwrite").parquet(f"{path}/about")
 
 
-def _ranked_trials(trials: DataFrame) -> DataFrame:
-    """Rank trials by validation log-loss (rank 1 = the study's best)."""
-    from pyspark.sql import Window
-    return trials.withColumn("rank", F.row_number().over(Window.orderBy("log_loss", "trial")))
+def load_model(spark: SparkSession, path: str) -> BoostedModel:
+    about = spark.read.parquet(f"{path}/about").first()
+    return BoostedModel(spark.read.schema(NODES).parquet(f"{path}/nodes"), about["base"], about["n_trees"],
+                        about["depth"], about["features"])
 
 
-def grid_search(master: DataFrame, grid: dict[str, list], seed: int = 42, parallelism: int = 2) -> DataFrame:
-    """Exhaustive search over a grid of booster-style settings
-    (``ParamGridBuilder``), each fit ranked by validation log-loss."""
-    from pyspark.ml.tuning import ParamGridBuilder
-    spark = master.sparkSession
-    n = _train_rows(master)
-    est = _early_stopping(gbt_estimator(seed=seed))
-    builder = ParamGridBuilder()
-    for key, values in grid.items():
-        spark_values = [spark_params({key: v}, n) for v in values]
-        (name,) = spark_values[0].keys()
-        builder = builder.addGrid(est.getParam(name), [sv[name] for sv in spark_values])
-    maps = builder.build()
-    data = training_frame(master).persist()
-    val = with_split(master).where(F.col("is_validation")).drop("is_validation")
-    rows = []
-    try:
-        for idx, model in _fit_all(est, data, maps, parallelism):
-            ll = log_loss(model_scorer(model)(val)).first()["log_loss"]
-            setting = ", ".join(f"{p.name}={v}" for p, v in sorted(maps[idx].items(), key=lambda kv: kv[0].name))
-            rows.append((idx, setting, int(model.getNumTrees), float(ll)))
-    finally:
-        data.unpersist()
-    return _ranked_trials(spark.createDataFrame(rows, "trial int, setting string, n_trees int, log_loss double"))
-
-
-def _fit_all(est, data, maps, parallelism):
-    from multiprocessing.pool import ThreadPool
-    it = est.fitMultiple(data, maps)
-    with ThreadPool(max(1, parallelism)) as pool:
-        for idx, model in pool.imap_unordered(lambda _: next(it), range(len(maps))):
-            yield idx, model
-
-
-def feature_importance(spark: SparkSession, model, path: str, features: list[str] = FEATURES,
-                       top: int | None = None) -> DataFrame:
-    """Impurity-based importance and split counts ("weight") per feature,
-    ranked by split count (``weight_rank``); ``top`` keeps the first N as the
-    notebook's plots do (10, then 15).
-
-    Split counts come from the saved model's node table (one row per node),
-    grouped by the split feature — a distributed read, not a tree walk.
-    """
+def model_roundtrip(model: BoostedModel, master: DataFrame, path: str) -> DataFrame:
+    """Save, load and score the validation rows with the loaded model; each
+    row carries both probabilities."""
     save_model(model, path)
-    nodes = spark.read.parquet(f"{path}/gbt/data")
-    splits = (nodes.where(F.col("nodeData.leftChild") >= 0)
-              .groupBy(F.col("nodeData.split.featureIndex").alias("feature_index"))
-              .agg(F.count(F.lit(1)).alias("split_count")))
-    imp = model.featureImportances.toArray().tolist()
-    names = spark.createDataFrame([(i, f, float(imp[i])) for i, f in enumerate(features)],
-                                  "feature_index int, feature string, importance double")
-    from pyspark.sql import Window
-    out = (names.join(splits, "feature_index", "left").na.fill(0, ["split_count"])
-           .select("feature", "importance", F.col("split_count").cast("long").alias("split_count")))
-    # 17 rows: a global rank is fine here
-    out = out.withColumn("weight_rank", F.row_number().over(
-        Window.orderBy(F.desc("split_count"), F.desc("importance"), F.asc("feature"))))
+    loaded = load_model(master.sparkSession, path)
+    val = with_split(master).where(F.col("is_validation")).drop("is_validation")
+    a = model.scorer()(val).select("user_id", "product_id", F.col(PROB).alias("p_saved"))
+    b = loaded.scorer()(val).select("user_id", "product_id", F.col(PROB).alias("p_loaded"))
+    return a.join(b, ["user_id", "product_id"])
+
+
+# ---- importance (M14) ---------------------------------------------------------------
+
+def split_log(model: BoostedModel) -> DataFrame:
+    """Every split of the ensemble: tree, node, feature, cut, gain, cover."""
+    names = F.array(*[F.lit(f) for f in model.features])
+    return (model.nodes.where("feature >= 0")
+            .select("tree", "node", F.get(names, F.col("feature")).alias("feature"), "cut", "gain", "cover"))
+
+
+def feature_importance(model: BoostedModel, top: int | None = None) -> DataFrame:
+    """Per feature: ``weight`` (number of splits), mean and total gain and cover,
+    ``importance`` (mean gain as a share, the booster's default), and the ranks by
+    importance and by weight (ties by name); ``top`` keeps the first N by weight.
+
+    All aggregates of the split log; features that never split have zeros."""
+    spark = model.nodes.sparkSession
+    names = spark.createDataFrame([(f,) for f in model.features], "feature string")
+    stats = split_log(model).groupBy("feature").agg(
+        F.count(F.lit(1)).alias("weight"), F.sum("gain").alias("total_gain"), F.sum("cover").alias("total_cover"),
+        F.avg("gain").alias("gain"), F.avg("cover").alias("cover"))
+    zeros = {"weight": 0, "total_gain": 0.0, "total_cover": 0.0, "gain": 0.0, "cover": 0.0}
+    out = names.join(stats, "feature", "left").na.fill(zeros)
+    whole = Window.partitionBy(F.lit(0))                              # one row per feature: 17
+    out = out.withColumn("importance", F.when(F.sum("gain").over(whole) > 0, F.col("gain") / F.sum("gain").over(whole))
+                         .otherwise(F.lit(0.0)))
+    rank = lambda c: F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc(c), "feature"))
+    out = out.withColumn("importance_rank", rank("importance")).withColumn("weight_rank", rank("weight"))
     return out.where(F.col("weight_rank") <= top) if top else out
 
 
-def save_model(model: CalibratedGbt, path: str) -> None:
-    """Persist the fitted model (overwrite): the ensemble and, beside it,
-    its calibration."""
-    model.gbt.write().overwrite().save(f"{path}/gbt")
-    (SparkSession.active().createDataFrame([(model.slope, model.intercept)], "slope double, intercept double")
-     .write.mode("overwrite").parquet(f"{path}/calibration"))
+# ---- search (M12, M13) ----------------------------------------------------------------
 
+STARTUP = 10        # random draws before the densities propose
+WAVE = 5            # proposals that are grown together
+CANDIDATES = 24     # draws from the good density that compete for a proposal
+GOOD_SHARE = 0.25   # share of the trials, best first, that count as good
 
-def load_model(path: str) -> CalibratedGbt:
-    from pyspark.ml.classification import GBTClassificationModel
-    own = SparkSession.active().read.parquet(f"{path}/calibration").first()
-    return CalibratedGbt(GBTClassificationModel.load(f"{path}/gbt"), own["slope"], own["intercept"])
 
+def _draw(space: dict, rng: random.Random) -> dict:
+    return {k: rng.randint(lo, hi) if k in WHOLE else rng.uniform(lo, hi) for k, (lo, hi) in space.items()}
 
-def model_roundtrip(model: CalibratedGbt, master: DataFrame, path: str) -> DataFrame:
-    """Save, load and score the validation rows with the loaded model; each
-    row carries both probabilities."""
-    save_model(model, path)
-    loaded = load_model(path)
-    val = with_split(master).where(F.col("is_validation")).drop("is_validation")
-    a = model.scorer()(val).select("user_id", "product_id", F.col(PROB).alias("p_saved"))
-    b = loaded.scorer()(val).select("user_id", "product_id", F.col(PROB).alias("p_loaded"))
-    return a.join(b, ["user_id", "product_id"])
+
+def _density(x: float, points: list[float], lo: float, hi: float) -> float:
+    """Parzen density on [lo, hi]: a normal kernel around every point, cut to the
+    range, and a uniform one."""
+    width = (hi - lo) / max(2.0, math.sqrt(len(points) + 1))
+    cdf = lambda z: 0.5 * (1 + math.erf(z / math.sqrt(2)))
+    total = 1.0 / (hi - lo)
+    for m in points:
+        mass = cdf((hi - m) / width) - cdf((lo - m) / width)
+        total += math.exp(-0.5 * ((x - m) / width) ** 2) / (width * math.sqrt(2 * math.pi) * mass)
+    return total / (len(points) + 1)
+
+
+def _sample(points: list[float], lo: float, hi: float, rng: random.Random) -> float:
+    i = rng.randrange(len(points) + 1)
+    if i == len(points):
+        return rng.uniform(lo, hi)
+    width = (hi - lo) / max(2.0, math.sqrt(len(points) + 1))
+    while True:
+        x = rng.gauss(points[i], width)
+        if lo <= x <= hi:
+            return x
+
+
+def propose(history: list[dict], trial: int, seed: int = 42, space: dict = SEARCH_SPACE) -> dict:
+    """Setting of ``trial``: a random draw while fewer than ``STARTUP`` trials are
+    known, else per parameter the candidate drawn from the density of the good
+    trials whose ratio of good to bad density is highest.  The same history, trial
+    and seed give the same setting."""
+    rng = random.Random(f"{seed}-{trial}")
+    if len(history) < STARTUP:
+        return _draw(space, rng)
+    ranked = sorted(history, key=lambda h: (h["log_loss"], h["trial"]))
+    n_good = max(1, math.ceil(GOOD_SHARE * len(ranked)))
+    out = {}
+    for name, (lo, hi) in space.items():
+        good, bad = ([float(h[name]) for h in part] for part in (ranked[:n_good], ranked[n_good:]))
+        best = max((_sample(good, lo, hi, rng) for _ in range(CANDIDATES)),
+                   key=lambda x: _density(x, good, lo, hi) / _density(x, bad, lo, hi))
+        out[name] = min(hi, max(lo, round(best))) if name in WHOLE else best
+    return out
+
+
+def hyper_search(master: DataFrame, n_trials: int = 20, seed: int = 42, path: str | None = None,
+                 space: dict = SEARCH_SPACE, patience: int = PATIENCE, stop_after: int | None = None,
+                 baseline: dict | None = None) -> DataFrame:
+    """``n_trials`` settings of the whole space, each grown with patience and
+    scored by validation log-loss, ranked (rank 1 = the study's best).
+
+    Trials run in waves that grow together (one scan a level for all); the next
+    wave is proposed from the trials so far.  With ``path`` every wave is appended
+    to a trial table there, and a search that finds trials goes on after them: the
+    outcome is that of one run.  ``stop_after`` ends early (trials stay).
+    ``baseline``: a setting grown beside the first wave and reported as trial -1,
+    ranked like the others and never a source of proposals."""
+    spark = master.sparkSession
+    extra: list[dict] = []
+    history: list[dict] = []
+    if path and _exists(spark, path):
+        rows = [r.asDict() for r in spark.read.schema(TRIALS).parquet(path).orderBy("trial").collect()]
+        history, extra = [r for r in rows if r["trial"] >= 0], [r for r in rows if r["trial"] < 0]
+    until = n_trials if stop_after is None else min(n_trials, stop_after)
+    while len(history) < until:
+        done = len(history)
+        wave = (STARTUP - done) if done < STARTUP else WAVE - (done - STARTUP) % WAVE
+        ids = list(range(done, min(done + wave, until)))
+        known = history[:STARTUP + (done - STARTUP) // WAVE * WAVE] if done >= STARTUP else []
+        settings = [propose(known, t, seed, space) for t in ids]
+        if baseline is not None and not extra:
+            ids, settings = [-1, *ids], [baseline, *settings]
+        fits, _ = fit_many(master, settings, seed, patience)
+        rows = [_trial(t, s, f) for t, s, f in zip(ids, settings, fits)]
+        if path:
+            spark.createDataFrame(rows, TRIALS).coalesce(1).write.mode("append").parquet(path)
+        history += [r for r in rows if r["trial"] >= 0]
+        extra += [r for r in rows if r["trial"] < 0]
+    return _ranked_trials(spark.createDataFrame(extra + history, TRIALS))
+
+
+def _trial(trial: int, setting: dict, fit: Fit) -> dict:
+    full = Setting.of(setting)
+    return {"trial": trial, **{k: getattr(full, k) for k in SEARCH_SPACE}, "n_trees": len(fit.trees),
+            "log_loss": float(fit.losses[len(fit.trees)]) if fit.losses else 0.0}
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _ranked_trials(trials: DataFrame) -> DataFrame:
+    """Rank trials by validation log-loss (rank 1 = the study's best)."""
+    return trials.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("log_loss", "trial")))
+
+
+def grid_settings(grid: dict[str, list]) -> list[dict]:
+    """Every combination of the grid's values over ``BASE_PARAMS``."""
+    out = [dict(BASE_PARAMS)]
+    for key, values in grid.items():
+        out = [{**s, key: v} for s in out for v in values]
+    return out
+
+
+def grid_search(master: DataFrame, grid: dict[str, list], seed: int = 42, patience: int = PATIENCE) -> DataFrame:
+    """Every setting of the grid, grown in the same scans, with patience;
+    each ranked by validation log-loss."""
+    settings = grid_settings(grid)
+    fits, _ = fit_many(master, settings, seed, patience)
+    rows = [_trial(i, s, f) for i, (s, f) in enumerate(zip(settings, fits))]
+    return _ranked_trials(master.sparkSession.createDataFrame(rows, TRIALS))

@@ -315,12 +315,17 @@ LEFT JOIN (SELECT user_id, CAST(sum(CASE WHEN probability > 0.22e0 THEN 1 ELSE 0
            FROM scored GROUP BY user_id) u ON c.c_custkey = u.user_id
 LEFT JOIN rec_threshold r ON c.c_custkey = r.user_id""",
         "gbt_train": W + "SELECT count(*) AS n_rows, true AS beats_base_rate, true AS rounds_in_range FROM val_scored",
-        "hyper_search": "SELECT CAST(i AS INTEGER) AS trial, true AS in_range, true AS ranked, true AS scored FROM range(3) t(i)",
-        "grid_search": "SELECT CAST(i AS INTEGER) AS trial, true AS in_range, true AS ranked, true AS scored FROM range(4) t(i)",
+        "gbt_tuned": W + "SELECT count(*) AS n_rows, true AS beats_base_rate, true AS rounds_in_range FROM val_scored",
+        "hyper_search": "SELECT CAST(i AS INTEGER) AS trial, true AS in_space, true AS rounds_in_range, "
+            "true AS best_at_most_base FROM range(20) t(i)",
+        "grid_search": """
+SELECT CAST(row_number() OVER (ORDER BY max_depth, learning_rate, gamma) - 1 AS INTEGER) AS trial, max_depth, learning_rate, gamma,
+       true AS rounds_in_range, true AS beats_base_rate
+FROM (SELECT unnest([4, 6]) AS max_depth), (SELECT unnest([0.05e0, 0.1e0]) AS learning_rate), (SELECT unnest([0e0, 1.5e0]) AS gamma)""",
         "recommend_gbt": W + """
 SELECT user_id, count(*) AS n_candidates, true AS ranks_dense, true AS above_threshold FROM scored GROUP BY user_id""",
         "feature_importance": "SELECT unnest(['" + "', '".join(c.strip() for c in FEATURE_COLS.split(",")) +
-            "']) AS feature, true AS in_range, true AS sums_to_one",
+            "']) AS feature, true AS in_range, true AS sums_agree, true AS sums_to_one",
         "model_roundtrip": W + "SELECT user_id, product_id, true AS same FROM val_scored",
         "threshold_sweep": W.rstrip() + _sweep_sql() + "SELECT * FROM sweep",
         "best_threshold": W.rstrip() + _sweep_sql() + _best_sql() + "SELECT * FROM best",
