@@ -46,6 +46,16 @@ def trim() -> None:
         pass
 
 
+def tidied(run):
+    """``run`` (a mapInArrow function) with memory given back before and after, so
+    that a worker waiting for its next task holds little."""
+    def tidy(batches):
+        trim()
+        yield from run(batches)
+        trim()
+    return tidy
+
+
 def spare(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not use yet."""
     taken = {c.lower() for c in df.columns}

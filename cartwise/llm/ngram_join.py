@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import spare, table, trim, written
+from .common import spare, table, tidied, written
 from .components import components
 
 WORDS = 5
@@ -61,10 +61,10 @@ LEADERS = 6                 # points that a point is first compared with
 AGAINST, MEMBERS = 512, 2_000   # leaders in one row, members in one task group
 MANY = (1 << 16) - 1        # counts from here on are stored as this
 FILTER_BITS = 23
-TEXT_BYTES = 2_000_000      # text shingled at a time
-KEYS_PER_TASK = 2_000_000   # that one task of the meeting stage gathers
-FLUSH_KEYS = 800_000        # that a task of the key stage holds
-CACHE_WORDS = 300_000
+TEXT_BYTES = 1_000_000      # text shingled at a time
+KEYS_PER_TASK = 500_000   # that one task of the meeting stage gathers
+FLUSH_KEYS = 300_000        # that a task of the key stage holds
+CACHE_WORDS = 100_000
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -171,7 +171,6 @@ def _describe(docs: DataFrame) -> DataFrame:
     """kind 0: one row per document (id, set size n, class c and its check c2,
     count vector); kind 1: per task, shingle group ``id`` occurs in n sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trim()
         shingles, corpus = shingler(), np.zeros(1 << RARITY_BITS, dtype=np.int64)
         for held in _texts(batches, "doc_id"):
             sets = shingles([t for _, t in held])
@@ -189,7 +188,7 @@ def _describe(docs: DataFrame) -> DataFrame:
                 [pa.array(np.ones(len(used), dtype=np.int32)), pa.array(used), pa.array(corpus[used]), none, none,
                  pa.nulls(len(used), pa.binary())], names=["kind", "id", "n", "c", "c2", "vec"])
 
-    return docs.mapInArrow(run, INFO)
+    return docs.mapInArrow(tidied(run), INFO)
 
 
 # ---------------------------------------------------------------- groups of classes that meet on a rare shingle
@@ -205,7 +204,6 @@ def _rare_keys(docs: DataFrame, rarity, buckets: int) -> DataFrame:
     """Rows (bucket, keys, classes, sizes): for each task and bucket, the rare
     shingles of its classes as flat arrays (size is 2n, plus 1 if probe only)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trim()
         shingles, order, seen = shingler(), rarity.value, set()
         keys, classes, sizes, held = [], [], [], 0
 
@@ -242,7 +240,7 @@ def _rare_keys(docs: DataFrame, rarity, buckets: int) -> DataFrame:
         if held:
             yield flush()
 
-    return docs.mapInArrow(run, "bucket long, keys binary, classes binary, sizes binary")
+    return docs.mapInArrow(tidied(run), "bucket long, keys binary, classes binary, sizes binary")
 
 
 def _priority(c: np.ndarray) -> np.ndarray:
@@ -256,7 +254,6 @@ def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     n), where ``block`` is the class of the group that comes first in priority.
     Groups with one first member are one block, so classes that meet on many
     shingles meet in few blocks."""
-    trim()
     k, c, n = [], [], []
     for batch in batches:
         for col, out, kind in (("keys", k, np.uint64), ("classes", c, np.int64), ("sizes", n, np.int64)):
@@ -493,7 +490,7 @@ def _filter_of(ids: DataFrame) -> np.ndarray:
         used = np.flatnonzero(words)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(words[used])], names=["at", "word"])
 
-    words = ids.mapInArrow(run, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
+    words = ids.mapInArrow(tidied(run), "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
     out = np.zeros((1 << FILTER_BITS) // 64, dtype=np.int64)
     out[words["at"].to_numpy()] = words["word"].to_numpy()
     return out
@@ -506,7 +503,6 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(_filter_of(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trim()
         bits, shingles, seen = np.unpackbits(shared.value.view(np.uint8)).astype(bool), shingler(), set()
 
         def passes(ids: np.ndarray) -> np.ndarray:
@@ -531,7 +527,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c[out]), pa.array([sets[k].tobytes() for k in out], pa.binary())],
                                              names=["c", "s"])
 
-    return docs.mapInArrow(run, "c long, s binary")
+    return docs.mapInArrow(tidied(run), "c long, s binary")
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -593,7 +589,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, label: str)
     wanted = asks.select("c").distinct().join(classes.select("c", F.coalesce("rep", "c").alias("doc_id")), "c").select("doc_id")
     rows = asks.join(_sets(docs, wanted), "c").select("g", "salt", "role", "c", "s", "against")
     rows = rows.repartition("g", "salt").sortWithinPartitions("g", "salt", "role")
-    return written(rows.mapInArrow(_verify, "a long, b long"), f"{label}-links")
+    return written(rows.mapInArrow(tidied(_verify), "a long, b long"), f"{label}-links")
 
 
 # ---------------------------------------------------------------- operator
@@ -629,7 +625,7 @@ def _numbered(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // 4 // KEYS_PER_TASK))
     keys = _rare_keys(base, rarity, 4 * tasks).repartition(tasks, "bucket")
-    met = written(keys.mapInArrow(_meeting, "block long, c long, n long").distinct(), "ngram-met")
+    met = written(keys.mapInArrow(tidied(_meeting), "block long, c long, n long").distinct(), "ngram-met")
     parts = met.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / TREE).cast("long").alias("parts"))
     blocks = written(met.join(parts, "block").withColumn("part", F.pmod(F.xxhash64("c"), F.col("parts"))), "ngram-blocks")
 
@@ -640,7 +636,7 @@ def _numbered(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     # round 1; the first member of a block that is cut joins every part
     others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
     guests = blocks.where("c = block AND parts > 1").withColumn("_p", others).where("_p <> part").withColumn("part", F.col("_p")).drop("_p")
-    first = with_vectors(blocks.unionByName(guests), ["block", "part"]).mapInArrow(_leaders, "a long, b long")
+    first = with_vectors(blocks.unionByName(guests), ["block", "part"]).mapInArrow(tidied(_leaders), "a long, b long")
     links = _verified(first, classes, base, "ngram-1")
     comp = components(links)
 
@@ -651,7 +647,7 @@ def _numbered(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
              .where("lo <> hi").select("block"))
     spread = (known.join(mixed, "block", "left_semi").withColumn("_o", others)
               .withColumn("x", F.least("part", "_o")).withColumn("y", F.greatest("part", "_o")))
-    second = with_vectors(spread, ["block", "x", "y"]).mapInArrow(_across, "a long, b long")
+    second = with_vectors(spread, ["block", "x", "y"]).mapInArrow(tidied(_across), "a long, b long")
     more = _verified(second, classes, base, "ngram-2")
     comp = components(written(links.unionByName(more), "ngram-all"))
 
@@ -689,13 +685,11 @@ def one_per_component(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
         return (bits[one] & bits[two]) | ids.is_null().to_numpy(zero_copy_only=False)
 
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trim()
         bits = np.unpackbits(shared.value.view(np.uint8)).astype(bool)
         for batch in batches:
             yield batch.filter(pa.array(~maybe(batch, bits)))
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trim()
         bits, shingles = np.unpackbits(shared.value.view(np.uint8)).astype(bool), shingler()
         for batch in batches:
             batch = batch.filter(pa.array(maybe(batch, bits)))
@@ -708,11 +702,11 @@ def one_per_component(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     # most rows are told apart by the filter and need no shuffle; a join decides the others
     told = told.select(F.col("doc_id").alias(f"{i}2"), F.col("c").alias(f"{c}2"), F.col("stays").alias(stays))
     schema = StructType([*docs.schema.fields, StructField(i, LongType()), StructField(c, LongType())])
-    met = docs.mapInArrow(keyed, schema)
+    met = docs.mapInArrow(tidied(keyed), schema)
     met = met.join(told, met[i].eqNullSafe(told[f"{i}2"]) & (met[c] == told[f"{c}2"]), "left")
     met = written(met.where(F.col(stays).isNull() | F.col(stays)).select(*docs.columns, i, c, stays), "ngram-met-rows")
     once = (met.where(F.col(stays)).groupBy(i, c).agg(F.min(F.struct(*docs.columns)).alias(row)).select(f"{row}.*"))
-    return (docs.mapInArrow(passing, docs.schema)
+    return (docs.mapInArrow(tidied(passing), docs.schema)
             .unionByName(met.where(F.col(stays).isNull()).select(*docs.columns)).unionByName(once))
 
 
