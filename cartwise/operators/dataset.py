@@ -6,10 +6,13 @@ with the user×product history, never with users × catalogue.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import FEATURES, validation_flag
+from ..functions.selection import kth_smallest
 from ..functions.skew import broadcast_bounded, sized_broadcast
 
 ID_COLS = ["user_id", "product_id"]
@@ -68,9 +71,32 @@ def with_split(master: DataFrame) -> DataFrame:
     return master.withColumn("is_validation", validation_flag())
 
 
-def split_counts(master: DataFrame) -> DataFrame:
+def exact_split(master: DataFrame, share: float = 0.2, user: str = "user_id", product: str = "product_id") -> DataFrame:
+    """M2 to the row: ``ceil(share * rows)`` validation rows, those whose key digest
+    comes first, under any partitioning.
+
+    The digest (52 bits) that ends the held-out part is found by refining range
+    counts; rows that share it are taken by user, then product (only these are
+    ordered)."""
+    key = F.concat(F.col(user).cast("string"), F.lit("|"), F.col(product).cast("string"))
+    digest = F.conv(F.substring(F.md5(key.cast("binary")), 1, 13), 16, 10).cast("double")
+    wanted = math.ceil(share * master.count() - 1e-9)
+    found = kth_smallest(master, digest, wanted)
+    if found is None:
+        return master.withColumn("is_validation", F.lit(False))
+    last, below, equal = found
+    if below + equal == wanted:
+        return master.withColumn("is_validation", F.coalesce(digest <= F.lit(last), F.lit(False)))
+    tied = (master.where(digest == F.lit(last)).select(F.col(user).alias("_u"), F.col(product).alias("_p"))
+            .orderBy("_u", "_p").limit(wanted - below).withColumn("_in", F.lit(True)))
+    marked = master.join(tied, (F.col(user) == F.col("_u")) & (F.col(product) == F.col("_p")), "left")
+    flag = F.coalesce((digest < F.lit(last)) | F.col("_in"), F.lit(False))
+    return marked.withColumn("is_validation", flag).drop("_u", "_p", "_in")
+
+
+def split_counts(master: DataFrame, split=with_split) -> DataFrame:
     """Rows and positives per split."""
-    return (with_split(master)
+    return (split(master)
             .groupBy(F.when(F.col("is_validation"), F.lit("validation")).otherwise(F.lit("train")).alias("split"))
             .agg(F.count(F.lit(1)).alias("n_rows"), F.sum(LABEL).cast("long").alias("n_positive")))
 

@@ -255,11 +255,11 @@ def propose(history: list[dict], trial: int, seed: int = 42, space: dict = SEARC
 
 def hyper_search(master: DataFrame, n_trials: int = 20, seed: int = 42, path: str | None = None,
                  space: dict = SEARCH_SPACE, patience: int = PATIENCE, stop_after: int | None = None,
-                 baseline: dict | None = None) -> DataFrame:
+                 baseline: dict | None = None, wave: int = WAVE) -> DataFrame:
     """``n_trials`` settings of the whole space, each grown with patience and
     scored by validation log-loss, ranked (rank 1 = the study's best).
 
-    Trials run in waves that grow together (one scan a level for all); the next
+    Trials run in waves (of ``wave``, the first of ``STARTUP``) that grow together (one scan a level for all); the next
     wave is proposed from the trials so far.  With ``path`` every wave is appended
     to a trial table there, and a search that finds trials goes on after them: the
     outcome is that of one run.  ``stop_after`` ends early (trials stay).
@@ -274,9 +274,9 @@ def hyper_search(master: DataFrame, n_trials: int = 20, seed: int = 42, path: st
     until = n_trials if stop_after is None else min(n_trials, stop_after)
     while len(history) < until:
         done = len(history)
-        wave = (STARTUP - done) if done < STARTUP else WAVE - (done - STARTUP) % WAVE
-        ids = list(range(done, min(done + wave, until)))
-        known = history[:STARTUP + (done - STARTUP) // WAVE * WAVE] if done >= STARTUP else []
+        size = STARTUP - done if done < STARTUP else wave - (done - STARTUP) % wave
+        ids = list(range(done, min(done + size, until)))
+        known = history[:STARTUP + (done - STARTUP) // wave * wave] if done >= STARTUP else []
         settings = [propose(known, t, seed, space) for t in ids]
         if baseline is not None and not extra:
             ids, settings = [-1, *ids], [baseline, *settings]

@@ -226,6 +226,31 @@ UNION ALL SELECT 'weighted avg',
 """
 
 
+def _bulk_sql() -> str:
+    """Users at or above the 75 % place of both average basket and concentration."""
+    return """,
+conc AS (SELECT user_id, round(sum(dept_share * dept_share), 9) AS concentration FROM dept GROUP BY user_id),
+sized AS (SELECT user_id, user_avg_basket_size, concentration,
+                 row_number() OVER (ORDER BY user_avg_basket_size) AS ks, row_number() OVER (ORDER BY concentration) AS kc,
+                 ceil(0.75 * count(*) OVER ()) AS k
+          FROM user_features JOIN conc USING (user_id)),
+bulk AS (SELECT user_id, concentration FROM sized
+         WHERE user_avg_basket_size >= (SELECT min(user_avg_basket_size) FROM sized WHERE ks >= k)
+           AND concentration >= (SELECT min(concentration) FROM sized WHERE kc >= k))
+"""
+
+
+def _inferred_sql(name: str, table: str, columns: list[str], texts: tuple, doubles: tuple) -> str:
+    """A column's type as a CSV of it reads: text, number with a point, or whole
+    numbers, which missing values turn into double."""
+    rows = []
+    for i, c in enumerate(columns):
+        kind = "'string'" if c in texts else "'double'" if c in doubles else f"CASE WHEN count({c}) < count(*) THEN 'double' ELSE 'bigint' END"
+        rows.append(f"SELECT '{name}' AS table_name, {i} AS position, '{c}' AS column_name, {kind} AS type, "
+                    f"count({c}) AS n_values, count(*) - count({c}) AS n_missing FROM {table}")
+    return " UNION ALL ".join(rows)
+
+
 ORDER_COLS = ("order_id, user_id, eval_set, order_number, order_dow, order_hour_of_day, "
               "days_since_prior_order")
 
@@ -306,6 +331,28 @@ WHERE 2 * c_custkey NOT IN (SELECT user_id FROM scored WHERE user_id IS NOT NULL
 SELECT user_id, rec_rank, product_id, product_name, round(probability, 4) AS probability,
        CAST(aisle_id AS INTEGER) AS aisle_id
 FROM ranked WHERE rec_rank <= round(user_avg_basket_size)""",
+        "bulk_buyers": W + _bulk_sql() + "SELECT user_id, concentration FROM bulk",
+        "recommend_personal": W + _bulk_sql() + """
+SELECT user_id, rec_rank, product_id, product_name, round(probability, 4) AS probability,
+       CAST(aisle_id AS INTEGER) AS aisle_id
+FROM ranked WHERE rec_rank <= round(user_avg_basket_size)
+   OR (probability > 0.22e0 AND user_id IN (SELECT user_id FROM bulk))""",
+        "exact_split": W + """
+SELECT CASE WHEN k <= ceil(0.2 * n) THEN 'validation' ELSE 'train' END AS split,
+       count(*) AS n_rows, CAST(sum(reordered) AS BIGINT) AS n_positive
+FROM (SELECT reordered, count(*) OVER () AS n, row_number() OVER (
+        ORDER BY substr(md5(CAST(user_id AS VARCHAR) || '|' || CAST(product_id AS VARCHAR)), 1, 13), user_id, product_id) AS k
+      FROM train_master)
+GROUP BY 1""",
+        "inferred_schema": W + " UNION ALL ".join(_inferred_sql(*t) for t in (
+            ("orders", "r_orders", ORDER_COLS.split(", "), ("eval_set",), ("days_since_prior_order",)),
+            ("products", "r_products", ["product_id", "product_name", "aisle_id", "department_id"], ("product_name",), ()),
+            ("aisles", "(SELECT DISTINCT aisle_id, 'Brand#' || CAST(aisle_id AS VARCHAR) AS aisle FROM r_products)",
+             ["aisle_id", "aisle"], ("aisle",), ()),
+            ("departments", f"(SELECT DISTINCT CAST({_DEPARTMENT} AS BIGINT) AS department_id, p_type AS department FROM part)",
+             ["department_id", "department"], ("department",), ()),
+            ("order_products__prior", "r_prior", ["order_id", "product_id", "add_to_cart_order", "reordered"], (), ()),
+            ("order_products__train", "r_train", ["order_id", "product_id", "add_to_cart_order", "reordered"], (), ()))),
         "stream_recommend": W + """
 SELECT c.c_custkey AS request_id, c.c_custkey AS user_id,
        u.user_id IS NOT NULL AS has_history, coalesce(u.n_recommended, 0) AS count,

@@ -117,6 +117,23 @@ def q_ingest_roundtrip(spark, sf_dir):
     return rows
 
 
+def q_inferred_schema(spark, sf_dir):
+    """Types inferred from the six raw CSV files, and the rows read by them."""
+    from ..sources.files import write_csv
+    from ..sources.infer import inferred_types, read_inferred, read_text_csv
+    c = Ctx(spark, sf_dir)
+    raw, out = c.scratch("raw_csv_inferred"), None
+    for name, df in c.r.as_dict().items():
+        write_csv(df, f"{raw}/{name}.csv")
+        types = inferred_types(read_text_csv(spark, f"{raw}/{name}.csv"))
+        read = read_inferred(spark, f"{raw}/{name}.csv", types)
+        filled = read.agg(F.array(*[F.count(F.col(x)) for x in read.columns]).alias("f")).scalar()
+        own = types.select(F.lit(name).alias("table_name"), F.col("position").cast("int").alias("position"), "column_name", "type",
+                           F.get(filled, F.col("position")).alias("n_values"), "n_missing")
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
 def q_master_csv_roundtrip(spark, sf_dir):
     from ..sources.files import read_master_csv, write_master_csv
     c = Ctx(spark, sf_dir)
@@ -217,6 +234,11 @@ def q_split_counts(spark, sf_dir):
     return D.split_counts(Ctx(spark, sf_dir).stored_master)
 
 
+def q_exact_split(spark, sf_dir):
+    """Exactly a fifth of the rows held out."""
+    return D.split_counts(Ctx(spark, sf_dir).stored_master, D.exact_split)
+
+
 # ---- scoring and recommendation ---------------------------------------------------
 
 def q_score_candidates(spark, sf_dir):
@@ -255,6 +277,18 @@ def q_recommend_by_basket(spark, sf_dir):
     return R.recommend_by_basket(Ctx(spark, sf_dir).scored)
 
 
+def q_recommend_personal(spark, sf_dir):
+    """The basket rule, and the fixed cut-off too for large, concentrated baskets."""
+    c = Ctx(spark, sf_dir)
+    share = FT.user_dept_share(c.store.uxp_features, c.r.products)
+    return R.recommend_personal(c.scored, R.bulk_buyers(c.store.user_features, share))
+
+
+def q_bulk_buyers(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    return R.bulk_buyers(c.store.user_features, FT.user_dept_share(c.store.uxp_features, c.r.products))
+
+
 def q_stream_recommend(spark, sf_dir):
     """Every customer id as a request, answered by the streaming query."""
     import uuid
@@ -371,7 +405,7 @@ def q_hyper_search(spark, sf_dir):
     (trial -1): per trial whether it lies in the space, fitted within its rounds,
     and whether the study's best is at least as good as the base settings."""
     from ..operators.model import BASE_PARAMS, hyper_search
-    out = hyper_search(Ctx(spark, sf_dir).stored_master, n_trials=SEARCH_TRIALS, baseline=BASE_PARAMS)
+    out = hyper_search(Ctx(spark, sf_dir).stored_master, n_trials=SEARCH_TRIALS, baseline=BASE_PARAMS, wave=10)
     rows = {r["trial"]: r["log_loss"] for r in out.select("trial", "log_loss").collect()}   # 21 rows
     base = rows.pop(-1)
     return out.where("trial >= 0").select(
@@ -440,6 +474,7 @@ def q_model_roundtrip(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_roundtrip": q_ingest_roundtrip,
+    "inferred_schema": q_inferred_schema,
     "master_csv_roundtrip": q_master_csv_roundtrip,
     "table_counts": q_table_counts,
     "enriched_prior": q_enriched_prior,
@@ -455,6 +490,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "train_master": q_train_master,
     "feature_matrix": q_feature_matrix,
     "split_counts": q_split_counts,
+    "exact_split": q_exact_split,
     "score_candidates": q_score_candidates,
     "score_one_user": q_score_one_user,
     "recommend_threshold": q_recommend_threshold,
@@ -462,6 +498,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recommend_counts": q_recommend_counts,
     "users_without_history": q_users_without_history,
     "recommend_by_basket": q_recommend_by_basket,
+    "recommend_personal": q_recommend_personal,
+    "bulk_buyers": q_bulk_buyers,
     "stream_recommend": q_stream_recommend,
     "threshold_sweep": q_threshold_sweep,
     "best_threshold": q_best_threshold,

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import nan_to_null
 from .schemas import RAW_TABLES, TRAIN_MASTER
+from .versioned import replace_table
 
 log = logging.getLogger(__name__)
 
@@ -32,8 +33,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 def ingest_csv(spark: SparkSession, raw_dir: str, out_dir: str,
                tables: dict[str, T.StructType] = RAW_TABLES) -> dict[str, DataFrame]:
     """S1 + S2 + S3: load ``<raw_dir>/<name>.csv`` for each table into Parquet
-    under ``<out_dir>/<name>`` (replacing it).  A missing file is skipped with
-    a warning.  Returns the written tables, read back."""
+    under ``<out_dir>/<name>``, replacing it as a whole (``versioned``).  A missing
+    file is skipped with a warning.  Returns the written tables, read back."""
     out = {}
     for name, schema in tables.items():
         src = f"{raw_dir.rstrip('/')}/{name}.csv"
@@ -41,8 +42,7 @@ def ingest_csv(spark: SparkSession, raw_dir: str, out_dir: str,
             log.warning("input %s not found, skipped", src)
             continue
         dst = f"{out_dir.rstrip('/')}/{name}"
-        read_csv(spark, src, schema).write.mode("overwrite").parquet(dst)
-        out[name] = spark.read.parquet(dst)
+        out[name] = replace_table(read_csv(spark, src, schema), dst)
     return out
 
 
