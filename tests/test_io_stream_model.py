@@ -76,67 +76,6 @@ def test_request_stream(spark, tmp_dir):
     assert not rows[(102, None)].has_history
 
 
-@pytest.fixture(scope="module")
-def master_mid(spark):
-    from cartwise.sources.tables import load_retail
-    r = load_retail(spark, "/root/testdata/sf0.01")
-    uxp = FT.uxp_features(r.orders, r.prior)
-    return D.train_master(r.orders, uxp, FT.user_features(r.orders, r.prior),
-                          FT.product_features(r.prior, r.products), r.train).cache()
-
-
-def test_gbt_fit_importance_and_roundtrip(spark, master_mid, tmp_dir):
-    from cartwise.operators.model import feature_importance, fit_gbt, model_roundtrip
-    model = fit_gbt(master_mid, {"n_estimators": 5, "max_depth": 3})
-    imp = feature_importance(spark, model, os.path.join(tmp_dir, "m1"))
-    rows = imp.collect()
-    assert sorted(r.feature for r in rows) == sorted(D.FEATURES)
-    assert abs(sum(r.importance for r in rows) - 1.0) < 1e-9
-    assert sum(r.split_count for r in rows) > 0
-    model.scorer()  # scoring works on a copy: the model keeps its settings
-    assert model.getFeaturesCol() == "features"
-    rt = model_roundtrip(model, master_mid, os.path.join(tmp_dir, "m2"))
-    assert rt.where(F.abs(F.col("p_saved") - F.col("p_loaded")) > 1e-12).count() == 0
-    probs = rt.agg(F.min("p_saved"), F.max("p_saved")).first()
-    assert 0.0 <= probs[0] <= probs[1] <= 1.0
-
-
-def test_model_beats_the_base_rate(spark, master_mid):
-    from cartwise.operators.model import base_rate_log_loss, gbt_train
-    base = base_rate_log_loss(master_mid).first()["base_log_loss"]
-    got = gbt_train(master_mid, {"n_estimators": 30, "max_depth": 4}).metrics.first()
-    assert got.log_loss < base
-    assert 1 <= got.n_trees <= 30
-
-
-def test_best_round_and_patience(spark, master_mid):
-    from cartwise.operators.model import fit_best_round, gbt_estimator, training_frame
-    data = training_frame(master_mid)
-    est = gbt_estimator({"n_estimators": 24, "max_depth": 6, "learning_rate": 0.8})
-    val = data.where("is_validation")
-    full = est.fit(data.where("NOT is_validation")).evaluateEachIteration(val)
-    stop = next((k for k in range(1, 25) if k - (min(range(k), key=full.__getitem__) + 1) >= 4), 24)
-    best = min(range(stop), key=full.__getitem__) + 1
-    model = fit_best_round(est, data, patience=4)
-    assert model.getNumTrees == best
-    assert model.evaluateEachIteration(val)[-1] == pytest.approx(full[best - 1])
-
-
-def test_tuned_settings_translate_and_split(spark, master_mid):
-    from cartwise.operators.model import TUNED_PARAMS, fit_gbt, spark_params
-    p = spark_params(TUNED_PARAMS, 1000)
-    assert p["maxIter"] == 938 and p["maxDepth"] == 10 and p["minInfoGain"] == pytest.approx(1.54649974715052e-3)
-    model = fit_gbt(master_mid, {**TUNED_PARAMS, "n_estimators": 3})
-    assert model.getNumTrees >= 1
-    assert sum(t.numNodes for t in model.trees) > model.getNumTrees  # trees do split
-
-
-def test_hyper_search_ranks_trials(spark, master_mid):
-    from cartwise.operators.model import hyper_search
-    out = hyper_search(master_mid, n_trials=2, overrides={"n_estimators": 3, "max_depth": 3}).collect()
-    assert len(out) == 2 and all(r.log_loss > 0 for r in out)
-
-
 def test_one_user_reads_only_that_users_rows(spark):
     from cartwise.plans.registry import Ctx
     c = Ctx(spark, "/root/testdata/sf0.001")
