@@ -1,6 +1,10 @@
 """Language identification by a linear-chain conditional random field.
 
-Every word with a letter is labelled; a word's features are its affixes (one to
+Texts are lower-cased and split at Unicode white space.  A word of more than
+``WORD_CHARS`` characters (Chinese, Japanese or Thai text, any unbroken string)
+becomes consecutive places of the chain: pieces that cover all of it and overlap by
+``OVERLAP`` characters, so that no trigram is lost and languages may change inside.
+Every word or piece with a letter is labelled; its features are its affixes (one to
 three characters at either end), its character bigrams and trigrams, and the
 word itself (a hashed lexicon).  Transition weights are learned too, on training
 sequences that are spliced from two languages, so the chain follows
@@ -8,8 +12,8 @@ code-switched text.  Labels are scored by forward-backward; a document's
 language is the one with the largest sum of posterior marginals, its score that
 sum's mean over the words.
 
-Training is bounded: ``TRAIN_DOCS`` documents per language (smallest id hash),
-``WINDOWS`` windows of ``WINDOW`` words each, spread over the whole text.
+Training is bounded: ``TRAIN_DOCS`` documents per language (smallest id hash), whose
+whole texts are learned, in windows of ``WINDOW`` words.
 Prediction reads every whole text.  Forward-backward is exact: the words of a
 batch form one chain that is reset at each document; it is cut into rows that
 advance together, and row products carry the state from row to row.
@@ -33,31 +37,38 @@ from pyspark.sql import functions as F
 from ..functions.skew import top_k_per_group
 from .common import held_out, table, trim
 
-TRAIN_DOCS = 150
-WINDOWS, WINDOW = 6, 30
+TRAIN_DOCS = 100
+WINDOW = 30
 EPOCHS = 30
 RATE, RIDGE = 0.5, 1e-4
 SLOTS = 1 << 16             # hashed feature weights; slot 0 stays zero
-WORD_CHARS = 24
+WORD_CHARS, OVERLAP = 24, 3
 CACHE_WORDS = 300_000
 CHUNK_WORDS = 200_000       # words in one forward-backward batch
 MIN_SCORE = 0.5
 UNKNOWN = "und"
 
 
-def _core(word: bytes) -> str:
-    """A word in lower case without what stands around its letters; empty
-    when it has none."""
-    w = word.decode("utf-8", "replace").lower()
-    if w.isalpha():
-        return w
-    letters = [i for i, ch in enumerate(w) if ch.isalpha()]
-    return w[letters[0]:letters[-1] + 1] if letters else ""
+def units(text: str) -> list[str]:
+    """Words in lower case; a long one as pieces that cover it."""
+    words = text.lower().split()
+    if max(map(len, words), default=0) <= WORD_CHARS:
+        return words
+    step = WORD_CHARS - OVERLAP
+    return [w[i:i + WORD_CHARS] for w in words for i in range(0, max(1, len(w) - OVERLAP), step)]
+
+
+def _core(word: str) -> str:
+    """A word without what stands around its letters; empty when it has none."""
+    if word.isalpha():
+        return word
+    letters = [i for i, ch in enumerate(word) if ch.isalpha()]
+    return word[letters[0]:letters[-1] + 1] if letters else ""
 
 
 def feature_slots(words: list[str]) -> np.ndarray:
-    """Slots of each word's features, one row a word, padded with slot 0."""
-    words = [w if len(w) <= WORD_CHARS else w[:WORD_CHARS // 2] + w[-WORD_CHARS // 2:] for w in words]
+    """Slots of each word's features (words of at most ``WORD_CHARS``), one row a
+    word, padded with slot 0."""
     n = np.array([len(w) for w in words])
     flat = "".join("\x02" + w + "\x03" + "\x00" * (WORD_CHARS - len(w)) for w in words)
     ch = np.frombuffer(flat.encode("utf-32-le"), dtype=np.uint32).reshape(len(words), WORD_CHARS + 2).astype(np.uint64)
@@ -220,7 +231,7 @@ def train(samples: list[tuple[str, list[list[str]]]], epochs: int = EPOCHS, seed
 def training_windows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str = "lang",
                      per_language: int = TRAIN_DOCS) -> list[tuple[str, list[list[str]]]]:
     """The bounded training sample: at most ``per_language`` documents a
-    language (held-out ones never), WINDOWS windows of each."""
+    language (held-out ones never), their whole texts in windows."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     able = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
                       & ~held_out("doc_id"))
@@ -232,9 +243,8 @@ def training_windows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
         for batch in batches:
             langs, wins = [], []
             for own, t in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words = [c for c in map(_core, t.as_py().split()) if c]
-                gap = max(WINDOW, len(words) // WINDOWS)
-                for at in range(0, min(len(words), gap * WINDOWS), gap):
+                words = [c for c in map(_core, units(t.as_py().decode("utf-8", "replace"))) if c]
+                for at in range(0, len(words), WINDOW):
                     langs.append(own)
                     wins.append(words[at:at + WINDOW])
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(wins, pa.list_(pa.string()))],
@@ -247,7 +257,7 @@ def training_windows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
 
 def classifier(model: Crf):
     """list of texts (bytes or None) -> (label numbers, scores); -1 for no letter."""
-    known: dict[bytes, int] = {}
+    known: dict[str, int] = {}
     emissions = np.empty((0, len(model.labels)))
     move, start = np.exp(model.move), np.exp(model.start)
 
@@ -260,7 +270,7 @@ def classifier(model: Crf):
         while at < len(texts):
             split, words = [], 0
             while at + len(split) < len(texts) and (not split or words < CHUNK_WORDS):
-                split.append((texts[at + len(split)] or b"").split())
+                split.append(units((texts[at + len(split)] or b"").decode("utf-8", "replace")))
                 words += len(split[-1])
             new = set().union(*split).difference(known)
             if new:

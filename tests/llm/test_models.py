@@ -37,7 +37,7 @@ def test_posteriors_equal_enumeration():
 
 def test_words_of_switched_text_follow_the_language():
     docs = table_rows()
-    samples = [(lang, [[c for c in map(language._core, text.encode().split()) if c][:60]]) for _, text, lang in docs
+    samples = [(lang, [[c for c in map(language._core, language.units(text)) if c][:60]]) for _, text, lang in docs
                if text and lang]
     model = language.train(samples, epochs=12)
     by = {lang: [w for own, (win,) in samples if own == lang for w in win] for lang in model.labels}
@@ -191,3 +191,24 @@ def test_boosted_trees_learn_a_rule():
     model = url_filter.boost(x[:1500], y[:1500])
     assert np.mean((model.margin(x[1500:]) > 0) == (y[1500:] > 0)) > 0.96
     assert url_filter.boost(x[:0], y[:0]).margin(x[:2]).tolist() == [-1.0, -1.0]
+
+
+def test_long_words_and_unspaced_texts_are_read_whole():
+    """The middle of a long word counts, pieces cover a word, and languages
+    without spaces are told apart and may change inside a text."""
+    rng = random.Random(4)
+    word = "".join(rng.choice("abcdefgh") for _ in range(900))
+    assert len(language.units(word)) > 40
+    pieces = language.units(word)
+    assert pieces[0] + "".join(p[language.OVERLAP:] for p in pieces[1:]) == word
+    assert language.units("a\u3000b\u00a0c") == ["a", "b", "c"] and language.units("") == []
+    alphabets = {"x": "天地玄黄宇宙洪荒日月", "y": "กขคงจฉชซญด"}
+    text = lambda own, n: "".join(rng.choice(alphabets[own]) for _ in range(n))
+    model = language.train([(own, [[c for c in map(language._core, language.units(text(own, 300))) if c]])
+                            for own in alphabets for _ in range(10)], epochs=12)
+    classify = language.classifier(model)
+    label, score = classify([text(own, 500).encode() for own in "xyxy"])
+    assert [model.labels[i] for i in label] == list("xyxy") and min(score) > 0.9
+    ends = text("x", 30), text("x", 30)                     # equal ends, another middle
+    label, score = classify([(ends[0] + text(own, 800) + ends[1]).encode() for own in "xy"])
+    assert [model.labels[i] for i in label] == ["x", "y"] and score[1] < score[0]
