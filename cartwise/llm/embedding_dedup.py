@@ -28,7 +28,9 @@ come in groups of as many, so no task holds more.
 
 Defined results: a null label, and a vector that is null, zero, empty or holds
 null or non-finite components, links with nothing and is its own component;
-repeated rows are copies; a null vec_id is never a component's name; an empty
+repeated rows are copies; a null vec_id is never a component's name (a component
+of null ids only has none), but its row and links count; rows that repeat an id with
+another vector are vectors of their own; an empty
 table gives no rows; other columns are ignored.
 """
 
@@ -185,13 +187,14 @@ def _assign(points: pa.Table, centres: pa.Table) -> pa.Table:
 
 def points_and_members(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding",
                        label: str = "label") -> tuple[DataFrame, DataFrame]:
-    """(points, members): one row per distinct vector of a label (id = its
-    smallest vec_id), and every usable row with its point's id."""
+    """(points, members): one row per distinct vector of a label (a written ``id`` of
+    its own, and ``name``, its smallest vec_id, if any), and every usable row with
+    its point's id."""
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<float>").alias("embedding"),
                           F.col(label).cast("long").alias("label"))
     usable = rows.where(_usable()).withColumn("dim", F.size("embedding"))
-    same = usable.groupBy("label", "dim", "embedding").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"))
-    points = written(same.where("id IS NOT NULL"), "vec-points")
+    same = usable.groupBy("label", "dim", "embedding").agg(F.min("vec_id").alias("name"), F.count(F.lit(1)).alias("copies"))
+    points = written(same.withColumn("id", F.monotonically_increasing_id()), "vec-points")
     keyed = points.select(F.col("label").alias("l"), F.col("embedding").alias("e"), "id", "copies")
     members = usable.join(keyed, (usable["label"] == keyed["l"]) & (usable["embedding"] == keyed["e"])).select("vec_id", "id", "copies")
     return points, members
@@ -366,8 +369,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, vec_id: st
         found = found.unionByName(more)
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     comp = components(written(found.select(F.col("id").alias("a"), F.col("low").alias("b")).where("a <> b"), "vec-links"))
-    named = written(links.join(comp, "id", "left")
-                    .select("id", "links", F.coalesce("component", "id").alias("component_id")), "vec-named")
+    grouped = written(links.join(comp, "id", "left").select("id", "links", F.coalesce("component", "id").alias("component")),
+                      "vec-grouped")
+    names = (grouped.join(points.select("id", "name"), "id").groupBy("component").agg(F.min("name").alias("component_id")))
+    named = written(grouped.join(names, "component").select("id", "links", "component_id"), "vec-named")
     usable = members.join(named, "id").select("vec_id", (F.col("links") + F.col("copies") - 1).cast("long").alias("n_links"),
                                               "component_id")
     rest = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<float>").alias("embedding"),

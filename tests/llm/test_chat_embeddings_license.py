@@ -151,6 +151,15 @@ def test_embeddings_shards_parts_and_hot_groups(spark, monkeypatch):
     check_vectors(spark, rows, recall=0.9)
 
 
+def test_embeddings_null_and_repeated_ids(spark):
+    v, near, far = [1.0, 2.0, 3.0], [1.0, 2.0, 3.1], [-3.0, 1.0, 0.0]
+    df = spark.createDataFrame([(None, v, 0), (None, v, 0), (5, near, 0), (5, far, 0), (9, [-3.0, 1.0, 0.1], 0),
+                                (None, [0.0, -1.0, 9.0], 0)], VEC)
+    got = sorted((tuple(r) for r in embedding_dedup.near_duplicates(df).collect()), key=str)
+    assert got == sorted([(None, 2, 5, False), (None, 2, 5, False), (5, 2, 5, True), (5, 1, 5, True), (9, 1, 5, False),
+                          (None, 0, None, False)], key=str)
+
+
 def test_embeddings_audit_and_empty(spark):
     from cartwise.llm.common import written
     df = spark.createDataFrame(clustered(600, seed=3), VEC)
