@@ -160,13 +160,12 @@ def test_hot_key_check_on_empty_input(spark):
     assert not has_hot_key(spark.createDataFrame([], "k long"), "k")
 
 
-def test_booster_settings_translation():
-    from cartwise.operators.model import spark_params
-    p = spark_params({"n_estimators": 10, "learning_rate": 0.1, "max_depth": 3, "subsample": 0.8,
-                      "colsample_bytree": 1.0, "gamma": 2.0}, n_train_rows=4)
-    assert p == {"maxIter": 10, "stepSize": 0.1, "maxDepth": 3, "subsamplingRate": 0.8,
-                 "featureSubsetStrategy": "all", "minInfoGain": 0.5}
-    assert spark_params({"maxIter": 7}) == {"maxIter": 7}  # Spark names pass through
+def test_settings_in_the_booster_s_terms():
+    from cartwise.operators.boosting import Setting
+    from cartwise.operators.model import BASE_PARAMS, TUNED_PARAMS
+    base, tuned = Setting.of(BASE_PARAMS), Setting.of(TUNED_PARAMS)
+    assert (base.n_estimators, base.learning_rate, base.max_depth, base.subsample, base.gamma) == (1000, 0.05, 6, 1.0, 0.0)
+    assert (tuned.n_estimators, tuned.max_depth) == (938, 10) and 0.6 < tuned.subsample < 0.7 and tuned.gamma > 1.5
 
 
 def test_lineage_scope_deletes_intermediate_copies(spark):
