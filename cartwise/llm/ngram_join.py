@@ -649,11 +649,18 @@ def _numbered(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
               .withColumn("x", F.least("part", "_o")).withColumn("y", F.greatest("part", "_o")))
     second = with_vectors(spread, ["block", "x", "y"]).mapInArrow(tidied(_across), "a long, b long")
     more = _verified(second, classes, base, "ngram-2")
-    comp = components(written(links.unionByName(more), "ngram-all"))
+    # round 2's links join whole components of round 1, so only those are settled anew
+    def within(df: DataFrame, col: str) -> DataFrame:
+        of = comp.select(F.col("id").alias(col), "component")
+        return df.join(of, col, "left").withColumn(col, F.coalesce("component", col)).drop("component")
+
+    wider = components(written(within(within(more, "a"), "b").distinct(), "ngram-wider"))
+    wider = wider.select(F.col("id").alias("component"), F.col("component").alias("_wider"))
 
     # names: the smallest doc_id of a component and of a class
-    named = (classes.select("c", "rep").join(comp.withColumnRenamed("id", "c"), "c", "left")
-             .withColumn("component", F.coalesce("component", "c")))
+    named = (within(classes.select("c", "rep", F.col("c").alias("_own")), "_own").withColumnRenamed("_own", "component")
+             .join(wider, "component", "left")
+             .select("c", "rep", F.coalesce("_wider", "component").alias("component")))
     named = written(named, "ngram-named")
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = written(named.join(smallest, "component").select("c", F.col("rep").alias("class_id"), "component_id", "component"), "ngram-names")
