@@ -24,12 +24,20 @@ def label_orders(orders: DataFrame, eval_set: str = "train") -> DataFrame:
             .select("order_id", "user_id", "order_number", "order_hour_of_day", "order_dow"))
 
 
-def candidates(orders: DataFrame, uxp: DataFrame, eval_set: str = "train") -> DataFrame:
-    """Every (label order, product the user bought before)."""
-    return label_orders(orders, eval_set).join(uxp, "user_id")
+def _to_user_buckets(df: DataFrame, buckets: int | None) -> DataFrame:
+    """``df`` dealt by user_id into as many partitions as the bucketed side has,
+    so that a join leaves that side in place whatever
+    ``spark.sql.shuffle.partitions`` is."""
+    return df.repartition(buckets, "user_id") if buckets else df
 
 
-def label_join(cands: DataFrame, label_lines: DataFrame, orders: DataFrame) -> DataFrame:
+def candidates(orders: DataFrame, uxp: DataFrame, eval_set: str = "train", buckets: int | None = None) -> DataFrame:
+    """Every (label order, product the user bought before).  ``buckets``:
+    the bucket count of ``uxp`` if it is bucketed on user_id."""
+    return _to_user_buckets(label_orders(orders, eval_set), buckets).join(uxp, "user_id")
+
+
+def label_join(cands: DataFrame, label_lines: DataFrame, orders: DataFrame, buckets: int | None = None) -> DataFrame:
     """J6 + P9: 1 when the product is in the label order with reordered = 1, else 0.
 
     The reordered label lines find their user through the orders (read from the
@@ -37,9 +45,10 @@ def label_join(cands: DataFrame, label_lines: DataFrame, orders: DataFrame) -> D
     bought again, at most the user's label baskets.  Joined on user_id, only
     that small side moves; candidates stay in their user buckets.
     """
-    again = (label_lines.where(F.col("reordered") == 1).select("order_id", "product_id")
-             .join(orders.select("order_id", "user_id"), "order_id")
-             .groupBy("user_id").agg(F.collect_set(F.struct("order_id", "product_id")).alias("bought_again")))
+    pairs = (label_lines.where(F.col("reordered") == 1).select("order_id", "product_id")
+             .join(orders.select("order_id", "user_id"), "order_id"))
+    again = (_to_user_buckets(pairs, buckets).groupBy("user_id")
+             .agg(F.collect_set(F.struct("order_id", "product_id")).alias("bought_again")))
     hit = F.array_contains("bought_again", F.struct("order_id", "product_id"))
     return (cands.join(again, "user_id", "left")
             .withColumn(LABEL, F.coalesce(hit, F.lit(False)).cast("int")).drop("bought_again"))
@@ -47,7 +56,7 @@ def label_join(cands: DataFrame, label_lines: DataFrame, orders: DataFrame) -> D
 
 def train_master(orders: DataFrame, uxp: DataFrame, user_feats: DataFrame, prod_feats: DataFrame,
                  label_lines: DataFrame, eval_set: str = "train",
-                 catalogue: DataFrame | None = None) -> DataFrame:
+                 catalogue: DataFrame | None = None, buckets: int | None = None) -> DataFrame:
     """Candidates ⟕ user features ⟕ product features ⟕ label lines, NULL -> 0.
 
     Left joins keep candidates whose user or product has no features (their
@@ -55,12 +64,14 @@ def train_master(orders: DataFrame, uxp: DataFrame, user_feats: DataFrame, prod_
     behind a row-count check; user features share the candidates' user_id
     partitioning.  ``catalogue`` (the products table) bounds the product
     features' row count; without it the features themselves are counted.
+    ``buckets``: the count of ``uxp`` and ``user_feats`` if both are bucketed on
+    user_id.
     """
-    c = candidates(orders, uxp, eval_set)
+    c = candidates(orders, uxp, eval_set, buckets)
     c = c.join(user_feats, "user_id", "left")
     pf = broadcast_bounded(prod_feats, catalogue) if catalogue is not None else sized_broadcast(prod_feats)
     c = c.join(pf, "product_id", "left")
-    c = label_join(c, label_lines, orders)
+    c = label_join(c, label_lines, orders, buckets)
     c = c.withColumn("orders_since_last_bought",
                      (F.col("order_number") - F.col("uxp_last_order_number")).cast("int"))
     return c.select(*ID_COLS, *FEATURES, LABEL).na.fill(0)

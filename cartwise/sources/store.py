@@ -37,6 +37,7 @@ class FeatureStore:
     uxp_features: DataFrame
     train_master: DataFrame
     row_counts: dict = field(default_factory=dict)  # observed while writing
+    buckets: int = 0                                # of the user-keyed tables; 0: not bucketed
 
 
 def _save(df: DataFrame, name: str, path: str, bucket_by: str | None = None, sort_by: list[str] | None = None,
@@ -78,8 +79,8 @@ def write_product_features(spark: SparkSession, r: RetailTables, prefix: str, ba
 
 
 def write_train_master(spark: SparkSession, r: RetailTables, uxp: DataFrame, uf: DataFrame, pf: DataFrame,
-                       prefix: str, base: str, counts: dict | None = None) -> DataFrame:
-    master = D.train_master(r.orders, uxp, uf, pf, r.train, catalogue=r.products)
+                       prefix: str, base: str, buckets: int, counts: dict | None = None) -> DataFrame:
+    master = D.train_master(r.orders, uxp, uf, pf, r.train, catalogue=r.products, buckets=buckets)
     return _save(master, f"{prefix}_train_master", f"{base}/train_master", counts=counts,
                  count_as="train_master")
 
@@ -111,6 +112,6 @@ def build_feature_store(spark: SparkSession, r: RetailTables, token: str, bucket
             uxp = step("uxp_features", lambda: write_uxp_features(spark, r, prefix, base, n, counts))
             uf = step("user_features", lambda: write_user_features(spark, r, prefix, base, n, counts))
             pf = step("product_features", lambda: write_product_features(spark, r, prefix, base, counts))
-            master = step("train_master", lambda: write_train_master(spark, r, uxp, uf, pf, prefix, base, counts))
-            _memo[key] = FeatureStore(uf, pf, uxp, master, counts)
+            master = step("train_master", lambda: write_train_master(spark, r, uxp, uf, pf, prefix, base, n, counts))
+            _memo[key] = FeatureStore(uf, pf, uxp, master, counts, n)
         return _memo[key]

@@ -89,15 +89,24 @@ def _shuffles(df) -> int:
     return len(re.findall(r"(?<!Broadcast)Exchange ", _plan(df)))
 
 
-def test_label_join_leaves_candidates_in_their_buckets(spark, ctx):
+@pytest.mark.parametrize("shuffle_partitions", ["2", "same", "64"])
+def test_label_join_leaves_candidates_in_their_buckets(spark, ctx, shuffle_partitions):
     from cartwise.operators import dataset as D
+    store = ctx.store
+    before = spark.conf.get("spark.sql.shuffle.partitions")
     _no_broadcasts(spark)
     try:
-        cands = D.candidates(ctx.r.orders, ctx.store.uxp_features)
-        joined = D.label_join(cands, ctx.r.train, ctx.r.orders)
+        spark.conf.set("spark.sql.shuffle.partitions",
+                       str(store.buckets) if shuffle_partitions == "same" else shuffle_partitions)
+        cands = D.candidates(ctx.r.orders, store.uxp_features, buckets=store.buckets)
+        joined = D.label_join(cands, ctx.r.train, ctx.r.orders, store.buckets)
         # label orders and label lines move to their user; the candidates do not
         assert _shuffles(cands) == 1 and _shuffles(joined) == 2, _plan(joined)
+        master = D.train_master(ctx.r.orders, store.uxp_features, store.user_features, store.product_features,
+                                ctx.r.train, catalogue=ctx.r.products, buckets=store.buckets)
+        assert _shuffles(master) == 2, _plan(master)
     finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
         _broadcasts(spark)
 
 
