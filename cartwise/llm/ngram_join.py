@@ -4,7 +4,9 @@ Two documents link when their sets' Jaccard similarity is at least 0.8; the
 result is exact (no sampling, no caps, no missed link).  Method:
 
 * *Classes.*  Documents with equal sets are one class (128-bit set digest); all
-  later work is between classes, so thousands of copies cost one.
+  later work is between classes, so thousands of copies cost one.  A class goes
+  by the first 64 bits; the few different sets that share them (about three
+  among 10^10) are told by the other 64 and renumbered.
 * *Count vectors.*  Shingles are hashed into groups (more for longer texts, in
   powers of two, so that the finer groups add up to the coarser); a class is the
   point of its group counts.  The summed coordinate minima of two points bound their
@@ -145,6 +147,13 @@ def set_digest(s: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
+def class_number(s: np.ndarray, renamed: dict) -> int:
+    """The number of a set's class; ``renamed``: those of sets whose first 64
+    digest bits another set has, by the whole digest."""
+    digest = set_digest(s)
+    return renamed.get(digest, digest[0])
+
+
 def _texts(batches, *cols):
     """Lists of (values of cols..., text bytes), a few megabytes of text at a time."""
     held, size = [], 0
@@ -200,7 +209,7 @@ def prefix_lengths(n: int) -> tuple[int, int]:
     return n - -(-2 * num * n // (num + den)) + 1, n - -(-num * n // den) + 1
 
 
-def _rare_keys(docs: DataFrame, rarity, buckets: int) -> DataFrame:
+def _rare_keys(docs: DataFrame, rarity, buckets: int, renamed: dict) -> DataFrame:
     """Rows (bucket, keys, classes, sizes): for each task and bucket, the rare
     shingles of its classes as flat arrays (size is 2n, plus 1 if probe only)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,7 +230,7 @@ def _rare_keys(docs: DataFrame, rarity, buckets: int) -> DataFrame:
             for own in shingles([t for (t,) in texts]):
                 if not len(own):
                     continue
-                c = set_digest(own)[0]
+                c = class_number(own, renamed)
                 if c in seen:                           # a copy in this task
                     continue
                 if len(seen) < 1_000_000:
@@ -496,7 +505,7 @@ def _filter_of(ids: DataFrame) -> np.ndarray:
     return out
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, wanted: DataFrame, renamed: dict) -> DataFrame:
     """(c, s): the shingle sets of the documents ``wanted`` (doc_id; the class
     where every row of it has a null id) and of few others that the filter lets
     pass."""
@@ -517,7 +526,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
         for held in _texts(asked(), "doc_id"):
             sets = shingles([t for _, t in held])
-            c = np.array([set_digest(x)[0] for x in sets], dtype=np.int64)
+            c = np.array([class_number(x, renamed) for x in sets], dtype=np.int64)
             named, out = passes(c), []
             for k, (i, _) in enumerate(held):               # a row without an id is asked for by its class
                 if (i is not None or named[k]) and int(c[k]) not in seen:
@@ -568,7 +577,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out = []
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, label: str) -> DataFrame:
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, label: str, renamed: dict) -> DataFrame:
     """Links among the pairs (a, b) of classes, up to what other links connect.
 
     A member b is compared with its leaders a; members with one first leader
@@ -587,22 +596,57 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, label: str)
     asks = written(leaders.select("g", "salt", F.lit(0).alias("role"), "c", none.alias("against"))
                    .unionByName(lists.select("g", "salt", F.lit(1).alias("role"), "c", "against")), f"{label}-asks")
     wanted = asks.select("c").distinct().join(classes.select("c", F.coalesce("rep", "c").alias("doc_id")), "c").select("doc_id")
-    rows = asks.join(_sets(docs, wanted), "c").select("g", "salt", "role", "c", "s", "against")
+    rows = asks.join(_sets(docs, wanted, renamed), "c").select("g", "salt", "role", "c", "s", "against")
     rows = rows.repartition("g", "salt").sortWithinPartitions("g", "salt", "role")
     return written(rows.mapInArrow(tidied(_verify), "a long, b long"), f"{label}-links")
 
 
 # ---------------------------------------------------------------- operator
 
+def _classes(rows: DataFrame, label: str) -> DataFrame:
+    """One row per class number: c, rep (smallest doc_id), n, vec, and clash
+    (different sets have it)."""
+    same = (rows.where("n > 0").groupBy("c")
+            .agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), (F.min("c2") != F.max("c2")).alias("clash"),
+                 F.min("vec").alias("vec")))
+    return written(same, label)
+
+
+def _renumbered(rows: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame, dict]:
+    """``rows`` and ``classes`` with a number of its own for each set, and the
+    numbers given, by whole digest.  Different sets that share 64 digest bits
+    are about the square of their count in 2^65: three or so among 10^10 sets,
+    which is what comes to the driver."""
+    import hashlib
+    if classes.where("clash").isEmpty():
+        return rows, classes, {}
+    shared = classes.where("clash").select("c")
+    digests = sorted((r.c, r.c2) for r in rows.where("n > 0").join(F.broadcast(shared), "c").select("c", "c2").distinct().collect())
+    renamed, last = {}, None
+    for c, c2 in digests:
+        if c == last:                                   # the first keeps the number
+            raw = b"".join(x.to_bytes(8, "little", signed=True) for x in (c, c2))
+            renamed[c, c2] = int.from_bytes(hashlib.blake2b(raw, digest_size=8, person=b"renumber").digest(), "little", signed=True)
+        last = c
+    given = rows.sparkSession.createDataFrame([(c, c2, new) for (c, c2), new in renamed.items()], "c long, c2 long, _new long")
+    rows = (rows.join(F.broadcast(given), ["c", "c2"], "left").withColumn("c", F.coalesce("_new", "c"))
+            .select("doc_id", "n", "c", "c2", "vec"))
+    classes = _classes(rows, "ngram-reclassed")
+    if not classes.where("clash").isEmpty():            # 64 bits of two digests met twice
+        raise ValueError("two sets share one class number after renumbering")
+    return rows, classes, renamed
+
+
 def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, n_shingles, class_id (smallest doc_id with
     an equal set), component_id (smallest doc_id reachable by links)."""
-    return _numbered(docs, text, doc_id).select("doc_id", F.col("n").alias("n_shingles"), "class_id", "component_id")
+    return _numbered(docs, text, doc_id)[0].select("doc_id", F.col("n").alias("n_shingles"), "class_id", "component_id")
 
 
-def _numbered(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+def _numbered(docs: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, dict]:
     """``jaccard_components`` with the numbers of a row's class (c) and of its
-    component, which rows without an id have too; null for an empty set."""
+    component, which rows without an id have too; null for an empty set.  Also
+    the class numbers that were given anew (``_renumbered``)."""
     spark = docs.sparkSession
     base = _binary_docs(docs, text, doc_id)
     info = written(_describe(base), "ngram-info")
@@ -616,15 +660,10 @@ def _numbered(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     order[np.argsort(corpus, kind="stable")] = np.arange(len(corpus)) >> max(0, RARITY_BITS - 16)
     rarity = spark.sparkContext.broadcast(order)                                          # fixed size, 256 KB
 
-    same = (rows.where("n > 0").groupBy("c")
-            .agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("c2").alias("lo"), F.max("c2").alias("hi"),
-                 F.min("vec").alias("vec")))
-    classes = written(same.select("c", "rep", "n", F.when(F.col("lo") == F.col("hi"), F.col("vec"))
-                                  .otherwise(F.raise_error(F.lit("two sets share one class number"))).alias("vec")),
-                      "ngram-classes")
+    rows, classes, renamed = _renumbered(rows, _classes(rows, "ngram-classes"))
 
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // 4 // KEYS_PER_TASK))
-    keys = _rare_keys(base, rarity, 4 * tasks).repartition(tasks, "bucket")
+    keys = _rare_keys(base, rarity, 4 * tasks, renamed).repartition(tasks, "bucket")
     met = written(keys.mapInArrow(tidied(_meeting), "block long, c long, n long").distinct(), "ngram-met")
     parts = met.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / TREE).cast("long").alias("parts"))
     blocks = written(met.join(parts, "block").withColumn("part", F.pmod(F.xxhash64("c"), F.col("parts"))), "ngram-blocks")
@@ -637,7 +676,7 @@ def _numbered(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
     guests = blocks.where("c = block AND parts > 1").withColumn("_p", others).where("_p <> part").withColumn("part", F.col("_p")).drop("_p")
     first = with_vectors(blocks.unionByName(guests), ["block", "part"]).mapInArrow(tidied(_leaders), "a long, b long")
-    links = _verified(first, classes, base, "ngram-1")
+    links = _verified(first, classes, base, "ngram-1", renamed)
     comp = components(links)
 
     # round 2: blocks that still hold different components, in pairs of parts
@@ -648,7 +687,7 @@ def _numbered(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     spread = (known.join(mixed, "block", "left_semi").withColumn("_o", others)
               .withColumn("x", F.least("part", "_o")).withColumn("y", F.greatest("part", "_o")))
     second = with_vectors(spread, ["block", "x", "y"]).mapInArrow(tidied(_across), "a long, b long")
-    more = _verified(second, classes, base, "ngram-2")
+    more = _verified(second, classes, base, "ngram-2", renamed)
     # round 2's links join whole components of round 1, so only those are settled anew
     def within(df: DataFrame, col: str) -> DataFrame:
         of = comp.select(F.col("id").alias(col), "component")
@@ -668,14 +707,15 @@ def _numbered(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     none = F.lit(None).cast("long")
     empty = rows.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"),
                                        none.alias("c"), none.alias("component"))
-    return out.select(*empty.columns).unionByName(empty)
+    return out.select(*empty.columns).unionByName(empty), renamed
 
 
 def one_per_component(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with one row of each component: of the smallest doc_id (null
     last), then the smallest class number, then the smallest row.  Rows with an
     empty set link with nothing and stay."""
-    rows = written(_numbered(docs, text, doc_id).where("n > 0").select("doc_id", "c", "component", "component_id"), "ngram-rows")
+    numbered, renamed = _numbered(docs, text, doc_id)
+    rows = written(numbered.where("n > 0").select("doc_id", "c", "component", "component_id"), "ngram-rows")
     # a row is told by (doc_id, class): an id may repeat with other texts, or be null
     named = F.col("doc_id").eqNullSafe(F.col("component_id"))
     able = rows.where(named).groupBy("component", "doc_id", "c").agg(F.count(F.lit(1)).alias("copies"))
@@ -701,7 +741,7 @@ def one_per_component(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
         for batch in batches:
             batch = batch.filter(pa.array(maybe(batch, bits)))
             texts = pa.RecordBatch.from_arrays([batch.column(text).cast(pa.binary())], names=["text"])
-            classes = [set_digest(x)[0] if len(x) else None for held in _texts([texts])
+            classes = [class_number(x, renamed) if len(x) else None for held in _texts([texts])
                        for x in shingles([t for (t,) in held])]
             yield pa.RecordBatch.from_arrays([*batch.columns, batch.column(doc_id).cast(pa.int64()), pa.array(classes, pa.int64())],
                                              names=[*batch.schema.names, i, c])

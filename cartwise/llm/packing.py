@@ -308,12 +308,23 @@ def sequences(packed: DataFrame) -> DataFrame:
                     F.transform("s", lambda x: x.dropFields("ids")).alias("spans")))
 
 
-def packed_documents(docs: DataFrame) -> DataFrame:
-    """Pieces of ``docs`` with the digest of their ids and their places."""
-    pieces = tokenize(docs).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return pack(written(pieces, "pack-pieces"))
+# Production capacities of a sequence beside its tokens.  The fewest sequences of
+# 2048 tokens are asked for, so these are the largest that such a sequence can
+# need; all three residuals count in the choice of the bin.
+MAX_DOCUMENTS = MAX_TOKENS
+MAX_COST = MAX_TOKENS * MAX_TOKENS
+
+
+def packed_documents(docs: DataFrame, carry_ids: bool = False) -> DataFrame:
+    """Pieces of ``docs`` with their places: vector best-fit on tokens, documents
+    and attention cost.  With ``carry_ids`` the pieces keep their ids (what
+    ``sequences`` needs), else the digest of them."""
+    pieces = tokenize(docs)
+    if not carry_ids:
+        pieces = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return pack(written(pieces, "pack-pieces"), MAX_TOKENS, MAX_DOCUMENTS, MAX_COST)
 
 
 def op1(spark, sf_dir: str) -> DataFrame:
-    return packed_documents(table(spark, sf_dir, "documents")).select(
-        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    packed = packed_documents(table(spark, sf_dir, "documents"), carry_ids=True)
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")

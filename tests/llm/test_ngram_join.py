@@ -164,3 +164,22 @@ def test_components(spark, seed):
 
 def test_components_of_nothing(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_sets_that_share_a_class_number(spark, monkeypatch):
+    """64 digest bits cut to a few values: different sets meet in a number."""
+    whole = ngram_join.set_digest
+
+    def narrow(s):
+        a, b = whole(s)
+        return a % 5, b
+    rows = [(i, prose(i % 9, 60 + i % 9)) for i in range(30)]
+    rows += [(100 + i, prose(i, 60 + i) + " one more word") for i in range(9)] + [(None, prose(3, 63)), (None, prose(77, 40)), (300, " ")]
+    monkeypatch.setattr(ngram_join, "set_digest", narrow)
+    docs = documents(spark, rows)
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(docs).collect()]
+    want = brute(rows)
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+    kept = [r.doc_id for r in ngram_join.one_per_component(docs).collect()]
+    one_each = sorted({c for _, n, c in want if n and c is not None}) + [300]
+    assert sorted(x for x in kept if x is not None) == one_each and kept.count(None) == 1

@@ -129,5 +129,21 @@ def test_sequences_hold_the_ids(spark, tokenizer):
         assert b"".join(x for _, x in sorted(texts[r.doc_id])) == ids(tokenizer, r.text) + b"\0\0\0\0"
 
 
+def test_query_carries_ids_and_keeps_every_capacity(spark, tokenizer, tmp_path):
+    docs = documents(spark, [(i, prose(i, 3 + 37 * i)) for i in range(90)] + [(200 + i, "") for i in range(30)])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = packing.op1(spark, str(tmp_path)).collect()
+    packed = packing.packed_documents(spark.read.parquet(f"{tmp_path}/documents.parquet"), carry_ids=True)
+    crc = {(r.doc_id, r.piece): zlib.crc32(bytes(r.ids)) for r in packed.collect()}
+    assert {(r.doc_id, r.piece): r.ids_crc32 for r in rows} == crc
+    sequences = packing.sequences(packed).collect()
+    for s in sequences:
+        lengths = [x.length for x in s.spans]
+        assert sum(lengths) <= packing.MAX_TOKENS and len(lengths) <= packing.MAX_DOCUMENTS
+        assert sum(n * n for n in lengths) <= packing.MAX_COST
+    # counting documents and cost takes no more sequences than tokens alone
+    assert len(sequences) == len({r.sequence_id for r in rows}) <= best_fit([r.length for r in rows], packing.MAX_TOKENS)
+
+
 def test_empty_table(spark):
     assert packing.packed_documents(documents(spark, [])).count() == 0
