@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.skew import sized_broadcast
 from .common import table, trim, written
 
 MAX_TOKENS = 2048
@@ -40,6 +41,7 @@ TOKENIZER = "word_bpe_49k.json"
 CACHE_WORDS = 400_000       # distinct pieces a worker remembers before it starts afresh
 CACHE_CHARS = 128           # longer pieces are not remembered
 TEXT_BYTES = 2_000_000      # text encoded at a time
+BASE_ROWS = 300_000         # counts of (partition, length) that are broadcast, at most
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids binary, part int, nth long"
 
 
@@ -271,7 +273,7 @@ def pack(pieces: DataFrame, capacity: int = MAX_TOKENS, max_documents: int | Non
     weight in the choice."""
     weights = tuple(w if given else 0.0 for w, given in zip(weights, (True, max_documents, max_cost)))
     caps = (capacity, max_documents or capacity, max_cost or capacity * capacity)
-    per_part = pieces.groupBy("part", "length").agg((F.max("nth") + 1).alias("n"))
+    per_part = written(pieces.groupBy("part", "length").agg((F.max("nth") + 1).alias("n")), "pack-counts")
     counts = {r["length"]: r["n"] for r in                      # at most `capacity` rows
               per_part.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     runs = np.asarray(sorted(pack_lengths(counts, caps, weights, rule)), dtype=np.int64).reshape(-1, 6)
@@ -279,7 +281,8 @@ def pack(pieces: DataFrame, capacity: int = MAX_TOKENS, max_documents: int | Non
 
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = per_part.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    ranked = pieces.join(bases, ["part", "length"]).withColumn("rank", F.col("base") + F.col("nth")).drop("base")
+    # few counts are broadcast, so that the pieces stay where they are; many meet them by a shuffle
+    ranked = pieces.join(sized_broadcast(bases, BASE_ROWS), ["part", "length"]).withColumn("rank", F.col("base") + F.col("nth")).drop("base")
     names = [c for c in ranked.columns if c not in ("part", "nth", "rank")]
     schema = ranked.select(*names).schema.add("sequence_id", "long").add("offset", "long")
 

@@ -129,7 +129,9 @@ def test_sequences_hold_the_ids(spark, tokenizer):
         assert b"".join(x for _, x in sorted(texts[r.doc_id])) == ids(tokenizer, r.text) + b"\0\0\0\0"
 
 
-def test_query_carries_ids_and_keeps_every_capacity(spark, tokenizer, tmp_path):
+@pytest.mark.parametrize("base_rows", [0, 300_000])
+def test_query_carries_ids_and_keeps_every_capacity(spark, tokenizer, tmp_path, monkeypatch, base_rows):
+    monkeypatch.setattr(packing, "BASE_ROWS", base_rows)         # 0: counts meet the pieces by a shuffle
     docs = documents(spark, [(i, prose(i, 3 + 37 * i)) for i in range(90)] + [(200 + i, "") for i in range(30)])
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     rows = packing.op1(spark, str(tmp_path)).collect()
