@@ -46,9 +46,10 @@ def ingest_csv(spark: SparkSession, raw_dir: str, out_dir: str,
     return out
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, compression: str | None = None) -> None:
     """CSV with header, replacing ``path``; one file per task (no single-writer funnel)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    w = df.write.mode("overwrite").option("header", True)
+    (w.option("compression", compression) if compression else w).csv(path)
 
 
 def write_master_csv(master: DataFrame, path: str) -> None:

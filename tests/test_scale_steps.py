@@ -51,3 +51,22 @@ def test_hot_keys_are_sought_among_few_groups(spark):
     # two keys of one group, neither of them hot: counted one by one
     crowd = spark.range(1000).select((F.col("id") % 100).alias("k"))
     assert not has_hot_key(crowd, "k", 20) and has_hot_key(crowd, "k", 9)
+
+
+def test_a_bucket_stays_small_at_scale(spark):
+    """Ten times the rows make more buckets, not larger ones."""
+    for rows in (36_000_000, 216_000_000):
+        assert -(-rows // T.bucket_count_for(spark, rows)) <= 1_000_000
+
+
+def test_packed_csv_reads_as_plain(spark, tmp_dir):
+    import glob
+    from cartwise.sources.files import write_csv
+    from cartwise.sources.infer import inferred_types, read_inferred, read_text_csv
+    df = spark.createDataFrame([(1, "a", 0.5), (2, None, None), (3, "c,\"d\"", 1.0)], "i long, s string, d double")
+    got = {}
+    for how in (None, "gzip"):
+        write_csv(df, f"{tmp_dir}/{how}", how)
+        got[how] = [sorted(map(str, f(spark, f"{tmp_dir}/{how}").collect())) for f in
+                    (lambda s, p: inferred_types(read_text_csv(s, p)), read_inferred)]
+    assert got[None] == got["gzip"] and glob.glob(f"{tmp_dir}/gzip/*.gz")
