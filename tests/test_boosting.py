@@ -174,3 +174,22 @@ def test_grid_covers_every_combination(master):
     rows = out.orderBy("trial").collect()
     assert [(r.max_depth, r.learning_rate) for r in rows] == [(1, 0.3), (1, 0.6), (2, 0.3), (2, 0.6)]
     assert all(1 <= r.n_trees <= 3 for r in rows)
+
+
+def test_sums_by_difference_and_few_kept_frames(spark, master, monkeypatch):
+    """Only the smaller child is summed, with the same trees; at most two frames
+    are kept, and a task's bytes stay bounded whatever the rows and settings."""
+    setting = {**FAST, "max_depth": 5, "subsample": 0.8, "n_estimators": 12}
+    summed, kept = [], []
+    work, settle = B._Growing.work, B.Blocks.settle
+    monkeypatch.setattr(B._Growing, "work", lambda g, first: summed.append((len(g.counted), len(g.open))) or work(g, first))
+    monkeypatch.setattr(B.Blocks, "settle", lambda b, held: kept.append(len(held)) or settle(b, held))
+    halves, blocks = B.fit_many(master, [setting], partitions=3, block_rows=100)
+    assert sum(a for a, _ in summed) < 0.7 * sum(b for _, b in summed) and max(kept) <= 2
+    monkeypatch.setattr(B, "KEPT_SLOTS", 0)
+    assert same(halves[0], B.fit_many(master, [setting], cuts=blocks.cuts)[0][0])
+    monkeypatch.setattr(B, "KEPT_SLOTS", 4)
+    monkeypatch.setattr(B, "DIRECT_SUMS", 1)
+    assert same(halves[0], B.fit_many(master, [setting], cuts=blocks.cuts, partitions=2)[0][0])
+    monkeypatch.setattr(B, "TASK_BYTES", 1000)
+    assert B.Blocks(master, n_settings=8, cuts=blocks.cuts, block_rows=10).tasks > 3 * spark.sparkContext.defaultParallelism
