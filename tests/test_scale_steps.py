@@ -70,3 +70,18 @@ def test_packed_csv_reads_as_plain(spark, tmp_dir):
         got[how] = [sorted(map(str, f(spark, f"{tmp_dir}/{how}").collect())) for f in
                     (lambda s, p: inferred_types(read_text_csv(s, p)), read_inferred)]
     assert got[None] == got["gzip"] and glob.glob(f"{tmp_dir}/gzip/*.gz")
+
+
+def test_written_scores_serve_both_lists_in_place(spark, tmp_dir):
+    """Two aggregates of the written scores: each candidate is scored once and no
+    row moves."""
+    from cartwise.operators import recommend as R
+    from cartwise.sources.store import write_scored
+    scored = spark.createDataFrame([(i % 9, i, f"p{i}", i / 100, 1) for i in range(100)],
+                                   "user_id long, product_id long, product_name string, probability double, aisle_id int")
+    back = write_scored(scored, "cw_test_scale", f"{tmp_dir}/s", 4)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, scored.collect()))
+    for df, want in ((R.recommend_counts(back), R.recommend_counts(scored)), (R.recommend_threshold(back), R.recommend_threshold(scored))):
+        assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, df.collect())) == sorted(map(tuple, want.collect()))
+    spark.sql("DROP TABLE cw_test_scale_scored")
