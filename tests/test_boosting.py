@@ -193,3 +193,26 @@ def test_sums_by_difference_and_few_kept_frames(spark, master, monkeypatch):
     assert same(halves[0], B.fit_many(master, [setting], cuts=blocks.cuts, partitions=2)[0][0])
     monkeypatch.setattr(B, "TASK_BYTES", 1000)
     assert B.Blocks(master, n_settings=8, cuts=blocks.cuts, block_rows=10).tasks > 3 * spark.sparkContext.defaultParallelism
+
+
+def test_scored_rows_carry_no_trees(spark, master, monkeypatch):
+    """Trees are conditions of the plan, not a column of every row; both ways of
+    scoring give the margins of a walk by hand, on missing and infinite values too."""
+    model = M.fit_gbt(master, FAST)
+    rows = [(i, *[v] * len(FEATURES)) for i, v in enumerate((0.3, -0.7, 0.0, None, math.nan, math.inf, -math.inf, 2.5))]
+    odd = spark.createDataFrame(rows, "i int, " + ", ".join(f"{f} double" for f in FEATURES))
+    scored = model.scorer()(odd)
+    assert scored.columns == [*odd.columns, PROB]
+    assert "collect_list" not in scored._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(M, "PLAN_NODES", 3)
+    table = {r.i: r[PROB] for r in model.scorer()(odd).collect()}
+    nodes = {(r.tree, r.node): r for r in model.nodes.collect()}
+    for r in scored.collect():
+        x = [0.0 if v is None or math.isnan(v) else v for v in r[1:-1]]
+        margin = model.base
+        for t in range(model.n_trees):
+            n = nodes[t, 0]
+            while n.feature >= 0:
+                n = nodes[t, n.left if x[n.feature] <= n.cut else n.right]
+            margin += n.value
+        assert r[PROB] == table[r.i] == pytest.approx(1 / (1 + math.exp(-margin)), abs=1e-15)
