@@ -216,3 +216,44 @@ def test_scored_rows_carry_no_trees(spark, master, monkeypatch):
                 n = nodes[t, n.left if x[n.feature] <= n.cut else n.right]
             margin += n.value
         assert r[PROB] == table[r.i] == pytest.approx(1 / (1 + math.exp(-margin)), abs=1e-15)
+
+
+def test_few_rows_grow_in_one_task_a_setting(spark, master, monkeypatch):
+    """Without passes by level: the jobs of a fit do not grow with its rounds, the
+    trees are those of the passes, and a search packs its rows once."""
+    settings = [{**FAST, "max_depth": 5}, {**FAST, "subsample": 0.7, "colsample_bytree": 0.5, "max_depth": 4}]
+    blocks = B.Blocks(master)
+    spark.sparkContext.setJobGroup("whole-fits", "fits")
+    try:
+        whole, _ = B.fit_many(master, settings, blocks=blocks)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("whole-fits")) <= 2
+    monkeypatch.setattr(blocks, "fits_a_task", False)
+    assert all(same(a, b) for a, b in zip(whole, B.fit_many(master, settings, blocks=blocks)[0]))
+    packed, init = [], B.Blocks.__init__
+    monkeypatch.setattr(B.Blocks, "__init__", lambda b, *a, **k: packed.append(1) or init(b, *a, **k))
+    monkeypatch.setattr(M, "STARTUP", 2)
+    M.hyper_search(master, n_trials=4, space={**M.SEARCH_SPACE, "n_estimators": (2, 3)}, wave=2).collect()
+    assert len(packed) == 1
+
+
+def test_cuts_are_exact_quantiles_of_few_values_and_close_for_many(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    few, many = np.round(rng.normal(size=6000), 1), rng.gamma(0.3, size=6000)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(few, many)], "a double, b double").repartition(5)
+    probs = np.arange(1, 257) / 256
+    for f, v, got in zip("ab", (few, many), B.quantile_cuts(df, ["a", "b"])):
+        assert np.array_equal(got, np.unique(np.quantile(v, probs, method="inverted_cdf"))[:-1]), f
+    monkeypatch.setattr(B, "SUMMARY", 256)
+    got = B.quantile_cuts(df, ["b"], max_bins=16)[0]
+    ranks = np.searchsorted(np.sort(many), got, side="right") / 6000
+    assert len(got) == 15 and np.abs(ranks - np.arange(1, 16) / 16).max() < 0.02
+    assert [len(c) for c in B.quantile_cuts(df.limit(0), ["a", "b"])] == [0, 0]
+
+
+def test_rows_without_a_key_train_but_do_not_count_in_the_base_rate(spark, master):
+    extra = master.limit(40).withColumn("product_id", F.lit(None).cast("long")).withColumn("reordered", F.lit(1))
+    with_extra = B.Blocks(master.unionByName(extra))
+    plain = B.Blocks(master)
+    assert (with_extra.base, with_extra.n_train, with_extra.n_rows) == (plain.base, plain.n_train, plain.n_rows + 40)
